@@ -33,6 +33,15 @@ class Pick:
     fields: dict = field(default_factory=dict)
 
 
+_seen_steps = {}
+
+
+def _wanted(step):
+    if step not in _seen_steps:
+        _seen_steps[step] = _STEP.match(step).groupdict()
+    return _seen_steps[step]
+
+
 class _Node:
     __slots__ = ("tag", "attrs", "text_from", "text_to", "last")
 
@@ -76,6 +85,9 @@ class _Page(HTMLParser):
         if not self.unread:
             self.texts.append(data)
 
+    def updatepos(self, start, end):  # line numbers are not used
+        return end
+
     def unknown_decl(self, data):
         if data.upper().startswith("CDATA["):
             self.handle_data(data[len("CDATA["):])
@@ -88,7 +100,7 @@ class _Page(HTMLParser):
 
     def matches(self, scope, step):
         """Descendants of the node at index ``scope`` that fit ``step``, in document order."""
-        want = _STEP.match(step).groupdict()
+        want = _wanted(step)
         for index in range(scope + 1, self.nodes[scope].last):
             node = self.nodes[index]
             if node.tag != want["tag"]:

@@ -1,5 +1,6 @@
 """Column rules for text, keys, links and dates. Built-in expressions only."""
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -41,10 +42,29 @@ def replace_all(text: Column, fixes: Mapping[str, str] = fixed.DATE_TYPOS) -> Co
     return text
 
 
+def _date_shape(date_format: str) -> str:
+    """A pattern that every text of this date format fits: digits, names and literals in order."""
+    def piece(part):
+        if part.group("quoted") is not None:
+            return re.escape(part.group("quoted"))
+        letters = part.group("letters")
+        if letters is None:
+            return re.escape(part.group())
+        return r"[^\d\s]+" if letters.startswith("MMM") else r"[+-]?\d+"
+
+    pieces = re.sub(r"'(?P<quoted>[^']*)'|(?P<letters>([yMdHms])\3*)|.", piece, date_format)
+    return rf"\A{pieces}\z"
+
+
 def parse_date(text: Column, formats: Iterable[str] = fixed.DATE_FORMATS) -> Column:
-    """The first format that fits gives the timestamp; no fit or null gives null."""
+    """The first format that fits gives the timestamp; no fit or null gives null.
+
+    A failed attempt at a date is costly, so each format is tried only on texts of its shape.
+    """
     trimmed = F.trim(text)
-    return F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats])
+    return F.coalesce(*[
+        F.when(trimmed.rlike(_date_shape(f)), F.try_to_timestamp(trimmed, F.lit(f))) for f in formats
+    ])
 
 
 def _groups(text: Column, pattern: str, names: Iterable[str]) -> list[Column]:

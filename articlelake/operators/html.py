@@ -114,8 +114,8 @@ def page_hrefs(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("ur
 def xml_links(hrefs: DataFrame, href: str = "href") -> DataFrame:
     """Links to article XML: ``xml_link, volume, issue, article_id``."""
     link = F.col(href)
-    candidates = hrefs.where(link.contains(fixed.XML_LINK_PART) & link.rlike(fixed.XML_LINK_PATTERN))
-    return candidates.select(link.alias("xml_link"), *xml_key(link))
+    candidates = hrefs.where(link.contains(fixed.XML_LINK_PART))
+    return candidates.select(link.alias("xml_link"), *xml_key(link)).dropna(subset=["article_id"])
 
 
 def article_pages(

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from articlelake.functions.text import absolute_url, pad_article_id
 from articlelake.operators.html import article_links, issue_links, page_hrefs, xml_links
 from articlelake.operators.joins import missing_articles
-from articlelake.plans.dataset import catalog_keys
 from articlelake.operators.tei import extract_articles, good_articles
+from articlelake.plans.dataset import catalog_keys
 from articlelake.session import settle
 from articlelake.sources.crawl import fetched
 from articlelake.sources.xml_files import base_name, is_article_file
@@ -24,14 +24,37 @@ class LinkCatalog:
     backfill: DataFrame
 
 
-def catalog_links(
-    crawl: DataFrame, home_pages: DataFrame, base: str
-) -> tuple[DataFrame, DataFrame]:
-    """Issue links of the home pages and the article links of the issue pages."""
-    issues = settle(issue_links(home_pages, base))
-    pages = fetched(crawl).select("url", "html")
+def _pages(crawl: DataFrame) -> DataFrame:
+    return fetched(crawl).select("url", "html")
+
+
+def catalog_articles(crawl: DataFrame, issues: DataFrame, base: str) -> DataFrame:
+    """The articles of every issue whose page was delivered."""
+    pages = _pages(crawl)
     issue_pages = pages.join(issues, pages.url == issues.issue_link)
-    return issues, settle(catalog_keys(article_links(issue_pages, base)))
+    return catalog_keys(article_links(issue_pages, base))
+
+
+def catalog_missing(links: DataFrame, articles: DataFrame) -> DataFrame:
+    """Catalog entries that the corpus ``articles`` lacks."""
+    known = articles.select(pad_article_id(F.col("article_id")).alias("article_id"))
+    return missing_articles(links, known)
+
+
+def missing_xml_links(crawl: DataFrame, missing: DataFrame, xml_base: str) -> DataFrame:
+    """Links to delivered XML on the pages of missing articles: ``url`` and the XML link columns."""
+    pages = _pages(crawl)
+    wanted = missing.select(F.col("article_link").alias("url"))
+    found = xml_links(page_hrefs(pages.join(wanted, "url", "left_semi")))
+    with_url = found.withColumn("url", absolute_url(xml_base, F.col("xml_link")))
+    return with_url.join(pages.select("url"), "url", "left_semi")
+
+
+def backfill_articles(crawl: DataFrame, links: DataFrame) -> DataFrame:
+    """The crawled XML behind ``links``, named and read like the files of the corpus."""
+    files = _pages(crawl).where(is_article_file(base_name(F.col("url"))))
+    files = files.join(links.select("url"), "url", "left_semi")
+    return good_articles(extract_articles(files, path="url", content="html"))
 
 
 def link_catalog(
@@ -42,18 +65,12 @@ def link_catalog(
 
     ``home_pages`` are the crawl's rows for the home page (of one or of many journals);
     ``base`` and ``xml_base`` are the site addresses that page and XML links are relative to.
+    Link tables are settled: they are narrow, used several times, and then have a known size.
     """
-    issues, links = catalog_links(crawl, home_pages, base)
-    known = articles.select(pad_article_id(F.col("article_id")).alias("article_id"))
-    missing = missing_articles(links, known)
-
-    pages = fetched(crawl).select("url", "html")
-    wanted = missing.select(F.col("article_link").alias("url"))
-    hrefs = page_hrefs(pages.join(wanted, "url", "left_semi"))
-    found = xml_links(hrefs).withColumn("url", absolute_url(xml_base or base, F.col("xml_link")))
-    delivered = settle(found.join(pages.select("url"), "url", "left_semi"))
-
-    files = pages.join(delivered.select("url"), "url", "left_semi")
-    files = files.where(is_article_file(base_name(F.col("url"))))
-    backfill = good_articles(extract_articles(files, path="url", content="html"))
-    return LinkCatalog(issues, links, missing, delivered.drop("url"), backfill)
+    issues = settle(issue_links(home_pages, base))
+    links = settle(catalog_articles(crawl, issues, base))
+    missing = catalog_missing(links, articles)
+    delivered = settle(missing_xml_links(crawl, missing, xml_base or base))
+    return LinkCatalog(
+        issues, links, missing, delivered.drop("url"), backfill_articles(crawl, delivered)
+    )

@@ -48,3 +48,18 @@ def settle(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or shared_folder(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def use_all_cores(df: DataFrame, *by: str) -> DataFrame:
+    """Spread an input that a scan may deliver in a single split over all cores.
+
+    Only an input whose estimated size is below one split is moved, so at most
+    that much is shuffled; anything larger has splits of its own and is returned
+    as it is.  Rows are placed by a hash of ``by``, the same way on every run.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if estimate >= split else df.repartition(spark.sparkContext.defaultParallelism, *by)

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from articlelake.session import settle, use_all_cores
+
 SITE = "http://journal.example"
 
 
@@ -10,6 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, over all cores even when they come as one small file."""
+    return use_all_cores(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return use_all_cores(table(spark, sf_dir, "pages"), "page_id")
+
+
 def escaped(text: str) -> str:
     return f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
@@ -80,7 +91,7 @@ def tei(fields: dict[str, str]) -> Column:
 
 def documents_as_files(spark: SparkSession, sf_dir: str, fields: dict[str, str] = FULL) -> DataFrame:
     """``doc_id, path, content``: every document as an article file."""
-    return as_files(table(spark, sf_dir, "documents"), fields)
+    return as_files(documents_table(spark, sf_dir), fields)
 
 
 def as_files(documents: DataFrame, fields: dict[str, str] = FULL) -> DataFrame:
@@ -138,19 +149,23 @@ def label_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def journal_crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A journal whose issues are documents and whose articles are their lines -> (home pages, crawl).
-
-    Each page is made from one row.  Fetching fails for the issue pages of one source.
-    """
-    documents = table(spark, sf_dir, "documents")
-    home = documents.selectExpr(
+def journal_home(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The home page of a journal per document, with links to its issue, its preview and elsewhere."""
+    return table(spark, sf_dir, "documents").selectExpr(
         f"concat('{SITE}/home/', doc_id) as url", "200 as status",
         """concat('<body><div id="other"><a href="/vol/0/0/none.html">no</a></div><div id="leftsidenav"><ul>',
             '<li><a href="/vol/', doc_id, '/1/index.html">', lang, ': ', doc_id, '.1</a>',
             '<li><a href="/preview/', doc_id, '.html">Preview</a>',
             '<li><a href="/about/', doc_id, '.html">About</a><li><a>No link</a></ul></div>') as html""",
     )
+
+
+def journal_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A journal whose issues are documents and whose articles are their lines.
+
+    Each page is made from one row.  Fetching fails for the issue pages of one source.
+    """
+    documents = documents_table(spark, sf_dir)
     issues = documents.selectExpr(
         f"concat('{SITE}/vol/', doc_id, '/1/index.html') as url",
         "case when source = 'src7' then 404 else 200 end as status",
@@ -177,12 +192,12 @@ def journal_crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         tei({"article_id": "cast(id as string)", "volume": "cast(doc_id as string)",
              "body": f"concat('<p>', {escaped('line')}, '</p>')"}).alias("html"),
     )
-    return home, issues.unionByName(pages).unionByName(xml)
+    return settle(issues.unionByName(pages).unionByName(xml))
 
 
 def article_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full article page for every document; fetching fails for one source."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return settle(documents_table(spark, sf_dir).selectExpr(
         f"concat('{SITE}/page/', doc_id) as url",
         "case when source = 'src7' then 404 else 200 end as status",
         f"""concat('<body><div class="DHQarticle wide"><div id="pubInfo">', source, ' &middot; ', doc_id, '</div>',
@@ -195,7 +210,7 @@ def article_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
                 '</div><div class="endnote"><b>m</b></div></div>') end,
             case when doc_id % 4 = 0 then '' else '<div id="worksCited"><div class="bibl">Cited<br></div></div>' end,
             '</div></body>') as html""",
-    )
+    ))
 
 
 def article_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,7 +57,7 @@ def _damaged(spark, sf_dir):
 
 
 def tei_quarantine(spark, sf_dir):
-    parsed = tei.extract_articles(_damaged(spark, sf_dir), fields=[])
+    parsed = settle(tei.extract_articles(_damaged(spark, sf_dir), fields=[]))
     broken = tei.quarantine(parsed).select("file_name", "status")
     return unions.append_rows(broken, tei.good_articles(parsed))
 
@@ -102,22 +102,22 @@ PAGE = {
 
 
 def nav_links(spark, sf_dir):
-    found = html.link_rows(table(spark, sf_dir, "pages"), NAV, carry=["page_id"])
+    found = html.link_rows(corpus.pages_table(spark, sf_dir), NAV, carry=["page_id"])
     return found.select(
         "page_id", "pos", tx.absolute_url(SITE, F.col("href")).alias("link"), F.col("text").alias("link_text"),
         html.is_issue_link(F.col("href")).alias("is_issue"))
 
 
 def page_hrefs(spark, sf_dir):
-    return html.page_hrefs(table(spark, sf_dir, "pages"), carry=["page_id"])
+    return html.page_hrefs(corpus.pages_table(spark, sf_dir), carry=["page_id"])
 
 
 def page_toc(spark, sf_dir):
-    return html.article_links(table(spark, sf_dir, "pages"), SITE, TOC, carry=["page_id"])
+    return html.article_links(corpus.pages_table(spark, sf_dir), SITE, TOC, carry=["page_id"])
 
 
 def page_article(spark, sf_dir):
-    found = html.article_pages(table(spark, sf_dir, "pages"), PAGE, carry=["page_id"])
+    found = html.article_pages(corpus.pages_table(spark, sf_dir), PAGE, carry=["page_id"])
     return found.select("page_id", "header_lang", "header_title", "pubinfo", "extracted_text",
                         F.size("notes").alias("n_notes"))
 
@@ -280,7 +280,7 @@ def _versions(documents, name, text, at):
 
 
 def snapshot_diff(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = corpus.documents_table(spark, sf_dir)
     name = "concat('d', doc_id)"
     first = _versions(documents, name, "upper(text)", "2024-01-01 00:00:00")
     second = _versions(documents, name, "text", "2024-01-02 00:00:00")
@@ -366,22 +366,27 @@ def report_by_language(spark, sf_dir):
     return by_language.select(_day("date_processed"), "language_ident", "articles")
 
 
-def _catalog(spark, sf_dir):
-    home, pages_ = corpus.journal_crawl(spark, sf_dir)
-    known = table(spark, sf_dir, "labels").selectExpr("doc_id * 1000 as article_id")
-    return catalog.link_catalog(pages_, home, SITE, known)
+def _labelled(spark, sf_dir):
+    return table(spark, sf_dir, "labels").selectExpr("doc_id * 1000 as article_id")
 
 
 def catalog_issues(spark, sf_dir):
-    return _catalog(spark, sf_dir).issue_links
+    return html.issue_links(corpus.journal_home(spark, sf_dir), SITE)
 
 
 def catalog_articles(spark, sf_dir):
-    return _catalog(spark, sf_dir).article_links
+    issues = settle(catalog_issues(spark, sf_dir))
+    return catalog.catalog_articles(corpus.journal_crawl(spark, sf_dir), issues, SITE)
 
 
 def catalog_missing(spark, sf_dir):
-    return _catalog(spark, sf_dir).missing.select("article_link", "article_id")
+    links = settle(catalog_articles(spark, sf_dir))
+    return catalog.catalog_missing(links, _labelled(spark, sf_dir)).select("article_link", "article_id")
+
+
+def _catalog(spark, sf_dir):
+    home, crawled = corpus.journal_home(spark, sf_dir), corpus.journal_crawl(spark, sf_dir)
+    return catalog.link_catalog(crawled, home, SITE, _labelled(spark, sf_dir))
 
 
 def catalog_xml_links(spark, sf_dir):
