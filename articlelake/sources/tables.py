@@ -37,14 +37,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV, overwritten; array and struct columns as JSON text.
 
-    Nulls are empty and unquoted, empty text is quoted, so both come back as they were.
+    Null and empty text are told apart by quotes in the file, but read back as null alike.
     """
     flat = df.select(
         *[F.to_json(f.name).alias(f.name)
           if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name)
           for f in df.schema]
     )
-    flat.write.mode("overwrite").options(header=True, escape='"', emptyValue='""').csv(path)
+    flat.write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def read_optional(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:

@@ -39,4 +39,4 @@ def rows(df, *order):
 
 def plan(df) -> str:
     return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))

@@ -1,0 +1,161 @@
+"""Whole plans on a small journal: files, crawled site, backfill, finished table, report."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from articlelake import schemas
+from articlelake.operators.tei import extract_articles, good_articles
+from articlelake.plans import catalog, dataset, pages, report
+from articlelake.sources.tables import read_csv
+from articlelake.sources.xml_files import scan_xml_files
+from tests.conftest import plan, rows
+from tests.documents import BROKEN, issue_page, tei
+
+BASE = "http://j"
+
+
+def link(volume, issue, article):
+    return f"/dhq/vol/{volume}/{issue}/{article}/{article}.html"
+
+
+@pytest.fixture(scope="module")
+def journal(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("journal")
+    files = {
+        "a/000001.xml": tei("000001", "001", "1", "3 May 2010", title="One"),
+        "a/old/000001.xml": tei("000001", "001", "1", "9 May 2010", title="One again"),
+        "a/000002.xml": tei("000002", "001", "1", None, title="Two", language='<language ident="fr"/>'),
+        "a/000003.xml": tei("000003", None, None, "1 Feburary 2012", kind="review"),
+        "a/000664.xml": tei("000664", "001", "1", "2015-07-01"),
+        "a/000005.xml": tei("5", "001", "2", "Winter 2011"),
+        "a/none.xml": tei(None, "001", "2"),
+        "a/000006.xml": BROKEN,
+        "a/old7.xml": tei("000007"),
+    }
+    for name, text in files.items():
+        path = folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def crawl(spark):
+    home = """<div id="leftsidenav"><a href="/dhq/vol/1/1/index.html">2010: 1.1</a><a href="/dhq/vol/1/2/index.html">
+        2011: 1.2</a><a href="/dhq/vol/1/3/index.html">gone</a><a href="/dhq/preview/index.html">next</a><a href="/x">x</a></div>"""
+    first = issue_page(1, 1, [("Ann", link("1", "1", "000001"), "One", '<span class="viewAbstract">A1</span>'),
+                              ("Bea", link("1", "1", "000009"), "Nine", "")])
+    second = issue_page(1, 2, [("Cid", link("1", "2", "000010"), "Ten", ""),
+                               ("Dan", "/dhq/preview/000011.html", "Later", "")], editors="")
+    return spark.createDataFrame([
+        (BASE + "/", 200, home), (BASE + "/dhq/vol/1/1/index.html", 200, first),
+        (BASE + "/dhq/vol/1/2/index.html", 200, second), (BASE + "/dhq/vol/1/3/index.html", 404, first),
+        (BASE + link("1", "1", "000009"), 200, '<a href="/dhq/vol/1/1/000009.xml">XML</a><a href="/feed.xml">f</a>'),
+        (BASE + link("1", "2", "000010"), 200, '<a href="/dhq/vol/1/2/000010.xml">XML</a>'),
+        (BASE + "/dhq/vol/1/1/000009.xml", 200, tei("000009", "001", "1", "4 June 2010", title="Nine")),
+        (BASE + "/dhq/vol/1/2/000010.xml", 404, "no"),
+        (BASE + link("001", "1", "000002"), 200, "page"), (BASE + link("001", "2", "000005"), 200, "Resource Not Found"),
+    ], schemas.CRAWL)
+
+
+@pytest.fixture(scope="module")
+def articles(spark, journal):
+    return good_articles(extract_articles(scan_xml_files(spark, journal))).cache()
+
+
+@pytest.fixture(scope="module")
+def link_catalog(crawl, articles):
+    return catalog.link_catalog(crawl, crawl.where(F.col("url") == BASE + "/"), BASE, articles)
+
+
+def test_link_catalog(link_catalog):
+    assert link_catalog.issue_links.count() == 4
+    keys = rows(link_catalog.article_links.select("authors", "volume", "issue", "article_id", "issue_text"))
+    assert keys == [("Ann", "001", "1", "000001", "2010: 1.1"), ("Bea", "001", "1", "000009", "2010: 1.1"),
+                    ("Cid", "001", "2", "000010", "\n        2011: 1.2"), ("Dan", None, None, None, "\n        2011: 1.2")]
+    assert link_catalog.article_links.columns[:8] == [f.name for f in schemas.ARTICLE_LINKS][:8]
+    assert sorted(r.authors for r in link_catalog.missing.collect()) == ["Bea", "Cid", "Dan"]
+    assert rows(link_catalog.xml_links) == [("/dhq/vol/1/1/000009.xml", "1", "1", "000009")]
+    assert [(r.article_id, r.title) for r in link_catalog.backfill.collect()] == [("000009", "Nine")]
+
+
+@pytest.fixture(scope="module")
+def table(spark, journal, crawl, link_catalog, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("work"))
+    built = dataset.build_articles(spark, journal, folder, crawl, BASE, link_catalog.article_links,
+                                   link_catalog.backfill, csv=True)
+    return folder, built
+
+
+def test_build_articles(table):
+    _, built = table
+    found = {r.article_id: r for r in built.withColumn("day", F.date_format("date_processed", "yyyy-MM-dd")).collect()}
+    assert sorted(found) == ["000001", "000002", "000003", "000005", "000009", "000664"]
+    assert found["000001"].title == "One again" and found["000001"].file_name.endswith("old/000001.xml")
+    assert found["000002"].day == "2010-05-09" and found["000003"].day == "2012-02-01"
+    assert found["000005"].day is None and found["000009"].day is None
+    assert (found["000003"].volume, found["000664"].volume, found["000664"].issue) == ("yet to be assigned", "016", "4")
+    assert found["000001"].scraped_authors == "Ann" and found["000002"].scraped_authors is None
+    assert {found[a].issue_title for a in ("000001", "000002", "000009")} == {"Issue 1.1"}
+    assert found["000002"].scraped_editors == "Ed One" and found["000005"].issue_title is None
+    assert found["000001"].article_link == BASE + link("1", "1", "000001")
+    assert found["000002"].article_link == BASE + link("001", "1", "000002")
+    assert found["000005"].article_link is None and found["000664"].body_text == "Text"
+    assert set(built.columns) == {f.name for f in schemas.PROCESSED}
+
+
+def test_build_articles_reuses_finished_stages(spark, journal, crawl, table):
+    folder, built = table
+    again = dataset.build_articles(spark, "/nowhere", folder, crawl, BASE)
+    assert rows(again) == rows(built)
+    rebuilt = dataset.build_articles(spark, journal, folder, crawl, BASE, rebuild=True)
+    assert rebuilt.count() == 5 and "article_link" in rebuilt.columns
+
+
+def test_csv_export(spark, table, tmp_path):
+    folder, built = table
+    before = built.schema
+    exported = read_csv(spark, f"{folder}/articles_csv", before)
+    assert exported.count() == 6 and exported.where("title = 'One again'").first().authors == []
+
+
+def test_without_catalog(articles):
+    built = dataset.build_dataset(articles)
+    assert built.where("article_link is not null").isEmpty() and built.count() == 5
+
+
+def test_order_of_input_does_not_matter(articles, crawl, link_catalog):
+    def run(frame):
+        return rows(dataset.finalize(dataset.build_dataset(frame, link_catalog.article_links), crawl, BASE))
+
+    assert run(articles) == run(articles.orderBy(F.desc("file_name")).repartition(5))
+
+
+def test_cleaning_stays_narrow_and_in_the_jvm(spark, table, crawl, no_broadcast):
+    folder, _ = table
+    stored = good_articles(spark.read.parquet(f"{folder}/parsed"))
+    rows_ = dataset.build_dataset(stored)
+    for frame in (rows_, dataset.finalize(rows_, crawl, BASE)):
+        text = plan(frame)
+        assert "MapInArrow" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+        assert "body_text" not in text
+
+
+def test_article_pages(spark, crawl):
+    full = ('<div class="DHQarticle"><div class="DHQheader"><h1 class="en">T</h1></div><div id="DHQtext">'
+            '<div class="div div0">t</div></div></div>')
+    links = spark.createDataFrame([("u1", "x"), ("u2", "y"), ("u1", "z"), ("u3", "w")], "article_link string, issue string")
+    got = spark.createDataFrame([("u1", 200, full), ("u2", 404, full), ("u4", 200, full)], schemas.CRAWL)
+    found = pages.article_page_table(links, got)
+    assert rows(found.select("article_link", "issue", "header_title", "extracted_text")) == [
+        ("u1", "x", "T", "t"), ("u1", "z", "T", "t")]
+
+
+def test_report(spark):
+    frame = spark.createDataFrame(
+        [("3 May 2010", "a", "en"), ("2010-05-03", "a", "fr"), (None, "b", "en"), (None, "b", None)],
+        "date_processed string, article_type string, language_ident string")
+    found = report.report(frame)
+    day = F.date_format("date_processed", "yyyy-MM-dd")
+    assert rows(found.by_type.select(day, "article_type", "articles")) == [("2010-05-03", "a", 2), (None, "b", 2)]
+    assert found.by_language.count() == 4

@@ -1,0 +1,47 @@
+"""Every registered query equals its SQL answer on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from articlelake.session import session, shared_folder, use_all_cores
+from checks.compare import compare, oracle
+from tests.conftest import SMALL
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return oracle(SMALL)
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query(spark, connection, name):
+    assert compare(spark, connection, SMALL, name) is None
+
+
+def test_every_query_has_an_answer():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_entry(spark):
+    first, second = contract.entry(spark), contract.entry(spark)
+    assert first.schema == second.schema and first.count() > 0
+
+
+def test_shared_folder_follows_the_session(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark), shared_folder(spark)
+    assert first.startswith(base.rstrip("/") + "/") and first != second
+
+
+def test_only_small_inputs_are_spread(spark):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    assert use_all_cores(documents, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    try:
+        assert use_all_cores(documents, "doc_id") is documents
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
+
+
+def test_session_settings():
+    assert session().conf.get("spark.sql.session.timeZone") == "UTC"
