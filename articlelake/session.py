@@ -11,8 +11,10 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # documents are wide: fewer rows per Arrow batch keep Python workers small
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    # a join may use a hash table when its small side fits in memory in every partition
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # documents are wide: Arrow batches for Python are bounded by bytes, not only by rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
 

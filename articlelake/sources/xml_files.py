@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
 from articlelake.schemas import BINARY_FILE
+from articlelake.session import settle
 
 
 def is_article_file(name: Column) -> Column:
@@ -56,22 +57,45 @@ def manifest(files: DataFrame) -> DataFrame:
     )
 
 
+def _files_at(files: DataFrame, paths: DataFrame, max_paths: int) -> DataFrame:
+    """The rows of the scan ``files`` for ``paths``, reading no more contents than needed.
+
+    Few paths (at most ``max_paths``, which is checked) are loaded by name; for more
+    of them the whole scan is reduced by a semi-join.
+    """
+    spark = files.sparkSession
+    listed = [row.path for row in paths.limit(max_paths + 1).collect()]
+    if len(listed) > max_paths:
+        return files.join(paths, "path", "left_semi")
+    return _binary(spark.read).load(listed) if listed else spark.createDataFrame([], BINARY_FILE)
+
+
 def scan_new_xml_files(
     spark: SparkSession, directory: str, existing: DataFrame, max_paths: int = 10_000
 ) -> DataFrame:
     """Files under ``directory`` whose path is not yet in ``existing.file_name``.
 
-    The listing is compared first, without reading contents.  A small increment
-    (at most ``max_paths`` new paths, which is checked) is then loaded by path,
-    so only new files are read.  A larger one is read by the full scan and
-    reduced by an anti-join.
+    The listing is compared first, without reading contents, so a small
+    increment opens only new files.
     """
     files = scan_xml_files(spark, directory)
     known = existing.select(F.col("file_name").alias("path")).distinct()
-    new_paths = files.select("path").join(known, "path", "left_anti")
-    paths = [row.path for row in new_paths.limit(max_paths + 1).collect()]
-    if len(paths) > max_paths:
-        return files.join(known, "path", "left_anti")
-    if not paths:
-        return spark.createDataFrame([], BINARY_FILE)
-    return _binary(spark.read).load(paths)
+    return _files_at(files, settle(files.select("path").join(known, "path", "left_anti")), max_paths)
+
+
+def refresh_manifest(
+    spark: SparkSession, directory: str, old: DataFrame, max_paths: int = 10_000
+) -> DataFrame:
+    """The manifest of ``directory`` now, given the one of an earlier time.
+
+    A file whose time and length are as before keeps its hash; only new and
+    touched files are read.
+    """
+    files = scan_xml_files(spark, directory)
+    listing = files.select("path", F.col("modificationTime").alias("modification_time"), "length")
+    same = ["path", "modification_time", "length"]
+    known = old.groupBy(*same).agg(F.max("sha256").alias("sha256"))
+    matched = settle(listing.join(known, same, "left"))
+    unread = matched.where(F.col("sha256").isNull()).select("path")
+    read = manifest(_files_at(files, unread, max_paths))
+    return matched.where(F.col("sha256").isNotNull()).unionByName(read)

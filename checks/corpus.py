@@ -192,12 +192,12 @@ def journal_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
         tei({"article_id": "cast(id as string)", "volume": "cast(doc_id as string)",
              "body": f"concat('<p>', {escaped('line')}, '</p>')"}).alias("html"),
     )
-    return settle(issues.unionByName(pages).unionByName(xml))
+    return use_all_cores(settle(issues.unionByName(pages).unionByName(xml)), "url")
 
 
 def article_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full article page for every document; fetching fails for one source."""
-    return settle(documents_table(spark, sf_dir).selectExpr(
+    pages = documents_table(spark, sf_dir).selectExpr(
         f"concat('{SITE}/page/', doc_id) as url",
         "case when source = 'src7' then 404 else 200 end as status",
         f"""concat('<body><div class="DHQarticle wide"><div id="pubInfo">', source, ' &middot; ', doc_id, '</div>',
@@ -210,7 +210,8 @@ def article_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
                 '</div><div class="endnote"><b>m</b></div></div>') end,
             case when doc_id % 4 = 0 then '' else '<div id="worksCited"><div class="bibl">Cited<br></div></div>' end,
             '</div></body>') as html""",
-    ))
+    )
+    return use_all_cores(settle(pages), "url")
 
 
 def article_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:

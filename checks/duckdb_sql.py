@@ -202,11 +202,11 @@ ORACLES = {
         qualify row_number() over (partition by user_id order by ts desc, event_type || event_id desc) = 1""",
     "csv_round_trip": """select doc_id, text, lang, case when lang <> 'de' then source end as source, n_chars
         from documents""",
-    "ingest_twice": f"""select {FILE} as file_name, printf('%06d', doc_id) as article_id, text as body_text,
+    "ingest_stream": f"""select {FILE} as file_name, printf('%06d', doc_id) as article_id, text as body_text,
         'ok' as status from documents""",
     "counts_by_type": """select strftime(o_orderdate, '%Y-%m-%d') as date_processed, o_orderstatus as article_type,
         count(*) as articles from orders group by 1, 2""",
-    "counts_by_language": """select case when doc_id % 11 <> 5 then (2007 + doc_id % 17)::varchar end as date_processed,
+    "counts_by_lang": """select case when doc_id % 11 <> 5 then (2007 + doc_id % 17)::varchar end as date_processed,
         lang as language_ident, count(*) as articles from documents group by 1, 2""",
     "top_articles": "select doc_id, lang, n_chars from documents order by n_chars desc nulls last, doc_id limit 20",
     "curated_dataset": f"""{CURATED} select file_name, article_id, volume, issue, date_when,

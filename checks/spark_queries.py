@@ -9,7 +9,7 @@ from articlelake.operators import counts, html, joins, manifests, repair, tei, u
 from articlelake.plans import catalog, dataset, pages, report
 from articlelake.session import settle, shared_folder
 from articlelake.sources import crawl, tables, xml_files
-from articlelake.streaming.ingest import ingest_stream
+from articlelake.streaming import ingest
 from checks import corpus
 from checks.corpus import SITE, table
 
@@ -306,15 +306,15 @@ def csv_round_trip(spark, sf_dir):
     return tables.read_csv(spark, folder, documents.schema)
 
 
-def ingest_twice(spark, sf_dir):
+def ingest_stream(spark, sf_dir):
     """Two runs of the stream over the documents; the second finds nothing new."""
     path = f"{sf_dir}/documents.parquet"
     folder = shared_folder(spark)
     for _ in range(2):
         # a pattern, as a stream source takes no path of a single file
         documents = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path + "*")
-        ingest_stream(corpus.as_files(documents), f"{folder}/parsed", f"{folder}/checkpoint",
-                      fields=["article_id", "body_text"])
+        ingest.ingest_stream(corpus.as_files(documents), f"{folder}/parsed", f"{folder}/checkpoint",
+                             fields=["article_id", "body_text"])
     return spark.read.parquet(f"{folder}/parsed").select("file_name", "article_id", "body_text", "status")
 
 
@@ -326,7 +326,7 @@ def counts_by_type(spark, sf_dir):
     return counts.counts_by_type(rows)
 
 
-def counts_by_language(spark, sf_dir):
+def counts_by_lang(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").selectExpr(
         "case when doc_id % 11 <> 5 then cast(2007 + doc_id % 17 as string) end as date_processed",
         "lang as language_ident")
@@ -421,7 +421,7 @@ QUERIES = {
         parse_dates, json_field, latest_by_text, latest_by_date, fix_and_default, fill_dates,
         fill_issue_attrs, fill_issue_gaps, link_join, missing_articles, missing_count, fill_links,
         link_exists, existing_links, union_backfill, resume_append, snapshot_diff, latest_version,
-        csv_round_trip, ingest_twice, counts_by_type, counts_by_language, top_articles,
+        csv_round_trip, ingest_stream, counts_by_type, counts_by_lang, top_articles,
         curated_dataset, report_by_type, report_by_language, catalog_issues, catalog_articles,
         catalog_missing, catalog_xml_links, catalog_backfill, article_page_table, page_notes,
     )

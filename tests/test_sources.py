@@ -1,11 +1,15 @@
 """Files and tables in temporary folders."""
 
+import os
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from articlelake import schemas
 from articlelake.operators import manifests, unions
 from articlelake.operators.tei import extract_articles, good_articles
+from articlelake.session import settle
 from articlelake.sources import crawl, tables, xml_files
 from articlelake.streaming.ingest import ingest_stream
 from tests.conftest import plan, rows
@@ -48,8 +52,6 @@ def test_scan_to_articles(spark, folder):
 
 
 def test_excluded_files_are_never_opened(spark, folder):
-    import os
-    from pathlib import Path
     unreadable = folder / "old1.xml"
     unreadable.unlink()
     os.symlink(Path("/nowhere"), folder / "old2.xml")
@@ -110,6 +112,22 @@ def test_manifest_and_diff(spark, folder):
     assert manifests.has_changed(diff)
 
 
+@pytest.mark.parametrize("max_paths", [0, 100])
+def test_refreshed_manifest_reads_only_touched_files(spark, folder, max_paths):
+    def everything():
+        return xml_files.manifest(xml_files.scan_xml_files(spark, str(folder)))
+
+    old = settle(everything().withColumn("sha256", F.concat(F.lit("known "), "path")))
+    os.utime(folder / "000664.xml", (1, 1))
+    write(folder, "new.xml", tei())
+    (folder / "Old.xml").unlink()
+    found = xml_files.refresh_manifest(spark, str(folder), old, max_paths)
+    assert rows(found.drop("sha256")) == rows(everything().drop("sha256"))
+    hashed = found.where("sha256 not like 'known %'")
+    assert names(hashed, folder) == ["000664.xml", "new.xml"]
+    assert hashed.join(everything(), found.columns, "left_anti").isEmpty()
+
+
 def test_latest_version_wins(spark):
     log = spark.createDataFrame(
         [("p", 1, "a"), ("p", 3, "c"), ("p", 2, "b"), ("q", 1, "x"), ("q", 1, "y")], "path string, t int, sha256 string"

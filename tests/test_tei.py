@@ -1,8 +1,13 @@
 """Article documents: every field, every absent node, damaged documents."""
 
+from xml.sax.saxutils import escape
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Row
 
+from articlelake.functions.tei_fields import OK, read_tei
 from articlelake.operators.tei import author_rows, extract_articles, good_articles, quarantine
 from tests.conftest import plan
 from tests.documents import BROKEN, DECLARATION, tei
@@ -137,3 +142,11 @@ def test_all_texts_survive_many_batches(spark):
     files = spark.createDataFrame(documents, "path string, content string").repartition(3)
     found = {r.article_id: r.body_text for r in extract_articles(files).collect()}
     assert found == {f"{n:06d}": "x" * (n % 97) for n in range(3000)}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs", "Cc"], exclude_characters="\ufffe\uffff")), max_size=6))
+def test_written_text_is_read_back(pieces):
+    body = "".join(f"<p>{escape(piece)}<hi/></p>" for piece in pieces)
+    status, _, record = read_tei(tei(body=body).encode(), ["body_text"])
+    assert status == OK and record["body_text"] == "".join(pieces).strip()
