@@ -8,7 +8,7 @@ corpus with another layout can pass its own.
 # --- Fixed values: XML namespaces -------------------------------------------
 NAMESPACES = {
     "tei": "http://www.tei-c.org/ns/1.0",
-    "dhq": "http://www.digitalhumanities.org/ns/dhq",
+    "journal": "http://www.digitalhumanities.org/ns/dhq",
     "xml": "http://www.w3.org/XML/1998/namespace",
 }
 
@@ -17,19 +17,19 @@ FIRST_TEXT_PATHS = {
     "article_id": ".//tei:publicationStmt/tei:idno[@type='DHQarticle-id']",
     "volume": ".//tei:publicationStmt/tei:idno[@type='volume']",
     "issue": ".//tei:publicationStmt/tei:idno[@type='issue']",
-    "article_type": ".//tei:publicationStmt/dhq:articleType",
+    "article_type": ".//tei:publicationStmt/journal:articleType",
     "date_when": ".//tei:publicationStmt/tei:date",
     "keywords": ".//tei:encodingDesc/tei:classDecl/tei:taxonomy[@xml:id='dhq_keywords']/tei:bibl",
-    "abstract": ".//tei:text/tei:front/dhq:abstract/tei:p",
+    "abstract": ".//tei:text/tei:front/journal:abstract/tei:p",
 }
 LANGUAGE_PATH = ".//tei:profileDesc/tei:langUsage/tei:language"
 TITLE_PATH = ".//tei:titleStmt/tei:title"
-AUTHOR_PATH = ".//tei:titleStmt/dhq:authorInfo"
-AUTHOR_NAME_PATH = "dhq:author_name"
-AUTHOR_FAMILY_PATH = "dhq:family"
-AUTHOR_AFFILIATION_PATH = "dhq:affiliation"
+AUTHOR_PATH = ".//tei:titleStmt/journal:authorInfo"
+AUTHOR_NAME_PATH = "journal:author_name"
+AUTHOR_FAMILY_PATH = "journal:family"
+AUTHOR_AFFILIATION_PATH = "journal:affiliation"
 AUTHOR_EMAIL_PATHS = ("tei:email", "email")
-AUTHOR_BIO_PATH = "dhq:bio/tei:p"
+AUTHOR_BIO_PATH = "journal:bio/tei:p"
 BODY_PATH = ".//tei:text/tei:body"
 
 # --- Fixed values: files that are not articles ------------------------------

@@ -18,7 +18,22 @@ RECOMMENDED = {
 }
 
 
-def session(app_name: str = "articlelake", **settings: str) -> SparkSession:
+# Shuffle partitions of this size fit in memory beside their neighbours; smaller ones are merged.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 ** 2
+
+
+def session(
+    app_name: str = "articlelake", corpus_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """A session with the recommended settings.
+
+    ``corpus_bytes``, the size of the largest table that will be shuffled, sets the
+    number of shuffle partitions: adaptive execution merges partitions that turn
+    out small, but only a skewed join splits those that turn out large.
+    """
+    if corpus_bytes is not None:
+        partitions = max(200, -(-corpus_bytes // SHUFFLE_PARTITION_BYTES))
+        settings = {"spark.sql.shuffle.partitions": str(partitions), **settings}
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**RECOMMENDED, **settings}.items():
         builder = builder.config(key, value)

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from articlelake import fixed_values as fixed
 from articlelake.session import settle, use_all_cores
 
 SITE = "http://journal.example"
@@ -33,7 +34,7 @@ DATE_TEXT = "date_format(date_add(date'2007-01-01', cast(doc_id % 6000 as int)),
 # every text piece in a paragraph of its own, frequent words marked up
 MARKED_BODY = f"""concat('<div><p>', replace(replace({escaped('text')},
     '\\n', '</p>\\n<p>'), ' the ', ' <hi rend="i">the</hi> '), '</p></div>')"""
-HEAD = """<TEI xmlns="http://www.tei-c.org/ns/1.0" xmlns:dhq="http://www.digitalhumanities.org/ns/dhq">"""
+HEAD = f'<TEI xmlns="{fixed.NAMESPACES["tei"]}" xmlns:j="{fixed.NAMESPACES["journal"]}">'
 
 # Fields of the documents' articles; a null leaves the node out.
 FULL = {
@@ -49,13 +50,13 @@ FULL = {
                 "when 'fr' then null else concat('<p>About ', source, ' <hi>more</hi></p><p>next</p>') end",
     "title": "concat('On ', source, ' <emph>in <hi>', lang, '</hi> of ', n_chars, '</emph> letters')",
     "authors": """concat_ws('', transform(sequence(0, 3), i -> case when i < doc_id % 4 then concat(
-        '<dhq:authorInfo><dhq:author_name>First', i, ' ',
-        case when (doc_id + i) % 3 <> 0 then concat('<dhq:family>Last', doc_id, '</dhq:family>') else '' end,
-        '</dhq:author_name>',
-        case when i <> 1 then concat('<dhq:affiliation>', source, '</dhq:affiliation>') else '' end,
+        '<j:authorInfo><j:author_name>First', i, ' ',
+        case when (doc_id + i) % 3 <> 0 then concat('<j:family>Last', doc_id, '</j:family>') else '' end,
+        '</j:author_name>',
+        case when i <> 1 then concat('<j:affiliation>', source, '</j:affiliation>') else '' end,
         case when i = 0 then concat('<email>a', doc_id, '@x.example</email>') else '' end,
-        case when i = 2 then concat('<dhq:bio><p> Writes <hi>', lang, '</hi> texts </p></dhq:bio>') else '' end,
-        '</dhq:authorInfo>') end))""",
+        case when i = 2 then concat('<j:bio><p> Writes <hi>', lang, '</hi> texts </p></j:bio>') else '' end,
+        '</j:authorInfo>') end))""",
     "body": MARKED_BODY,
 }
 
@@ -76,14 +77,14 @@ def tei(fields: dict[str, str]) -> Column:
         node("article_id", '<idno type="DHQarticle-id">', "</idno>"),
         node("volume", '<idno type="volume">', "</idno>"),
         node("issue", '<idno type="issue">', "</idno>"),
-        node("article_type", "<dhq:articleType>", "</dhq:articleType>"),
+        node("article_type", "<j:articleType>", "</j:articleType>"),
         node("date", '<date when="x">', "</date>"),
         "'</publicationStmt></fileDesc>'",
         node("keywords", '<encodingDesc><classDecl><taxonomy xml:id="dhq_keywords"><bibl>',
              "</bibl></taxonomy></classDecl></encodingDesc>"),
         node("language", "<profileDesc><langUsage>", "</langUsage></profileDesc>"),
         "'</teiHeader><text>'",
-        node("abstract", "<front><dhq:abstract>", "</dhq:abstract></front>"),
+        node("abstract", "<front><j:abstract>", "</j:abstract></front>"),
         node("body", "<body>", "</body>"),
         "'</text></TEI>'",
     ]) + ")")
@@ -151,7 +152,7 @@ def label_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def journal_home(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The home page of a journal per document, with links to its issue, its preview and elsewhere."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return documents_table(spark, sf_dir).selectExpr(
         f"concat('{SITE}/home/', doc_id) as url", "200 as status",
         """concat('<body><div id="other"><a href="/vol/0/0/none.html">no</a></div><div id="leftsidenav"><ul>',
             '<li><a href="/vol/', doc_id, '/1/index.html">', lang, ': ', doc_id, '.1</a>',

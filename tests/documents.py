@@ -1,6 +1,8 @@
 """Small article files and pages in the shapes the library reads."""
 
-NS = 'xmlns="http://www.tei-c.org/ns/1.0" xmlns:dhq="http://www.digitalhumanities.org/ns/dhq"'
+from articlelake.fixed_values import NAMESPACES
+
+NS = f'xmlns="{NAMESPACES["tei"]}" xmlns:j="{NAMESPACES["journal"]}"'
 
 
 def tei(article_id="000001", volume="001", issue="1", date="3 May 2010", kind="article",
@@ -14,12 +16,12 @@ def tei(article_id="000001", volume="001", issue="1", date="3 May 2010", kind="a
         + node(title, "<title>", "</title>") + authors + "</titleStmt><publicationStmt>"
         + node(article_id, '<idno type="DHQarticle-id">', "</idno>")
         + node(volume, '<idno type="volume">', "</idno>") + node(issue, '<idno type="issue">', "</idno>")
-        + node(kind, "<dhq:articleType>", "</dhq:articleType>")
+        + node(kind, "<j:articleType>", "</j:articleType>")
         + node(date, '<date when="2001-01-01">', "</date>") + "</publicationStmt></fileDesc>"
         + node(keywords, '<encodingDesc><classDecl><taxonomy xml:id="other"><bibl>x</bibl></taxonomy>'
                '<taxonomy xml:id="dhq_keywords"><bibl>', "</bibl></taxonomy></classDecl></encodingDesc>")
         + "<profileDesc><langUsage>" + (language or "") + "</langUsage></profileDesc></teiHeader><text>"
-        + node(abstract, "<front><dhq:abstract>", "</dhq:abstract></front>")
+        + node(abstract, "<front><j:abstract>", "</j:abstract></front>")
         + node(body, "<body>", "</body>") + "</text></TEI>"
     )
 

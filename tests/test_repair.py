@@ -191,6 +191,28 @@ def test_null_and_hot_keys_are_spread(articles, links, no_broadcast):
     assert len(exchanges) == 2 and all("_spread" in line for line in exchanges)
 
 
+def test_hot_key_is_split_at_run_time(spark, no_broadcast):
+    rows_ = settle(spark.range(60000).selectExpr(
+        "concat('f', id) as file_name", "if(id % 3 = 0, 'hot', concat('a', id)) as article_id", "'1' as volume",
+        "'1' as issue", "repeat('x', 50) as pad"))
+    links_ = settle(spark.range(0, 60000, 7).selectExpr("concat('a', id) as article_id", "'1' as volume",
+                                                        "'1' as issue", "concat('l', id) as article_link"))
+    limits = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+              "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0"}
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        joined = joins.join_links(rows_, links_)
+        assert len(joined.collect()) == 60000
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_small_lookup_needs_no_shuffle(articles):
     text = plan(repair.fill_from_group(articles[1].coalesce(1)))
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text

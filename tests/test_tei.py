@@ -61,16 +61,16 @@ def test_body_keeps_all_text_in_order(spark):
 
 def test_authors(spark):
     def info(inner):
-        return f"<dhq:authorInfo>{inner}</dhq:authorInfo>"
+        return f"<j:authorInfo>{inner}</j:authorInfo>"
 
     authors = (
-        info("<dhq:author_name>Ann <dhq:family>Lee</dhq:family></dhq:author_name>"
-             "<dhq:affiliation>Uni</dhq:affiliation><email>a@x</email>"
-             "<dhq:bio><p> Bio <i>text</i> </p><p>more</p></dhq:bio>")
-        + info("<dhq:author_name>Solo</dhq:author_name>")
-        + info("<dhq:author_name><dhq:family>Only</dhq:family></dhq:author_name>")
-        + info("<dhq:affiliation>None</dhq:affiliation>")
-        + info("<dhq:author_name/>")
+        info("<j:author_name>Ann <j:family>Lee</j:family></j:author_name>"
+             "<j:affiliation>Uni</j:affiliation><email>a@x</email>"
+             "<j:bio><p> Bio <i>text</i> </p><p>more</p></j:bio>")
+        + info("<j:author_name>Solo</j:author_name>")
+        + info("<j:author_name><j:family>Only</j:family></j:author_name>")
+        + info("<j:affiliation>None</j:affiliation>")
+        + info("<j:author_name/>")
     )
     found = one(spark, tei(authors=authors)).authors
     assert [tuple(a) for a in found] == [
@@ -80,12 +80,12 @@ def test_authors(spark):
 
 
 def test_email_outside_the_namespace(spark):
-    authors = '<dhq:authorInfo><email xmlns="">b@x</email></dhq:authorInfo>'
+    authors = '<j:authorInfo><email xmlns="">b@x</email></j:authorInfo>'
     assert one(spark, tei(authors=authors)).authors[0].email == "b@x"
 
 
 def test_author_rows_keep_articles_without_authors(spark):
-    authors = "<dhq:authorInfo><dhq:author_name>A</dhq:author_name></dhq:authorInfo>" * 2
+    authors = "<j:authorInfo><j:author_name>A</j:author_name></j:authorInfo>" * 2
     files = spark.createDataFrame([("1", tei(authors=authors)), ("2", tei())], "path string, content string")
     found = author_rows(extract_articles(files, fields=["authors"]), "file_name").collect()
     assert sorted((r.file_name, r.position, r.author_name) for r in found if r.position is not None) == [
@@ -102,7 +102,7 @@ def test_other_prefix_of_the_same_namespace(spark):
 
 
 def test_namespace_decides(spark):
-    row = one(spark, tei(ns='xmlns="http://x.example" xmlns:dhq="http://y.example"'))
+    row = one(spark, tei(ns='xmlns="http://x.example" xmlns:j="http://y.example"'))
     assert row.status == "ok" and row.title is None and row.article_type is None
 
 
