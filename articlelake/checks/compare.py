@@ -1,4 +1,4 @@
-"""Compare queries with their SQL answers: ``python -m checks.compare [sf_dir] [query ...]``."""
+"""Compare queries with their SQL answers: ``python -m articlelake.checks.compare [sf_dir] [query ...]``."""
 
 import sys
 import time
@@ -6,8 +6,8 @@ import time
 import duckdb
 
 from articlelake.session import session
-from checks.duckdb_sql import ORACLES
-from checks.spark_queries import QUERIES
+from articlelake.checks.duckdb_sql import ORACLES
+from articlelake.checks.spark_queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()

@@ -1,6 +1,6 @@
 """The same answers in plain SQL, computed from the source columns without XML, HTML or Spark."""
 
-from checks.corpus import SITE
+from articlelake.checks.corpus import SITE
 
 DATE = "(date '2007-01-01' + (doc_id % 6000)::integer)"
 DATE_TEXT = f"strftime({DATE}, '%-d %B %Y')"
@@ -204,6 +204,12 @@ ORACLES = {
         from documents""",
     "ingest_stream": f"""select {FILE} as file_name, printf('%06d', doc_id) as article_id, text as body_text,
         'ok' as status from documents""",
+    "reuse_stage": "select * from documents",
+    "optional_backfill": f"""select {FILE} as file_name, source as article_type, null::varchar as date_processed,
+        null::integer as n_authors from documents""",
+    "null_split": """select o_orderkey, case when o_orderkey % 10 <> 0 then strftime(o_orderdate, '%Y-%m-%d') end
+            as o_orderdate, case when o_orderkey % 10 = 0 or o_orderdate is null then 'missing' else 'present' end as side
+        from orders""",
     "counts_by_type": """select strftime(o_orderdate, '%Y-%m-%d') as date_processed, o_orderstatus as article_type,
         count(*) as articles from orders group by 1, 2""",
     "counts_by_lang": """select case when doc_id % 11 <> 5 then (2007 + doc_id % 17)::varchar end as date_processed,

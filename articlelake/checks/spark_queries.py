@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from articlelake import schemas
 from articlelake.functions import text as tx
 from articlelake.functions.html_fields import Pick
 from articlelake.operators import counts, html, joins, manifests, repair, tei, unions
@@ -10,8 +11,8 @@ from articlelake.plans import catalog, dataset, pages, report
 from articlelake.session import settle, shared_folder
 from articlelake.sources import crawl, tables, xml_files
 from articlelake.streaming import ingest
-from checks import corpus
-from checks.corpus import SITE, table
+from articlelake.checks import corpus
+from articlelake.checks.corpus import SITE, table
 
 DAY = "yyyy-MM-dd"
 
@@ -318,6 +319,36 @@ def ingest_stream(spark, sf_dir):
     return spark.read.parquet(f"{folder}/parsed").select("file_name", "article_id", "body_text", "status")
 
 
+def _must_not_run():
+    raise AssertionError("a finished stage was built again")
+
+
+def reuse_stage(spark, sf_dir):
+    """A finished stage is read, not built again."""
+    folder = shared_folder(spark)
+    tables.stage(spark, folder, lambda: table(spark, sf_dir, "documents"))
+    return tables.stage(spark, folder, _must_not_run)
+
+
+def optional_backfill(spark, sf_dir):
+    """No backfill table exists: an empty one of its type takes its place."""
+    documents = table(spark, sf_dir, "documents").selectExpr(
+        f"concat('corpus/', {corpus.padded('doc_id')}, '.xml') as file_name", "source as article_type")
+    backfill = tables.read_optional(spark, shared_folder(spark), schemas.ARTICLES_CLEAN)
+    both = unions.append_rows(documents, backfill)
+    return both.select("file_name", "article_type", _day("date_processed"), F.array_size("authors").alias("n_authors"))
+
+
+def null_split(spark, sf_dir):
+    """Orders without and with a date, each marked by the side it went to."""
+    gaps = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "case when o_orderkey % 10 <> 0 then o_orderdate end as o_orderdate")
+    missing, present = counts.null_split(gaps, "o_orderdate")
+    both = unions.append_rows(missing.withColumn("side", F.lit("missing")),
+                              present.withColumn("side", F.lit("present")))
+    return both.withColumn("o_orderdate", F.date_format("o_orderdate", DAY))
+
+
 # --- reports -----------------------------------------------------------------
 
 def counts_by_type(spark, sf_dir):
@@ -345,7 +376,7 @@ def _curated(spark, sf_dir):
     articles = tei.good_articles(parsed)
     rows = dataset.build_dataset(articles, corpus.label_links(spark, sf_dir),
                                  overrides=corpus.label_overrides(spark, sf_dir))
-    final = dataset.finalize(settle(rows), corpus.label_crawl(spark, sf_dir), SITE)
+    final = dataset.finalize(rows, corpus.label_crawl(spark, sf_dir), SITE)
     return dataset.with_contents(final, articles)
 
 
@@ -421,7 +452,8 @@ QUERIES = {
         parse_dates, json_field, latest_by_text, latest_by_date, fix_and_default, fill_dates,
         fill_issue_attrs, fill_issue_gaps, link_join, missing_articles, missing_count, fill_links,
         link_exists, existing_links, union_backfill, resume_append, snapshot_diff, latest_version,
-        csv_round_trip, ingest_stream, counts_by_type, counts_by_lang, top_articles,
+        csv_round_trip, ingest_stream, reuse_stage,
+        optional_backfill, null_split, counts_by_type, counts_by_lang, top_articles,
         curated_dataset, report_by_type, report_by_language, catalog_issues, catalog_articles,
         catalog_missing, catalog_xml_links, catalog_backfill, article_page_table, page_notes,
     )

@@ -65,6 +65,7 @@ def fill_from_group(
     Partial aggregation reduces each group before the shuffle; the small result
     is joined back, so a group of any size is never brought together.
     Rows with a null key belong to no group and stay as they are.
+    ``df`` is read twice: settle it first when it is costly to compute.
     """
     groups = settle(
         _with_keys(df, keys).groupBy(*keys)
@@ -83,7 +84,7 @@ def share_in_group(
 
     ``mode="overwrite"`` replaces differing values too; ``mode="fill"`` keeps them.
     ``order_by`` says which row is first; the value itself decides what is left open.
-    Rows with a null key stay as they are.
+    Rows with a null key stay as they are.  ``df`` is read twice, as in ``fill_from_group``.
     """
     if mode not in ("overwrite", "fill"):
         raise ValueError(f"unknown mode {mode!r}")

@@ -69,7 +69,7 @@ def link_catalog(
     """
     issues = settle(issue_links(home_pages, base))
     links = settle(catalog_articles(crawl, issues, base))
-    missing = catalog_missing(links, articles)
+    missing = settle(catalog_missing(links, articles))
     delivered = settle(missing_xml_links(crawl, missing, xml_base or base))
     return LinkCatalog(
         issues, links, missing, delivered.drop("url"), backfill_articles(crawl, delivered)

@@ -37,8 +37,8 @@ def clean_keys(keys: DataFrame, overrides: DataFrame, dedupe_by: str = "date_whe
     """Dates read, newest version per article, corrections applied, gaps filled."""
     date_when = replace_all(F.col("date_when"))
     dated = keys.withColumns({"date_when": date_when, "date_processed": parse_date(date_when)})
-    newest = latest_per_key(dated, by=dedupe_by)
-    return fill_from_group(default_unassigned(apply_overrides(newest, overrides)))
+    corrected = default_unassigned(apply_overrides(latest_per_key(dated, by=dedupe_by), overrides))
+    return fill_from_group(settle(corrected))  # written once, as the fill reads it twice
 
 
 def catalog_keys(links: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def build_dataset(
 def finalize(dataset: DataFrame, crawl: DataFrame, base: str) -> DataFrame:
     """Known addresses filled in, issue attributes shared by all articles of an issue."""
     padded = dataset.withColumn("article_id", pad_article_id(as_key(F.col("article_id"))))
-    return share_in_group(fill_links(padded, crawl, base))
+    return share_in_group(settle(fill_links(padded, crawl, base)))
 
 
 def with_contents(rows: DataFrame, articles: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def build_articles(
             spark, at("parsed"), lambda: extract_articles(scan_xml_files(spark, xml_directory)), rebuild
         )
         articles = good_articles(parsed)
-        dataset = settle(build_dataset(articles, links, backfill, overrides))
+        dataset = build_dataset(articles, links, backfill, overrides)
         everything = articles if backfill is None else append_rows(articles, backfill)
         return with_contents(finalize(dataset, crawl, base), everything)
 

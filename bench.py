@@ -7,7 +7,7 @@ import time
 from pathlib import Path
 
 from articlelake.session import session
-from checks.spark_queries import QUERIES
+from articlelake.checks.spark_queries import QUERIES
 
 
 def main(*names: str) -> None:

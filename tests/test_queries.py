@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from articlelake.session import session, shared_folder, use_all_cores
-from checks.compare import compare, oracle
+from articlelake.checks.compare import compare, oracle
 from tests.conftest import SMALL
 
 
