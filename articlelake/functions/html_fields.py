@@ -3,15 +3,21 @@
 Pages are rarely well formed, so the reading is tolerant: void elements close
 at once, an end tag closes everything up to its start tag, an end tag without
 a start tag is ignored, and text inside scripts, styles and templates does not
-count as text of the page.
+count as text of the page.  A text of nothing but whitespace counts as one line
+break or one space, except where whitespace is kept.
 """
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
+from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 UNREAD = frozenset(("script", "style", "template"))
+KEEPS_SPACE = frozenset(("pre", "textarea"))
+SPACES = " \n\t\f\r"
 _STEP = re.compile(r"(?P<tag>[a-z0-9]+)(?:#(?P<id>[^\[.]+)|\.(?P<token>[^\[]+)|\[class=(?P<cls>[^\]]+)\])?$")
 
 
@@ -54,48 +60,78 @@ class _Page(HTMLParser):
     """Elements in document order; each knows its span of texts and descendants."""
 
     def __init__(self, html):
-        super().__init__(convert_charrefs=True)
-        self.nodes, self.texts, self.open, self.unread = [], [], [], 0
-        self.nodes.append(_Node("", {}, 0))
+        super().__init__(convert_charrefs=False)
+        self.nodes, self.texts, self.open = [_Node("", {}, 0)], [], []
+        self.run, self.unread, self.keep_space, self.open_tags = [], 0, 0, Counter()
         self.feed(html)
         self.close()
+        self._end_text()
         self._close_from(0)
         self.nodes[0].text_to, self.nodes[0].last = len(self.texts), len(self.nodes)
 
     def handle_starttag(self, tag, attrs):
+        self._end_text()
         node = _Node(tag, {name: value or "" for name, value in attrs}, len(self.texts))
         self.nodes.append(node)
         if tag in VOID:
             node.text_to, node.last = len(self.texts), len(self.nodes)
         else:
             self.open.append(node)
+            self.open_tags[tag] += 1
             self.unread += tag in UNREAD
+            self.keep_space += tag in KEEPS_SPACE
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at].tag == tag:
-                self._close_from(at)
-                return
+        self._end_text()
+        if self.open_tags[tag]:
+            at = len(self.open) - 1
+            while self.open[at].tag != tag:
+                at -= 1
+            self._close_from(at)
 
     def handle_data(self, data):
-        if not self.unread:
-            self.texts.append(data)
+        self.run.append(data)
+
+    def handle_charref(self, name):
+        self.run.append(unescape(f"&#{name};"))
+
+    def handle_entityref(self, name):
+        self.run.append(html5.get(name + ";", "&" + name))
+
+    def handle_comment(self, data):
+        self._end_text()
+
+    handle_decl = handle_pi = handle_comment
+
+    def unknown_decl(self, data):
+        self._end_text()
+        if data.upper().startswith("CDATA[") and not self.unread:
+            self.texts.append(data[len("CDATA["):])
 
     def updatepos(self, start, end):  # line numbers are not used
         return end
 
-    def unknown_decl(self, data):
-        if data.upper().startswith("CDATA["):
-            self.handle_data(data[len("CDATA["):])
+    def _end_text(self):
+        """The data since the last tag or comment is one text."""
+        if not self.run:
+            return
+        text = "".join(self.run)
+        self.run.clear()
+        if not self.unread:
+            if not self.keep_space and not text.strip(SPACES):
+                text = "\n" if "\n" in text else " "
+            self.texts.append(text)
 
     def _close_from(self, at):
         for node in self.open[at:]:
             node.text_to, node.last = len(self.texts), len(self.nodes)
+            self.open_tags[node.tag] -= 1
             self.unread -= node.tag in UNREAD
+            self.keep_space -= node.tag in KEEPS_SPACE
         del self.open[at:]
 
     def matches(self, scope, step):

@@ -22,8 +22,8 @@ from articlelake.operators.tei import extract_articles, good_articles
 from articlelake.operators.unions import append_rows
 from articlelake.schemas import ARTICLE_LINKS
 from articlelake.session import settle
-from articlelake.sources.tables import stage, write_csv
-from articlelake.sources.xml_files import scan_xml_files
+from articlelake.sources.tables import stage, stage_is_finished, write_csv
+from articlelake.sources.xml_files import scan_new_xml_files, scan_xml_files
 
 KEY_COLUMNS = ("file_name", "article_id", "volume", "issue", "date_when")
 
@@ -74,28 +74,43 @@ def with_contents(rows: DataFrame, articles: DataFrame) -> DataFrame:
     return rows.join(contents, "file_name")
 
 
+def _parsed(spark: SparkSession, xml_directory: str, path: str, mode: str) -> DataFrame:
+    """All documents of the directory as parsed so far; ``append`` adds those not parsed yet."""
+    def everything():
+        return extract_articles(scan_xml_files(spark, xml_directory))
+
+    finished = stage_is_finished(spark, path)
+    parsed = stage(spark, path, everything, rebuild=mode == "rebuild")
+    if mode == "append" and finished:
+        new = scan_new_xml_files(spark, xml_directory, parsed)
+        extract_articles(new).write.mode("append").parquet(path)
+        parsed = spark.read.schema(parsed.schema).parquet(path)
+    return parsed
+
+
 def build_articles(
     spark: SparkSession, xml_directory: str, folder: str, crawl: DataFrame, base: str,
     links: DataFrame | None = None, backfill: DataFrame | None = None,
-    overrides: DataFrame | None = None, rebuild: bool = False, csv: bool = False,
+    overrides: DataFrame | None = None, mode: str = "reuse", csv: bool = False,
 ) -> DataFrame:
     """The whole way from files to the stored table ``folder/articles``.
 
-    Stages are kept in ``folder``; with ``rebuild=False`` finished ones are reused.
+    ``mode="reuse"`` returns a finished table as it is, ``"append"`` parses only files
+    that are new and builds the table from all of them, ``"rebuild"`` starts over.
     """
+    if mode not in ("reuse", "append", "rebuild"):
+        raise ValueError(f"unknown mode {mode!r}")
+
     def at(name):
         return f"{folder.rstrip('/')}/{name}"
 
     def finished():
-        parsed = stage(
-            spark, at("parsed"), lambda: extract_articles(scan_xml_files(spark, xml_directory)), rebuild
-        )
-        articles = good_articles(parsed)
+        articles = good_articles(_parsed(spark, xml_directory, at("parsed"), mode))
         dataset = build_dataset(articles, links, backfill, overrides)
         everything = articles if backfill is None else append_rows(articles, backfill)
         return with_contents(finalize(dataset, crawl, base), everything)
 
-    table = stage(spark, at("articles"), finished, rebuild)
+    table = stage(spark, at("articles"), finished, rebuild=mode != "reuse")
     if csv:
         write_csv(table, at("articles_csv"))
     return table

@@ -20,6 +20,8 @@ RECOMMENDED = {
 
 # Shuffle partitions of this size fit in memory beside their neighbours; smaller ones are merged.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 ** 2
+# A share of a small input that is worth a task of its own.
+SPREAD_BYTES = 512 * 1024
 
 
 def session(
@@ -79,4 +81,7 @@ def use_all_cores(df: DataFrame, *by: str) -> DataFrame:
     spark = df.sparkSession
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if estimate >= split else df.repartition(spark.sparkContext.defaultParallelism, *by)
+    if estimate >= split:
+        return df
+    parts = min(spark.sparkContext.defaultParallelism, -(-estimate // SPREAD_BYTES))
+    return df.repartition(parts, *by)

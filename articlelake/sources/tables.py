@@ -62,13 +62,15 @@ def read_optional_csv(spark: SparkSession, path: str | None, schema: T.StructTyp
     return spark.createDataFrame([], schema)
 
 
+def stage_is_finished(spark: SparkSession, path: str) -> bool:
+    """A job that died half-way left no ``_SUCCESS`` marker."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def stage(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False
 ) -> DataFrame:
-    """The stored result at ``path``; built and written when absent, unfinished or asked for.
-
-    A job that died half-way left no ``_SUCCESS`` marker, so its output is not reused.
-    """
-    if not rebuild and path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+    """The stored result at ``path``; built and written when absent, unfinished or asked for."""
+    if not rebuild and stage_is_finished(spark, path):
         return spark.read.parquet(path)
     return settle(build(), path)

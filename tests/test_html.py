@@ -20,7 +20,12 @@ def text(page, *path, **options):
     ("<div>a<script>if (1<2) '</b>'</script>b<style>p{}</style>c</div>", "abc"),
     ("<div>a<template><p>no</p></template>b</div>", "ab"),
     ("<div>a<!-- no -->b</div>", "ab"),
-    ("<div>&amp;&lt;&eacute;&#65;&copy &unknown;</div>", "&<éA© &unknown;"),
+    ("<div>&amp;&lt;&eacute;&#65;&#x42;&copy &unknown;! a & b</div>", "&<éAB© &unknown! a & b"),
+    ("<div>a < b</div>", "a < b"),
+    ("<div> \n  <b>x</b>   <i> y  z </i><!-- c -->  \t</div>", "\nx  y  z  "),  # whitespace alone is one space
+    ("<div><pre>  \n  </pre></div>", "  \n  "),
+    ("<div>\u00a0 <b>x</b></div>", "\u00a0 x"),
+    ("<div><![CDATA[a<b]]></div>", "a<b"),
     ("<div>never closed <i>x", "never closed x"),
     ("<DIV>Upper</DIV>", "Upper"),
     ("<p>none</p>", None), ("", None), (None, None),

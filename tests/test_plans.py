@@ -1,5 +1,7 @@
 """Whole plans on a small journal: files, crawled site, backfill, finished table, report."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,8 +110,26 @@ def test_build_articles_reuses_finished_stages(spark, journal, crawl, table):
     folder, built = table
     again = dataset.build_articles(spark, "/nowhere", folder, crawl, BASE)
     assert rows(again) == rows(built)
-    rebuilt = dataset.build_articles(spark, journal, folder, crawl, BASE, rebuild=True)
-    assert rebuilt.count() == 5 and "article_link" in rebuilt.columns
+
+
+def test_append_parses_only_new_files(spark, journal, crawl, tmp_path):
+    corpus, folder = tmp_path / "corpus", str(tmp_path / "work")
+    shutil.copytree(journal, corpus)
+
+    def build(mode):
+        built = dataset.build_articles(spark, str(corpus), folder, crawl, BASE, mode=mode)
+        return {r.article_id: r.title for r in built.collect()}
+
+    first = build("append")
+    assert len(first) == 5 and build("append") == first
+    (corpus / "000012.xml").write_text(tei("000012", title="Twelve"))
+    (corpus / "a" / "000002.xml").write_text(tei("000002", title="changed, but known by name"))
+    assert build("reuse") == first
+    assert build("append") == {**first, "000012": "Twelve"}
+    assert spark.read.parquet(f"{folder}/parsed").count() == 9
+    assert build("rebuild") == {**first, "000012": "Twelve", "000002": "changed, but known by name"}
+    with pytest.raises(ValueError):
+        build("other")
 
 
 def test_csv_export(spark, table, tmp_path):

@@ -34,8 +34,13 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def test_only_small_inputs_are_spread(spark):
+    def partitions(folder):
+        documents = spark.read.parquet(f"{folder}/documents.parquet")
+        return use_all_cores(documents, "doc_id").rdd.getNumPartitions()
+
+    assert partitions(SMALL) == 1
+    assert partitions("/root/testdata/sf0.1") == spark.sparkContext.defaultParallelism
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
-    assert use_all_cores(documents, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
     try:
         assert use_all_cores(documents, "doc_id") is documents
