@@ -49,13 +49,27 @@ def keyed_left_join(
     return spread.join(_settled(other, keys), keys + [_SPREAD], "left").drop(_SPREAD)
 
 
+def _known(other: DataFrame, key: str) -> DataFrame:
+    """The distinct keys, already placed for the join by the same shuffle that removes repeats."""
+    return _settled(other.select(key).where(F.col(key).isNotNull()), [key]).distinct()
+
+
 def keyed_anti_join(
     rows: DataFrame, other: DataFrame, key: str, spread_by: Sequence[str]
 ) -> DataFrame:
     """Rows whose key does not occur in ``other``; rows with a null key are kept."""
-    known = _settled(other.select(key).where(F.col(key).isNotNull()), [key]).distinct()
     spread = _spread_rows(rows, _any_null([key]), spread_by)
-    return spread.join(known, [key, _SPREAD], "left_anti").drop(_SPREAD)
+    return spread.join(_known(other, key), [key, _SPREAD], "left_anti").drop(_SPREAD)
+
+
+def keyed_mark(
+    rows: DataFrame, other: DataFrame, key: str, mark: str, spread_by: Sequence[str]
+) -> DataFrame:
+    """All rows, with the column ``mark``: does the key occur in ``other``?"""
+    spread = _spread_rows(rows, _any_null([key]), spread_by)
+    marked = _known(other, key).withColumn(mark, F.lit(True))
+    joined = spread.join(marked, [key, _SPREAD], "left").drop(_SPREAD)
+    return joined.withColumn(mark, F.col(mark).isNotNull())
 
 
 def lookup_join(

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
 from articlelake.functions.text import article_url
-from articlelake.operators.joins import keyed_left_join, lookup_join
+from articlelake.operators.joins import keyed_left_join, keyed_mark, lookup_join
 from articlelake.schemas import OVERRIDES
 from articlelake.session import settle
-from articlelake.sources.crawl import reachable_urls
+from articlelake.sources.crawl import with_link_exists
 from articlelake.sources.xml_files import base_name
 
 ISSUE_KEYS = ("volume", "issue")
@@ -118,9 +118,9 @@ def fill_links(
     """Fill a missing link with the address built from the keys, if that page is known to exist."""
     link = F.col(columns["link"])
     built = article_url(base, *[F.col(columns[c]) for c in ("volume", "issue", "article_id")])
-    known = reachable_urls(crawl).select(F.col("url").alias("_built"), F.lit(True).alias("_known"))
+    pages = with_link_exists(crawl).where("link_exists").select(F.col("url").alias("_built"))
     # rows that have a link ask for nothing: their key is null
     asked = df.withColumn("_built", F.when(link.isNull(), built))
-    checked = keyed_left_join(asked, known, ["_built"], spread_by)
-    filled = F.when(F.col("_known").isNotNull(), F.col("_built")).otherwise(link)
+    checked = keyed_mark(asked, pages, "_built", "_exists", spread_by)
+    filled = F.when(F.col("_exists"), F.col("_built")).otherwise(link)
     return checked.withColumn(columns["link"], filled).select(*df.columns)

@@ -213,6 +213,13 @@ def test_hot_key_is_split_at_run_time(spark, no_broadcast):
             spark.conf.set(key, value)
 
 
+def test_distinct_keys_are_shuffled_once(spark, links, no_broadcast):
+    frame = settle(links[1].withColumn("file_name", F.col("article_link")))
+    pages = settle(spark.createDataFrame([("u", 200, "x")], "url string, status int, html string"))
+    for joined in (repair.fill_links(frame, pages, "http://h"), joins.missing_articles(frame, frame)):
+        assert plan(joined).count("Exchange hashpartitioning") == 2
+
+
 def test_small_lookup_needs_no_shuffle(articles):
     text = plan(repair.fill_from_group(articles[1].coalesce(1)))
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text

@@ -135,6 +135,11 @@ def test_latest_version_wins(spark):
     assert [(r.path, r.sha256) for r in manifests.latest_version(log).orderBy("path").collect()] == [("p", "c"), ("q", "y")]
 
 
+def test_diff_shuffles_each_side_once(spark):
+    log = settle(spark.createDataFrame([], schemas.MANIFEST))
+    assert plan(manifests.snapshot_diff(log, log.where("length > 0"))).count("Exchange hashpartitioning") == 2
+
+
 def test_csv_there_and_back(spark, tmp_path):
     path = str(tmp_path / "csv")
     data = [("1", 'a "quoted", b\nnew line\\ back', [("A", None, "e", None)]), ("2", None, []), ("000003", "é ", None)]
