@@ -440,7 +440,8 @@ def article_page_table(spark, sf_dir):
 
 def page_notes(spark, sf_dir):
     found = pages.article_page_table(
-        corpus.article_page_links(spark, sf_dir), corpus.article_crawl(spark, sf_dir))
+        corpus.article_page_links(spark, sf_dir), corpus.article_crawl(spark, sf_dir),
+        {"notes": html.ARTICLE_PAGE["notes"]})
     return html.note_rows(found, "notes", "doc_id")
 
 

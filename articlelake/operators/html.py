@@ -121,12 +121,16 @@ def xml_links(hrefs: DataFrame, href: str = "href") -> DataFrame:
 def article_pages(
     pages: DataFrame, page: Mapping[str, Pick] = ARTICLE_PAGE, carry: Sequence[str] = ("url",)
 ) -> DataFrame:
-    """Header, abstract, text parts, notes and bibliography of each article page."""
+    """Header, abstract, text parts, notes and bibliography of each article page.
+
+    ``page`` may hold only some of the parts: nothing else is then read and sent back.
+    """
     found = extract_html(pages, page, carry=carry)
-    return found.withColumns({
-        "header_lang": F.regexp_extract("header_lang", r"(\S+)", 1),
-        "extracted_text": join_texts(F.col("article_text")),
-    })
+    if "header_lang" in page:
+        found = found.withColumn("header_lang", F.regexp_extract("header_lang", r"(\S+)", 1))
+    if "article_text" in page:
+        found = found.withColumn("extracted_text", join_texts(F.col("article_text")))
+    return found
 
 
 def note_rows(pages: DataFrame, column: str = "notes", *keep: str) -> DataFrame:

@@ -9,7 +9,7 @@ from articlelake import fixed_values as fixed
 from articlelake.functions.text import article_url
 from articlelake.operators.joins import keyed_left_join, keyed_mark, lookup_join
 from articlelake.schemas import OVERRIDES
-from articlelake.session import settle
+from articlelake.session import local_table, settle
 from articlelake.sources.crawl import with_link_exists
 from articlelake.sources.xml_files import base_name
 
@@ -32,7 +32,7 @@ def latest_per_key(
 
 
 def default_overrides(spark) -> DataFrame:
-    return spark.createDataFrame(list(fixed.OVERRIDES), OVERRIDES)
+    return local_table(spark, OVERRIDES, fixed.OVERRIDES)
 
 
 def apply_overrides(

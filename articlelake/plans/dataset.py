@@ -21,7 +21,7 @@ from articlelake.operators.repair import (
 from articlelake.operators.tei import extract_articles, good_articles
 from articlelake.operators.unions import append_rows
 from articlelake.schemas import ARTICLE_LINKS
-from articlelake.session import settle
+from articlelake.session import local_table, settle
 from articlelake.sources.tables import stage, stage_is_finished, write_csv
 from articlelake.sources.xml_files import scan_new_xml_files, scan_xml_files
 
@@ -55,7 +55,7 @@ def build_dataset(
     """Narrow rows of the dataset: cleaned keys and dates next to their catalog entry."""
     spark = articles.sparkSession
     overrides = default_overrides(spark) if overrides is None else overrides
-    links = spark.createDataFrame([], ARTICLE_LINKS) if links is None else links
+    links = local_table(spark, ARTICLE_LINKS) if links is None else links
     rows = clean_keys(article_keys(articles), overrides, dedupe_by)
     if backfill is not None:
         rows = append_rows(rows, article_keys(backfill))

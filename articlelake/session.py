@@ -2,8 +2,12 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings this library relies on; a cluster's own values for sizes win.
 RECOMMENDED = {
@@ -42,6 +46,14 @@ def session(
     return builder.getOrCreate()
 
 
+def local_table(
+    spark: SparkSession, schema: T.StructType, rows: Sequence[Sequence] = ()
+) -> DataFrame:
+    """A few given rows, or none, as a table whose size the optimizer knows."""
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)), schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
@@ -81,7 +93,5 @@ def use_all_cores(df: DataFrame, *by: str) -> DataFrame:
     spark = df.sparkSession
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if estimate >= split:
-        return df
     parts = min(spark.sparkContext.defaultParallelism, -(-estimate // SPREAD_BYTES))
-    return df.repartition(parts, *by)
+    return df.repartition(parts, *by) if 1 < parts and estimate < split else df

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from articlelake.session import settle
+from articlelake.session import local_table, settle
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -53,13 +53,13 @@ def read_optional(spark: SparkSession, path: str | None, schema: T.StructType) -
     """The Parquet table at ``path``, or an empty table of the same type."""
     if path and path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    return local_table(spark, schema)
 
 
 def read_optional_csv(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:
     if path and path_exists(spark, path):
         return read_csv(spark, path, schema)
-    return spark.createDataFrame([], schema)
+    return local_table(spark, schema)
 
 
 def stage_is_finished(spark: SparkSession, path: str) -> bool:

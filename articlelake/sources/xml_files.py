@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
 from articlelake.schemas import BINARY_FILE
-from articlelake.session import settle
+from articlelake.session import local_table, settle
 
 
 def is_article_file(name: Column) -> Column:
@@ -67,7 +67,7 @@ def _files_at(files: DataFrame, paths: DataFrame, max_paths: int) -> DataFrame:
     listed = [row.path for row in paths.limit(max_paths + 1).collect()]
     if len(listed) > max_paths:
         return files.join(paths, "path", "left_semi")
-    return _binary(spark.read).load(listed) if listed else spark.createDataFrame([], BINARY_FILE)
+    return _binary(spark.read).load(listed) if listed else local_table(spark, BINARY_FILE)
 
 
 def scan_new_xml_files(

@@ -48,5 +48,10 @@ def test_only_small_inputs_are_spread(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
 
 
-def test_session_settings():
+def test_session_settings(spark):
     assert session().conf.get("spark.sql.session.timeZone") == "UTC"
+    try:
+        assert session(corpus_bytes=2 ** 40).conf.get("spark.sql.shuffle.partitions") == "4096"
+        assert session(corpus_bytes=5).conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -138,6 +138,11 @@ def test_overrides_and_defaults(spark):
                            ("x/000664.xml", "016", "4")]
 
 
+def test_default_overrides_are_small_enough_to_broadcast(spark, articles):
+    text = plan(repair.apply_overrides(settle(articles[1]), repair.default_overrides(spark)))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
 def test_fill_links(spark, no_broadcast):
     base = "http://h"
     url = base + "/dhq/vol/001/2/{0}/{0}.html"
