@@ -57,8 +57,8 @@ def manifest(files: DataFrame) -> DataFrame:
     )
 
 
-def _files_at(files: DataFrame, paths: DataFrame, max_paths: int) -> DataFrame:
-    """The rows of the scan ``files`` for ``paths``, reading no more contents than needed.
+def scan_paths(files: DataFrame, paths: DataFrame, max_paths: int = 10_000) -> DataFrame:
+    """The rows of the scan ``files`` for the given ``path`` values, opening no more than needed.
 
     Few paths (at most ``max_paths``, which is checked) are loaded by name; for more
     of them the whole scan is reduced by a semi-join.
@@ -80,7 +80,7 @@ def scan_new_xml_files(
     """
     files = scan_xml_files(spark, directory)
     known = existing.select(F.col("file_name").alias("path")).distinct()
-    return _files_at(files, settle(files.select("path").join(known, "path", "left_anti")), max_paths)
+    return scan_paths(files, settle(files.select("path").join(known, "path", "left_anti")), max_paths)
 
 
 def refresh_manifest(
@@ -97,5 +97,5 @@ def refresh_manifest(
     known = old.groupBy(*same).agg(F.max("sha256").alias("sha256"))
     matched = settle(listing.join(known, same, "left"))
     unread = matched.where(F.col("sha256").isNull()).select("path")
-    read = manifest(_files_at(files, unread, max_paths))
+    read = manifest(scan_paths(files, unread, max_paths))
     return matched.where(F.col("sha256").isNotNull()).unionByName(read)

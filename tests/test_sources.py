@@ -110,6 +110,9 @@ def test_manifest_and_diff(spark, folder):
     assert changes == {"Old.xml": "removed", "new.xml": "added", "deep/er/1.xml": "changed",
                        "000664.xml": "unchanged", "000664/000665.xml": "unchanged", "old/000700.xml": "unchanged"}
     assert manifests.has_changed(diff)
+    changed = diff.where("change in ('added', 'changed')").select("path")
+    again = extract_articles(xml_files.scan_paths(xml_files.scan_xml_files(spark, str(folder)), changed))
+    assert {r.file_name.split("/")[-1]: r.title for r in again.collect()} == {"1.xml": "changed", "new.xml": "A title"}
 
 
 @pytest.mark.parametrize("max_paths", [0, 100])
