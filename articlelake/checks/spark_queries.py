@@ -377,7 +377,7 @@ def _curated(spark, sf_dir):
     rows = dataset.build_dataset(articles, corpus.label_links(spark, sf_dir),
                                  overrides=corpus.label_overrides(spark, sf_dir))
     final = dataset.finalize(rows, corpus.label_crawl(spark, sf_dir), SITE)
-    return dataset.with_contents(final, articles)
+    return dataset.with_contents(settle(final), articles)
 
 
 def curated_dataset(spark, sf_dir):

@@ -60,11 +60,16 @@ DATE_FORMATS = (
     "d MMM yyyy",
     "MMMM d, yyyy",
     "MMM d, yyyy",
+    "MMMM d yyyy",
+    "MMM d yyyy",
+    "d-MMM-yyyy",
     "MMMM yyyy",
     "MMM yyyy",
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd",
+    "yyyy/M/d",
+    "M/d/yyyy",
     "yyyy-MM",
     "yyyy",
 )

@@ -25,6 +25,7 @@ def latest_per_key(
 
     Spark applies the rank limit before the shuffle as well, so each task sends
     at most one row per key and a key with very many versions stays small.
+    The rows are sorted: pass narrow columns and bring the rest back by a join.
     """
     order = Window.partitionBy(key).orderBy(F.col(by).desc_nulls_last(), *tie_breakers)
     ranked = df.where(F.col(key).isNotNull()).withColumn("_rank", F.row_number().over(order))

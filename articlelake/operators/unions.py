@@ -1,10 +1,9 @@
 """Append, backfill and resume."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 
 from articlelake.operators.joins import keyed_anti_join
+from articlelake.session import settle
 
 
 def append_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -12,9 +11,11 @@ def append_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
     return existing.unionByName(new, allowMissingColumns=True)
 
 
-def not_yet_processed(
-    files: DataFrame, existing: DataFrame, key: str = "file_name",
-    spread_by: Sequence[str] | None = None,
-) -> DataFrame:
-    """Files that have no row in ``existing``. Use it before parsing, so only new files are parsed."""
-    return keyed_anti_join(files, existing, key, spread_by or [key])
+def not_yet_processed(files: DataFrame, existing: DataFrame, key: str = "file_name") -> DataFrame:
+    """Files that have no row in ``existing``. Use it before parsing, so only new files are parsed.
+
+    Only keys are compared with what exists.  The new ones are settled, so a small
+    increment is picked out by a broadcast and contents are not shuffled.
+    """
+    new = settle(keyed_anti_join(files.select(key), existing, key, [key]))
+    return files.join(new, files[key].eqNullSafe(new[key]), "left_semi")

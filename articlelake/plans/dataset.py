@@ -69,7 +69,10 @@ def finalize(dataset: DataFrame, crawl: DataFrame, base: str) -> DataFrame:
 
 
 def with_contents(rows: DataFrame, articles: DataFrame) -> DataFrame:
-    """Put the columns that cleaning left behind back next to the finished rows."""
+    """Put the columns that cleaning left behind back next to the finished rows.
+
+    When ``rows`` is a settled table that is small enough, the texts are not shuffled.
+    """
     contents = articles.drop(*[c for c in KEY_COLUMNS if c != "file_name"])
     return rows.join(contents, "file_name")
 
@@ -108,7 +111,7 @@ def build_articles(
         articles = good_articles(_parsed(spark, xml_directory, at("parsed"), mode))
         dataset = build_dataset(articles, links, backfill, overrides)
         everything = articles if backfill is None else append_rows(articles, backfill)
-        return with_contents(finalize(dataset, crawl, base), everything)
+        return with_contents(settle(finalize(dataset, crawl, base)), everything)
 
     table = stage(spark, at("articles"), finished, rebuild=mode != "reuse")
     if csv:

@@ -72,8 +72,15 @@ def test_new_files_only(spark, folder, max_paths):
 def test_anti_join_before_the_parse(spark, folder):
     files = xml_files.scan_xml_files(spark, str(folder))
     known = files.select("path").where("path like '%deep%'")
-    text = plan(extract_articles(unions.not_yet_processed(files, known, "path")))
-    assert text.index("MapInArrow") < text.index("LeftAnti")
+    new = unions.not_yet_processed(files, known, "path")
+    assert names(new, folder) == sorted(n for n in KEPT if "deep" not in n)
+    text = plan(extract_articles(new))
+    assert text.index("MapInArrow") < text.index("BroadcastHashJoin") and "Exchange hashpartitioning" not in text
+
+
+def test_files_without_a_name_are_new(spark):
+    files = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "file_name string, n int")
+    assert rows(unions.not_yet_processed(files, files.where("n <> 3")).select("n")) == [(2,), (3,)]
 
 
 def test_stream_reads_each_file_once(spark, folder, tmp_path):

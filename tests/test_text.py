@@ -54,7 +54,9 @@ def test_article_key(spark, link, key):
 @pytest.mark.parametrize("text, day", [
     ("3 May 2010", "2010-05-03"), ("03 May 2010", "2010-05-03"), ("3 February 2022", "2022-02-03"),
     ("12 Sep 2009", "2009-09-12"), ("May 2010", "2010-05-01"), ("May 3, 2010", "2010-05-03"),
-    ("2010-05-03", "2010-05-03"), ("2010-05", "2010-05-01"), ("2010", "2010-01-01"), (" 3 May 2010 ", "2010-05-03"),
+    ("2010-05-03", "2010-05-03"),
+    ("May 3 2010", "2010-05-03"), ("3-May-2010", "2010-05-03"), ("2010/5/3", "2010-05-03"), ("5/3/2010", "2010-05-03"),
+    ("2010-05", "2010-05-01"), ("2010", "2010-01-01"), (" 3 May 2010 ", "2010-05-03"),
     ("2010-05-03 10:11:12", "2010-05-03"), ("2010-05-03T10:11:12", "2010-05-03"),
     ("Winter 2022", None), ("31 February 2010", None), ("", None), (None, None), ("3 Feburary 2022", None),
 ])
