@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from articlelake.session import session, shared_folder, use_all_cores
 from articlelake.checks.compare import compare, oracle
+from articlelake.checks.duckdb_sql import ORACLES
+from articlelake.checks.spark_queries import QUERIES
 from tests.conftest import SMALL
 
 
@@ -13,13 +15,14 @@ def connection():
     return oracle(SMALL)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connection, name):
     assert compare(spark, connection, SMALL, name) is None
 
 
 def test_every_query_has_an_answer():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
