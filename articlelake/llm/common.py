@@ -1,5 +1,6 @@
 """What the operators of this package share: table access, folds, settled tables, connected components."""
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,9 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int,
-) -> list[tuple[str, int]]:
-    """At most ``per_class`` training texts of each class, as (text, label), in a fixed order.
+) -> tuple[list[tuple[str, int]], float]:
+    """At most ``per_class`` training texts of each class, as (text, label), in a fixed order; and the
+    share of label 1 among all labelled ids, smoothed.
 
     Rows of the held-out quarter, rows without a label of 0 or 1, and empty
     texts are left out; of an id with several labels the larger counts.  Ids
@@ -43,6 +45,7 @@ def labelled_sample(
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.max(label).alias("_label"))
     )
+    n, ones = known.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
     order = F.xxhash64("doc_id")
     chosen = None
     for value in (0, 1):
@@ -51,7 +54,23 @@ def labelled_sample(
     texts = docs.where((F.length("text") > 0) & (F.length("text") <= max_chars)).select("doc_id", "text")
     sample = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     rows = sample.select("doc_id", "text", "_label").collect()  # bounded by per_class and max_chars
-    return [(row.text, row._label) for row in sorted(rows, key=lambda row: (row.doc_id, row.text))]
+    examples = [(row.text, row._label) for row in sorted(rows, key=lambda row: (row.doc_id, row.text))]
+    return examples, (ones + 1) / (n + 2)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of a weighted logistic line, by Newton steps with a weak pull to 0."""
+    scale = x.std() or 1.0
+    z = np.stack([x / scale, np.ones_like(x)], 1)
+    w = np.zeros(2)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        gradient = z.T @ (weight * (p - y)) + 1e-2 * w
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(2), gradient)
+        w -= np.clip(step, -4, 4)
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(w[0] / scale), float(w[1])
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from articlelake.llm import bpe
-from articlelake.llm.common import read
+from articlelake.llm import bpe, compression_quality, toxicity
+from articlelake.llm.common import held_out, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -16,8 +17,27 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def _scored(docs: DataFrame, threshold: float) -> DataFrame:
+    return docs.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def string_kernel_toxicity(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels)
+    return _scored(toxicity.score(docs.select("doc_id", "text"), model), 0.3)
+
+
+def compression_classifier(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = compression_quality.fit(docs, labels)
+    return _scored(compression_quality.score(docs.select("doc_id", "text"), model), 0.7)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": byte_bpe,
+    "op5_string_kernel_toxicity": string_kernel_toxicity,
+    "op10_compression_classifier": compression_classifier,
 }
 
 # SQL answers, for the queries that SQL can express.
