@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, compression_quality, toxicity
+from articlelake.llm import bpe, compression_quality, ngram_join, toxicity
 from articlelake.llm.common import held_out, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -34,7 +34,12 @@ def compression_classifier(spark, sf_dir):
     return _scored(compression_quality.score(docs.select("doc_id", "text"), model), 0.7)
 
 
+def ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.similar_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op3_byte_bpe": byte_bpe,
     "op5_string_kernel_toxicity": string_kernel_toxicity,
     "op10_compression_classifier": compression_classifier,
