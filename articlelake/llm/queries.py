@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, compression_quality, ngram_join, toxicity
+from articlelake.llm import bpe, compression_quality, lattice_neighbours, ngram_join, toxicity
 from articlelake.llm.common import held_out, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -38,10 +38,15 @@ def ngram_jaccard_join(spark, sf_dir):
     return ngram_join.similar_documents(read(spark, sf_dir, "documents"))
 
 
+def lattice_near_duplicates(spark, sf_dir):
+    return lattice_neighbours.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op3_byte_bpe": byte_bpe,
     "op5_string_kernel_toxicity": string_kernel_toxicity,
+    "op9_lattice_near_duplicates": lattice_near_duplicates,
     "op10_compression_classifier": compression_classifier,
 }
 
