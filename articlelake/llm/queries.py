@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, compression_quality, lattice_neighbours, ngram_join, toxicity
+from articlelake.llm import bpe, compression_quality, lattice_neighbours, ngram_join, pivot_search, toxicity
 from articlelake.llm.common import held_out, read
+from articlelake.session import settle
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -42,13 +43,32 @@ def lattice_near_duplicates(spark, sf_dir):
     return lattice_neighbours.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def pivot_top_k(spark, sf_dir):
+    vectors = settle(pivot_search.whole_numbers(read(spark, sf_dir, "embeddings")))
+    return pivot_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op3_byte_bpe": byte_bpe,
     "op5_string_kernel_toxicity": string_kernel_toxicity,
+    "op8_pivot_top_k": pivot_top_k,
     "op9_lattice_near_duplicates": lattice_near_duplicates,
     "op10_compression_classifier": compression_classifier,
 }
 
 # SQL answers, for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_pivot_top_k": """
+        WITH vectors AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2]))::BIGINT AS score
+            FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+        SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5""",
+}
