@@ -25,11 +25,11 @@ def _rows(names, rows):
     return sorted(names), sorted(tuple(repr(row[at]) for at in order) for row in rows)
 
 
-def compare(spark, connection, sf_dir: str, name: str) -> str | None:
+def compare(spark, connection, sf_dir: str, name: str, queries=QUERIES, oracles=ORACLES) -> str | None:
     """None when all rows agree, otherwise what differs."""
-    found = QUERIES[name](spark, sf_dir)
+    found = queries[name](spark, sf_dir)
     names, rows = _rows(found.columns, found.collect())
-    answer = connection.sql(ORACLES[name])
+    answer = connection.sql(oracles[name])
     want_names, want = _rows(answer.columns, answer.fetchall())
     if names != want_names:
         return f"columns {names} <> {want_names}"
