@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, compression_quality, lattice_neighbours, ngram_join, pivot_search, toxicity
+from articlelake.llm import bpe, compression_quality, lattice_neighbours, line_runs, ngram_join, pivot_search, toxicity
 from articlelake.llm.common import held_out, read
 from articlelake.session import settle
 
@@ -48,9 +48,15 @@ def pivot_top_k(spark, sf_dir):
     return pivot_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def line_run_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.delete_repeated_runs(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op3_byte_bpe": byte_bpe,
+    "op4_line_run_dedup": line_run_dedup,
     "op5_string_kernel_toxicity": string_kernel_toxicity,
     "op8_pivot_top_k": pivot_top_k,
     "op9_lattice_near_duplicates": lattice_near_duplicates,
@@ -59,14 +65,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # SQL answers, for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op4_line_run_dedup": """
+        WITH lines AS (
+            SELECT doc_id, n - 1 AS pos, line,
+                   len([w for w in regexp_split_to_array(line, '[ \\t\\r\\f\\x0B]+') if w <> '']) AS words
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                         generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents)),
+        full_lines AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k,
+                   sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS total FROM lines WHERE words > 0),
+        spans AS (
+            SELECT a.doc_id, a.pos AS first, b.pos AS last, a.k AS k1, b.k AS k2, way
+            FROM full_lines a JOIN full_lines b ON a.doc_id = b.doc_id AND b.k >= a.k
+                 AND b.total - a.total + a.words >= 50
+            CROSS JOIN (VALUES (0), (1)) ways(way)
+            WHERE CASE WHEN way = 0 THEN b.total - b.words - a.total + a.words < 50 ELSE b.total - a.total < 50 END),
+        named AS (
+            SELECT s.doc_id, s.first, s.last, s.way, string_agg(l.line, chr(10) ORDER BY l.k) AS name
+            FROM spans s JOIN full_lines l ON l.doc_id = s.doc_id AND l.k BETWEEN s.k1 AND s.k2
+            GROUP BY ALL),
+        later AS (
+            SELECT doc_id, first, last FROM (SELECT *, min(doc_id * 1000000000::HUGEINT + first)
+                OVER (PARTITION BY way, name) AS earliest FROM named)
+            WHERE doc_id * 1000000000::HUGEINT + first > earliest),
+        gone AS (
+            SELECT DISTINCT l.doc_id, l.pos FROM lines l JOIN later r ON r.doc_id = l.doc_id AND l.pos BETWEEN r.first AND r.last),
+        counted AS (
+            SELECT l.doc_id, count(*)::INTEGER AS n_lines, count(g.pos)::INTEGER AS n_deleted,
+                   coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+            FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id)
+        SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE c.text END AS text,
+               coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted
+        FROM documents d LEFT JOIN counted c ON d.doc_id = c.doc_id""",
     "op8_pivot_top_k": """
         WITH vectors AS (
-            SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+            SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS q FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
         scored AS (
             SELECT a.vec_id AS query_id, b.vec_id,
-                   list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2]))::BIGINT AS score
+                   list_sum([p[1] * p[2] for p in list_zip(a.q, b.q)])::BIGINT AS score
             FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
         ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
