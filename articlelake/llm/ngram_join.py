@@ -1,9 +1,9 @@
 """Exact Jaccard join of word n-gram sets, in prefix trees.
 
 Every set is put in one global order of its n-grams, rare ones first.  Two sets that are similar
-enough share an n-gram among the first few of each, so only sets with such a shared n-gram can be
-linked; they are gathered into clusters, and each cluster is joined in a prefix tree that holds the
-common n-grams first: a walk shares the overlap of equal beginnings among all sets below and leaves
+enough share a certain number of n-grams among the first few of each, so only sets with that many
+shared ones there can be linked; they are gathered into clusters, and each cluster is joined in a
+prefix tree that holds the common n-grams first: a walk shares the overlap of equal beginnings among all sets below and leaves
 a branch as soon as the lengths that remain cannot give enough overlap.
 """
 
@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake.llm.common import bound_batches, connected_components
@@ -29,6 +29,8 @@ BITS = 19
 _CHUNK = 1 << 12
 # n-grams that a cluster joined in one task may hold
 CLUSTER = 2_000_000
+# ids that may be broadcast
+SMALL = 500_000
 _WORD_MEMO = 400_000
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -46,8 +48,8 @@ def _memo() -> _WordHashes:
     return _WordHashes()
 
 
-def ngram_set(text: str | bytes | None, n: int = WORDS) -> np.ndarray:
-    """The distinct ``n``-word sequences of the whole text as sorted 64-bit hashes.
+def ngrams(text: str | bytes | None, n: int = WORDS) -> np.ndarray:
+    """The ``n``-word sequences of the whole text, in order, as 64-bit hashes.
 
     Words are what stands between ASCII white space; only A-Z are lower-cased.
     A text of fewer than ``n`` words has its whole sequence as its one element,
@@ -66,7 +68,12 @@ def ngram_set(text: str | bytes | None, n: int = WORDS) -> np.ndarray:
     mixed ^= mixed >> np.uint64(31)
     mixed *= np.uint64(_MULTIPLIERS[0])
     mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+    return mixed
+
+
+def ngram_set(text: str | bytes | None, n: int = WORDS) -> np.ndarray:
+    """The distinct ones of ``ngrams``, sorted."""
+    return np.unique(ngrams(text, n))
 
 
 def _bucket(grams: np.ndarray) -> np.ndarray:
@@ -74,7 +81,7 @@ def _bucket(grams: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(docs: DataFrame, text: str = "text", n: int = WORDS) -> np.ndarray:
-    """For each of ``2 ** BITS`` buckets, how many n-grams of all texts fall into it, by documents.
+    """For each of ``2 ** BITS`` buckets, how many n-grams of all texts fall into it.
 
     Tasks add up their own rows; what is shuffled and what reaches the driver
     is a fixed number of buckets, not n-grams.
@@ -82,8 +89,8 @@ def gram_counts(docs: DataFrame, text: str = "text", n: int = WORDS) -> np.ndarr
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BITS, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                np.add.at(total, _bucket(ngram_set(value.as_py(), n)), 1)
+            found = [ngrams(value.as_py(), n) for value in batch.column(0)]
+            total += np.bincount(_bucket(np.concatenate([*found, np.zeros(0, np.uint64)])), minlength=1 << BITS)
         parts = total.reshape(-1, _CHUNK)
         used = np.flatnonzero(parts.any(axis=1))
         packed = [zlib.compress(parts[i].tobytes(), 1) for i in used]
@@ -107,8 +114,21 @@ def _ordered(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def prefix_length(size: int) -> int:
-    """Elements of which two linked sets must share one, if each is in the global order."""
-    return size - -(-NUM * size // DEN) + 1
+    """How many first elements of a set are looked at.
+
+    Linked sets of sizes a and b have at least ``NUM / DEN`` of the larger one in
+    common; so of the first ``a - overlap + m`` and ``b - overlap + m`` elements
+    in one order, they share m at least.  Here m is a twentieth of the set.
+    """
+    return min(size, size - -(-NUM * size // DEN) + size // 20 + 1)
+
+
+def shared_at_least(size: int | Column) -> int | Column:
+    """How many of its first elements a set shares with any set that it is linked with, which may be
+    smaller by a tenth."""
+    if isinstance(size, Column):
+        return F.floor(size * NUM / (20 * DEN)) + 1
+    return size * NUM // (20 * DEN) + 1
 
 
 def _needed(a: int, b: int) -> int:
@@ -296,6 +316,15 @@ def _clusters(members: DataFrame) -> DataFrame:
     return whole.union(parts)
 
 
+def _with_enough(postings: DataFrame, classes: DataFrame) -> DataFrame:
+    """``gram, set_key, node, n_shingles`` of the sets that have enough of these n-grams to be linked."""
+    enough = (
+        postings.groupBy("set_key").agg(F.count("*").alias("has")).join(classes, "set_key")
+        .where(F.col("has") >= shared_at_least(F.col("n_shingles"))).select("set_key", "node", "n_shingles")
+    )
+    return postings.join(enough, "set_key").select("gram", "set_key", "node", "n_shingles")
+
+
 def similar_documents(docs: DataFrame, n: int = WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs`` (``doc_id, text`` and any other columns).
 
@@ -312,17 +341,24 @@ def similar_documents(docs: DataFrame, n: int = WORDS) -> DataFrame:
     classes = settle(known.groupBy("set_key").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles")))
 
-    # sets that share one of their first n-grams with another set
-    postings = settle(known.select("set_key", F.explode("grams").alias("gram")).distinct())
+    # n-grams that several sets have among their first, and the sets that have enough of them
+    postings = known.select("set_key", F.explode("grams").alias("gram"))
+    shared = postings.groupBy("gram").agg(F.min("set_key").alias("one"), F.max("set_key").alias("other"))
+    shared = shared.where("one <> other").select("gram")
+    members = settle(_with_enough(postings.join(shared, "gram").distinct(), classes))
+    for _ in range(2):  # sets that went may have taken the only partners of others along
+        again = members.groupBy("gram").count().where("count > 1").select("gram")
+        members = settle(_with_enough(members.join(again, "gram").select("set_key", "gram"), classes))
+    # of n-grams with the same sets, one is enough
     mark = F.xxhash64("set_key", F.lit(7))
-    shared = postings.groupBy("gram").agg(
+    distinct = members.groupBy("gram").agg(
         F.count("*").alias("sets"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(11))).alias("y"))
-    # of n-grams with the same sets, one is enough
-    shared = shared.where("sets > 1").groupBy("sets", "x", "y").agg(F.min("gram").alias("gram")).select("gram")
-    members = settle(postings.join(shared, "gram").join(classes, "set_key"))
-    clusters = settle(_clusters(members))
+    distinct = distinct.groupBy("sets", "x", "y").agg(F.min("gram").alias("gram")).select("gram")
+    clusters = settle(_clusters(settle(members.join(distinct, "gram"))))
 
-    wanted = clusters.select(F.col("node").alias("doc_id")).distinct()
+    wanted = settle(clusters.select(F.col("node").alias("doc_id")).distinct())
+    if wanted.count() <= SMALL:  # a checked size; beyond it, the join decides
+        wanted = F.broadcast(wanted)
     texts = docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi")
     full = _ordered_sets(texts, counts, n, whole=True).select("set_key", "grams").dropDuplicates(["set_key"])
     gathered = clusters.join(full, "set_key").select("cluster", "kind", "i", "j", "block", "node", "grams")
