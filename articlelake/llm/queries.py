@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, compression_quality, lattice_neighbours, line_runs, ngram_join, pivot_search, toxicity
+from articlelake.llm import bpe, compression_quality, lattice_neighbours, licence_rules, line_runs, mixing, ngram_join, pivot_search, quotes, toxicity
 from articlelake.llm.common import held_out, read
 from articlelake.session import settle
 
 RANKS = "byte_bpe_50k.tiktoken"
+TOXIC, GOOD = 0.3, 0.7  # scores from which a document counts as such
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,13 +27,13 @@ def _scored(docs: DataFrame, threshold: float) -> DataFrame:
 def string_kernel_toxicity(spark, sf_dir):
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels)
-    return _scored(toxicity.score(docs.select("doc_id", "text"), model), 0.3)
+    return _scored(toxicity.score(docs.select("doc_id", "text"), model), TOXIC)
 
 
 def compression_classifier(spark, sf_dir):
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     model = compression_quality.fit(docs, labels)
-    return _scored(compression_quality.score(docs.select("doc_id", "text"), model), 0.7)
+    return _scored(compression_quality.score(docs.select("doc_id", "text"), model), GOOD)
 
 
 def ngram_jaccard_join(spark, sf_dir):
@@ -53,11 +54,29 @@ def line_run_dedup(spark, sf_dir):
     return line_runs.delete_repeated_runs(docs)
 
 
+def raked_mixing(spark, sf_dir):
+    docs = mixing.by_source_language_topic(read(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "source", "lang", "n_tokens", "weight", "probability", "kept")
+
+
+def licence_sentence_rules(spark, sf_dir):
+    docs = licence_rules.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = {name: F.array_join(name, " ").alias(name) for name in ("sentence_ids", "licences")}
+    return docs.select("doc_id", F.size("sentence_ids").alias("n_sentences"), *joined.values())
+
+
+def quotation_linking(spark, sf_dir):
+    return quotes.chat(read(spark, sf_dir, "conversations")).withColumn("reply_path", F.array_join("reply_path", " "))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
+    "op2_raked_mixing": raked_mixing,
     "op3_byte_bpe": byte_bpe,
     "op4_line_run_dedup": line_run_dedup,
     "op5_string_kernel_toxicity": string_kernel_toxicity,
+    "op6_licence_sentence_rules": licence_sentence_rules,
+    "op7_quotation_linking": quotation_linking,
     "op8_pivot_top_k": pivot_top_k,
     "op9_lattice_near_duplicates": lattice_near_duplicates,
     "op10_compression_classifier": compression_classifier,
