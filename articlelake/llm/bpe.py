@@ -64,7 +64,7 @@ def _map(docs: DataFrame, source: str, out: str, kind: T.DataType, arrow: pa.Dat
 
     names = [name for name in docs.columns if name != out]
     value = F.col(source).cast("binary") if isinstance(kind, T.ArrayType) else F.col(source)
-    given = docs.select(*names, value.alias("_in"))
+    given = docs.select(*names, value.alias("__input"))
     schema = T.StructType([*given.schema.fields[:-1], T.StructField(out, kind)])
     return given.mapInArrow(run, schema)
 

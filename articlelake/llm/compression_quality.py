@@ -111,7 +111,7 @@ def score(docs: DataFrame, model: CompressionModel, text: str = "text", out: str
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
     names = [name for name in docs.columns if name != out]
-    given = docs.select(*names, docs[text].alias("_in"))
+    given = docs.select(*names, docs[text].alias("__input"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

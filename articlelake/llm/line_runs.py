@@ -111,14 +111,14 @@ def delete_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     """
     ranges = (
         repeated_runs(docs, min_words)
-        .groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_runs"))
-        .select(F.coalesce("doc_id", F.lit(0)).alias("_doc"), F.col("doc_id").isNull().alias("_none"),
-                F.col("version").alias("_version"), "_runs")
+        .groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__run_runs"))
+        .select(F.coalesce("doc_id", F.lit(0)).alias("__run_doc"), F.col("doc_id").isNull().alias("__run_none"),
+                F.col("version").alias("__run_version"), "__run_runs")
     )
     keyed = docs.drop("n_lines", "n_deleted").withColumns({
-        "_doc": F.coalesce(F.col("doc_id"), F.lit(0)), "_none": F.col("doc_id").isNull(), "_version": F.xxhash64("text")})
-    joined = keyed.join(ranges, ["_doc", "_none", "_version"], "left")
-    runs, lines = F.col("_runs"), F.split("text", "\n")
+        "__run_doc": F.coalesce(F.col("doc_id"), F.lit(0)), "__run_none": F.col("doc_id").isNull(), "__run_version": F.xxhash64("text")})
+    joined = keyed.join(ranges, ["__run_doc", "__run_none", "__run_version"], "left")
+    runs, lines = F.col("__run_runs"), F.split("text", "\n")
 
     def kept(all_lines: Column) -> Column:
         between = F.transform(runs, lambda run, at: _let(
@@ -133,4 +133,4 @@ def delete_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFra
         "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
         "n_deleted": F.coalesce(deleted, F.lit(0)),
         "text": F.when(runs.isNull(), F.col("text")).otherwise(_let(lines, kept)),
-    }).drop("_runs", "_doc", "_none", "_version")
+    }).drop("__run_runs", "__run_doc", "__run_none", "__run_version")

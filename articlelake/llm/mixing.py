@@ -94,17 +94,19 @@ def mixed(
     every run and for repeated rows.  Null values of a marginal are a value of
     their own; a row without tokens has the weight of its cell.
     """
-    names = [f"_{name}" for name in dims]
-    keyed = docs.withColumns({f"_{name}": F.coalesce(column.cast("string"), F.lit(NONE)) for name, column in dims.items()})
+    inner = {name: f"__mix_{name}" for name in dims}
+    names = list(inner.values())
+    keyed = docs.drop("n_tokens", "weight", "probability", "kept").withColumns(
+        {inner[name]: F.coalesce(column.cast("string"), F.lit(NONE)) for name, column in dims.items()})
     keyed = keyed.withColumn("n_tokens", tokens)
     cells = settle(keyed.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")))
     wanted = dict(targets or {})
     for name in dims:
         if name not in wanted:
-            wanted[name] = tempered(cells, f"_{name}", (temper or {}).get(name, TEMPER))
+            wanted[name] = tempered(cells, inner[name], (temper or {}).get(name, TEMPER))
         else:
-            wanted[name] = wanted[name].withColumnRenamed(name, f"_{name}")
-    raked = rake(cells, {f"_{name}": settle(target) for name, target in wanted.items()})
+            wanted[name] = wanted[name].withColumnRenamed(name, inner[name])
+    raked = rake(cells, {inner[name]: settle(target) for name, target in wanted.items()})
     most = raked.where("tokens > 0").agg(F.max("ratio")).first()[0] or 1.0
     ratios = raked.select(*names, F.col("ratio").alias("weight"))
     if ratios.count() <= SMALL:  # a checked size; beyond it, the join decides
