@@ -198,7 +198,7 @@ def _compare_cell(cell, cls, weight, block, own, named, units, first, second) ->
     keep = own[x] | own[y]
     if first == second:
         keep &= x < y
-    x, y = x[keep], y[keep]
+    x, y = np.minimum(x[keep], y[keep]), np.maximum(x[keep], y[keep])  # one order of a pair in every cell
     fresh = np.zeros(len(x), bool)
     for start in range(0, len(x), 50_000):
         p, q = named[x[start:start + 50_000]], named[y[start:start + 50_000]]
