@@ -29,6 +29,8 @@ BITS = 19
 _CHUNK = 1 << 12
 # n-grams that a cluster joined in one task may hold
 CLUSTER = 2_000_000
+# how often the blocks of a cluster may copy a set
+COPIES = 32
 # ids that may be broadcast
 SMALL = 500_000
 _WORD_MEMO = 400_000
@@ -289,31 +291,34 @@ def _join_cluster(table: pa.Table) -> pa.Table:
 def _clusters(members: DataFrame) -> DataFrame:
     """``cluster, i, j, block, set_key`` from ``(gram, set_key, node, n_shingles)``: who meets whom.
 
-    All sets that shared first n-grams connect form a cluster, if one task can
-    hold it; else the sets of each such n-gram do.  What is still too large is
-    cut into blocks of which every two meet.
+    All sets that shared first n-grams connect form a cluster.  One that is too
+    large for a task is cut into blocks of which every two meet.  Where that
+    would copy each set more than ``COPIES`` times, the sets of each n-gram meet
+    instead, in blocks if need be.
     """
     edges = members.groupBy("gram").agg(F.min("node").alias("b"))
     linked = members.join(edges, "gram").select(F.col("node").alias("a"), "b")
     near = connected_components(linked).select("node", F.col("component").alias("near"))
     placed = settle(members.join(near, "node"))
     sets = placed.select("node", "set_key", "n_shingles", "near").distinct()
-    load = sets.groupBy("near").agg(F.sum("n_shingles").alias("load"))
-    small = load.where(F.col("load") <= CLUSTER).select("near")
-    large = load.where(F.col("load") > CLUSTER).select("near")
-    whole = sets.join(small, "near").select(F.col("near").alias("cluster"), F.lit(0).alias("kind"), "set_key", "node")
-    whole = whole.select("cluster", "kind", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "set_key", "node")
-    by_gram = placed.join(large, "near", "left_semi")
-    gram_load = by_gram.groupBy("gram").agg(
-        F.greatest(F.lit(1), F.ceil(2 * F.sum("n_shingles") / CLUSTER)).cast("int").alias("blocks"))
-    cut = by_gram.join(gram_load, "gram").withColumn(
-        "block", F.when(F.col("blocks") <= 2, 0).otherwise(F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")))
-    met = cut.withColumn("other", F.explode(F.when(F.col("blocks") <= 2, F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("blocks") - 1))))
-    parts = met.select(
-        F.col("gram").alias("cluster"), F.lit(1).alias("kind"), F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"), "block", "set_key", "node")
-    return whole.union(parts)
+    load = settle(_blocks(sets, "near"))
+    whole = sets.join(load.where(F.col("blocks") <= COPIES), "near").withColumn("kind", F.lit(0))
+    by_gram = placed.join(load.where(F.col("blocks") > COPIES).select("near"), "near", "left_semi")
+    apart = by_gram.join(_blocks(by_gram, "gram"), "gram").withColumn("kind", F.lit(1))
+    columns = ("kind", "blocks", "set_key", "node")
+    cut = whole.select(F.col("near").alias("cluster"), *columns).union(apart.select(F.col("gram").alias("cluster"), *columns))
+    met = cut.withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select(
+        "cluster", "kind", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+        "set_key", "node")
+
+
+def _blocks(sets: DataFrame, by: str) -> DataFrame:
+    """Into how many blocks the sets of a group are cut, so that a task can hold any two."""
+    load = F.sum("n_shingles")
+    return sets.groupBy(by).agg(
+        F.when(load <= CLUSTER, 1).otherwise(F.ceil(2 * load / CLUSTER)).cast("int").alias("blocks"))
 
 
 def _with_enough(postings: DataFrame, classes: DataFrame) -> DataFrame:

@@ -35,10 +35,11 @@ def result(df):
     return sorted((tuple(row) for row in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("cluster", [ngram_join.CLUSTER, 150])
-def test_equals_brute_force(spark, monkeypatch, cluster):
-    """Also where clusters are cut: by n-gram, and into blocks that meet two by two."""
+@pytest.mark.parametrize(("cluster", "copies"), [(ngram_join.CLUSTER, 32), (400, 32), (150, 1)])
+def test_equals_brute_force(spark, monkeypatch, cluster, copies):
+    """Also where clusters are cut: into blocks that meet two by two, and by n-gram."""
     monkeypatch.setattr(ngram_join, "CLUSTER", cluster)
+    monkeypatch.setattr(ngram_join, "COPIES", copies)
     rows = texts()
     found = ngram_join.similar_documents(documents(spark, rows, "component_id", "n_shingles", "gram"))
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
