@@ -19,6 +19,11 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` applied to a value that is computed once, also where ``use`` loops over it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def fold(doc_id: str = "doc_id") -> Column:
     """Quarter of a document: crc32 of its id as text, modulo 4.  Quarter 2 is held out of training."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4

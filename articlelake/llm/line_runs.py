@@ -12,15 +12,12 @@ repeated runs.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from articlelake.llm.common import bound
+
 MIN_WORDS = 50
 _BLANKS = r"[ \t\r\f\x0B]+"
 
 
-def _let(value: Column, use) -> Column:
-    """``use`` applied to a value that is computed once, also where ``use`` is a loop."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _lines(text: Column) -> Column:
     """The lines with words: place in the text, id, number of words."""
     split = F.transform(F.split(text, "\n"), lambda line, at: F.struct(
@@ -33,7 +30,7 @@ def _doubled(lines: Column, levels: int) -> Column:
     """Level ``k``: name and words of the run of ``2 ** k`` lines at each line; null beyond the end."""
     def next_level(known: Column, k: Column) -> Column:
         half = F.shiftleft(F.lit(1), k) if isinstance(k, int) else F.pow(F.lit(2), k).cast("int")
-        return _let(F.element_at(known, -1), lambda last: F.concat(known, F.array(F.transform(
+        return bound(F.element_at(known, -1), lambda last: F.concat(known, F.array(F.transform(
             last, lambda run, at: F.struct(
                 F.when(at + half < F.size(last), F.xxhash64(run["id"], F.get(last, at + half)["id"])).alias("id"),
                 (run["words"] + F.get(last, at + half)["words"]).alias("words"))))))
@@ -60,13 +57,13 @@ def _shortest_runs(lines: Column, min_words: int) -> Column:
         return F.aggregate(F.sequence(F.lit(levels - 1), F.lit(0)), start, step)
 
     def runs(given: Column) -> Column:
-        return _let(_doubled(given, levels), lambda known: F.transform(given, lambda line, at: _let(
+        return bound(_doubled(given, levels), lambda known: F.transform(given, lambda line, at: bound(
             descend(known, at), lambda state: F.struct(
                 line["at"].alias("first"), F.get(given, at + state["length"])["at"].alias("last"),
                 F.xxhash64(state["id"], F.get(F.get(known, F.lit(0)), at + state["length"])["id"],
                            state["length"]).alias("name")))))
 
-    return _let(lines, lambda given: F.filter(runs(given), lambda run: run["last"].isNotNull()))
+    return bound(lines, lambda given: F.filter(runs(given), lambda run: run["last"].isNotNull()))
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -121,7 +118,7 @@ def delete_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     runs, lines = F.col("__run_runs"), F.split("text", "\n")
 
     def kept(all_lines: Column) -> Column:
-        between = F.transform(runs, lambda run, at: _let(
+        between = F.transform(runs, lambda run, at: bound(
             F.when(at == 0, 0).otherwise(F.get(runs, at - 1)["last"] + 1),
             lambda start: F.slice(all_lines, start + 1, F.greatest(F.lit(0), run["first"] - start))))
         end = F.element_at(runs, -1)["last"] + 1
@@ -132,5 +129,5 @@ def delete_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     return joined.withColumns({
         "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
         "n_deleted": F.coalesce(deleted, F.lit(0)),
-        "text": F.when(runs.isNull(), F.col("text")).otherwise(_let(lines, kept)),
+        "text": F.when(runs.isNull(), F.col("text")).otherwise(bound(lines, kept)),
     }).drop("__run_runs", "__run_doc", "__run_none", "__run_version")

@@ -8,21 +8,22 @@ quoted paragraph is joined to the earliest message that wrote it.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from articlelake.llm.common import MAX_ROUNDS
+from articlelake.llm.common import MAX_ROUNDS, bound
 from articlelake.session import settle
 
-_MARKS = r"^((?:[ \t]{0,3}>)*)[ \t]?"
+# Character classes only: a repeated group would recurse once for each mark of a long row of them.
+_QUOTED = r"^[ \t]{0,3}>"
+_MARKS = r"^[ \t]{0,3}>[ \t>]*"
 _ATTRIBUTION = r"(?i)^[ \t>]*(on .{1,200} wrote:|.{1,120} (wrote|said|schrieb|a écrit|escribió):)[ \t]*$"
 
 
 def quote_level(line: Column) -> Column:
-    return F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 1), "[^>]", ""))
+    return F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 0), "[^>]", ""))
 
 
 def _parsed(text: Column) -> Column:
     """The lines as ``level, body, attribution``."""
-    lines = F.split(text, r"\r?\n")
-    return F.transform(lines, lambda line: F.struct(
+    return F.transform(F.split(text, r"\r?\n"), lambda line: F.struct(
         quote_level(line).alias("level"), F.regexp_replace(line, _MARKS, "").alias("body"),
         line.rlike(_ATTRIBUTION).alias("attribution")))
 
@@ -36,7 +37,7 @@ def without_quotes(text: str = "text") -> Column:
     lines = _parsed(F.col(text))
     own = F.filter(lines, lambda line: (line["level"] == 0) & ~line["attribution"])
     joined = F.array_join(F.transform(own, lambda line: line["body"]), "\n")
-    return F.when(_has_marks(), F.trim(F.regexp_replace(joined, r"\n{3,}", "\n\n"))).otherwise(F.col(text))
+    return F.when(_has_marks(), F.regexp_replace(F.regexp_replace(joined, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")).otherwise(F.col(text))
 
 
 def normalised(passage: Column) -> Column:
@@ -51,12 +52,12 @@ def _passages(text: Column) -> Column:
 
 def quoted_passages() -> Column:
     """``level, passage`` of the quoted runs of lines of one level: each line, and the run as a whole."""
-    text = F.concat(F.lit("\n"), F.regexp_replace("text", r"\r", ""), F.lit("\n"))
-    # runs of marked lines; inside a run, lines of one level belong together
-    runs = F.regexp_extract_all(text, F.lit(r"((?:\n[ \t]{0,3}>[^\n]*)+)"), F.lit(1))
+    # lines without marks part the runs; inside a run, lines of one level belong together
+    gap = "\x00"
+    marked = F.transform(F.split("text", r"\r?\n"), lambda line: F.when(line.rlike(_QUOTED), line).otherwise(gap))
+    runs = F.filter(F.split(F.array_join(marked, "\n"), gap), lambda run: run.contains(">"))
 
-    def of_run(run: Column) -> Column:
-        lines = F.filter(_parsed(F.substring(run, 2, 2 ** 31 - 1)), lambda line: (line["level"] > 0) & ~line["attribution"])
+    def parts(lines: Column) -> Column:
         levels = F.array_distinct(F.transform(lines, lambda line: line["level"]))
         whole = F.transform(levels, lambda level: F.struct(level.alias("level"), F.array_join(F.transform(
             F.filter(lines, lambda line: line["level"] == level), lambda line: line["body"]), "\n").alias("passage")))
@@ -64,7 +65,11 @@ def quoted_passages() -> Column:
         return F.transform(F.concat(whole, each), lambda part: F.struct(
             part["level"].alias("level"), normalised(part["passage"]).alias("passage")))
 
-    return F.filter(F.array_distinct(F.flatten(F.transform(runs, of_run))), lambda part: part["passage"] != "")
+    def of_run(run: Column) -> Column:
+        marked = F.filter(_parsed(run), lambda line: (line["level"] > 0) & ~line["attribution"])
+        return bound(marked, parts)
+
+    return F.filter(F.flatten(F.transform(runs, of_run)), lambda part: part["passage"] != "")
 
 
 def linked_messages(messages: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs are cut out; a document of which nothing is left goes."""
     cut = line_runs.delete_repeated_runs(docs.select(*COLUMNS))
-    left = cut.where((F.col("n_deleted") == 0) | (F.length(F.trim("text")) > 0))
+    left = cut.where((F.col("n_deleted") == 0) | F.col("text").rlike(r"\S"))
     length = F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", length).select(*COLUMNS)
 
