@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from articlelake.session import settle
 
 # Arrow batches to Python workers are bounded by bytes, whatever the session says: documents are wide.
-BATCH_BYTES = 8 * 1024 ** 2
+BATCH_BYTES = 4 * 1024 ** 2
 MAX_ROUNDS = 60
 
 

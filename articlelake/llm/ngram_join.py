@@ -33,7 +33,7 @@ CLUSTER = 2_000_000
 COPIES = 32
 # ids that may be broadcast
 SMALL = 500_000
-_WORD_MEMO = 400_000
+_WORD_MEMO = 150_000
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
