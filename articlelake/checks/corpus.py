@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
-from articlelake.session import settle, use_all_cores
+from articlelake.session import settle
 
 SITE = "http://journal.example"
 
@@ -14,12 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, over all cores even when they come as one small file."""
-    return use_all_cores(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_all_cores(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def escaped(text: str) -> str:
@@ -193,7 +192,7 @@ def journal_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
         tei({"article_id": "cast(id as string)", "volume": "cast(doc_id as string)",
              "body": f"concat('<p>', {escaped('line')}, '</p>')"}).alias("html"),
     )
-    return use_all_cores(settle(issues.unionByName(pages).unionByName(xml)), "url")
+    return settle(issues.unionByName(pages).unionByName(xml))
 
 
 def article_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +211,7 @@ def article_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
             case when doc_id % 4 = 0 then '' else '<div id="worksCited"><div class="bibl">Cited<br></div></div>' end,
             '</div></body>') as html""",
     )
-    return use_all_cores(settle(pages), "url")
+    return settle(pages)
 
 
 def article_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:

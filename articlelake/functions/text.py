@@ -1,5 +1,6 @@
 """Column rules for text, keys, links and dates. Built-in expressions only."""
 
+import calendar
 import re
 from collections.abc import Iterable, Mapping
 
@@ -50,7 +51,10 @@ def _date_shape(date_format: str) -> str:
         letters = part.group("letters")
         if letters is None:
             return re.escape(part.group())
-        return r"[^\d\s]+" if letters.startswith("MMM") else r"[+-]?\d+"
+        if letters.startswith("MMM"):
+            names = calendar.month_name if len(letters) > 3 else calendar.month_abbr
+            return f"(?i:{'|'.join(name for name in names if name)})"
+        return r"[+-]?\d+"
 
     pieces = re.sub(r"'(?P<quoted>[^']*)'|(?P<letters>([yMdHms])\3*)|.", piece, date_format)
     return rf"\A{pieces}\z"
@@ -95,10 +99,6 @@ def absolute_url(base: str, href: Column) -> Column:
     return F.concat(F.lit(base), href)
 
 
-def or_empty(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
-
-
 def first_or(array: Column, default: str = "") -> Column:
     return F.coalesce(F.get(array, F.lit(0)), F.lit(default))
 

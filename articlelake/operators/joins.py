@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from articlelake.functions.text import as_key
+from articlelake.session import settle
 
 # Broadcast bound for hot keys: a key below this rank holds at most 1/1024 of the rows.
 HOT_KEYS = 1024
@@ -49,26 +50,29 @@ def keyed_left_join(
     return spread.join(_settled(other, keys), keys + [_SPREAD], "left").drop(_SPREAD)
 
 
-def _known(other: DataFrame, key: str) -> DataFrame:
-    """The distinct keys, already placed for the join by the same shuffle that removes repeats."""
-    return _settled(other.select(key).where(F.col(key).isNotNull()), [key]).distinct()
-
-
 def keyed_anti_join(
     rows: DataFrame, other: DataFrame, key: str, spread_by: Sequence[str]
 ) -> DataFrame:
-    """Rows whose key does not occur in ``other``; rows with a null key are kept."""
+    """Rows whose key does not occur in ``other``; rows with a null key are kept.
+
+    ``other`` may repeat keys: nothing stands between its shuffle and the join,
+    so that adaptive execution can split a hot key.
+    """
     spread = _spread_rows(rows, _any_null([key]), spread_by)
-    return spread.join(_known(other, key), [key, _SPREAD], "left_anti").drop(_SPREAD)
+    known = _settled(other.select(key).where(F.col(key).isNotNull()), [key])
+    return spread.join(known, [key, _SPREAD], "left_anti").drop(_SPREAD)
 
 
 def keyed_mark(
     rows: DataFrame, other: DataFrame, key: str, mark: str, spread_by: Sequence[str]
 ) -> DataFrame:
-    """All rows, with the column ``mark``: does the key occur in ``other``?"""
-    spread = _spread_rows(rows, _any_null([key]), spread_by)
-    marked = _known(other, key).withColumn(mark, F.lit(True))
-    joined = spread.join(marked, [key, _SPREAD], "left").drop(_SPREAD)
+    """All rows, with the column ``mark``: does the key occur in ``other``?
+
+    The distinct keys are settled first, so the join has a shuffle of its own and
+    a hot key is split as in ``keyed_left_join``.
+    """
+    known = settle(other.select(key).where(F.col(key).isNotNull()).distinct())
+    joined = keyed_left_join(rows, known.withColumn(mark, F.lit(True)), [key], spread_by)
     return joined.withColumn(mark, F.col(mark).isNotNull())
 
 

@@ -39,8 +39,13 @@ def default_overrides(spark) -> DataFrame:
 def apply_overrides(
     df: DataFrame, overrides: DataFrame, columns: Sequence[str] = ISSUE_KEYS, path: str = "file_name"
 ) -> DataFrame:
-    """Set ``columns`` for the files named in ``overrides`` (by base name)."""
-    fixes = overrides.select("base_name", *[F.col(c).alias(f"_fixed_{c}") for c in columns])
+    """Set ``columns`` for the files named in ``overrides`` (by base name).
+
+    Of several corrections of one file the greatest counts, as one row.  They
+    are settled, so that Spark knows their size.
+    """
+    last = settle(overrides.groupBy("base_name").agg(F.max(F.struct(*columns)).alias("_last")))
+    fixes = last.select("base_name", *[F.col(f"_last.{c}").alias(f"_fixed_{c}") for c in columns])
     fixed_rows = keyed_left_join(
         df.withColumn("base_name", base_name(F.col(path))), fixes, ["base_name"], [path]
     )

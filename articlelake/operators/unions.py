@@ -17,5 +17,7 @@ def not_yet_processed(files: DataFrame, existing: DataFrame, key: str = "file_na
     Only keys are compared with what exists.  The new ones are settled, so a small
     increment is picked out by a broadcast and contents are not shuffled.
     """
+    if existing.isEmpty():
+        return files
     new = settle(keyed_anti_join(files.select(key), existing, key, [key]))
     return files.join(new, files[key].eqNullSafe(new[key]), "left_semi")

@@ -11,7 +11,7 @@ from articlelake.operators.joins import missing_articles
 from articlelake.operators.tei import extract_articles, good_articles
 from articlelake.plans.dataset import catalog_keys
 from articlelake.session import settle
-from articlelake.sources.crawl import fetched
+from articlelake.sources.crawl import fetched, pages_at
 from articlelake.sources.xml_files import base_name, is_article_file
 
 
@@ -24,15 +24,13 @@ class LinkCatalog:
     backfill: DataFrame
 
 
-def _pages(crawl: DataFrame) -> DataFrame:
-    return fetched(crawl).select("url", "html")
-
-
 def catalog_articles(crawl: DataFrame, issues: DataFrame, base: str) -> DataFrame:
     """The articles of every issue whose page was delivered."""
-    pages = _pages(crawl)
-    issue_pages = pages.join(issues, pages.url == issues.issue_link)
-    return catalog_keys(article_links(issue_pages, base))
+    pages = pages_at(crawl, issues.select(F.col("issue_link").alias("url")))
+    found = article_links(pages.withColumnRenamed("url", "issue_link"), base, carry=["issue_link"])
+    columns = [name for name in found.columns if name != "issue_link"]
+    columns[columns.index("abstract") + 1:columns.index("abstract") + 1] = ["issue_text", "issue_link"]
+    return catalog_keys(found.join(issues, "issue_link").select(*columns))
 
 
 def catalog_missing(links: DataFrame, articles: DataFrame) -> DataFrame:
@@ -43,18 +41,24 @@ def catalog_missing(links: DataFrame, articles: DataFrame) -> DataFrame:
 
 def missing_xml_links(crawl: DataFrame, missing: DataFrame, xml_base: str) -> DataFrame:
     """Links to delivered XML on the pages of missing articles: ``url`` and the XML link columns."""
-    pages = _pages(crawl)
-    wanted = missing.select(F.col("article_link").alias("url"))
-    found = xml_links(page_hrefs(pages.join(wanted, "url", "left_semi")))
+    pages = pages_at(crawl, missing.select(F.col("article_link").alias("url")))
+    # a page with neither of these holds no such link, plain or escaped
+    pages = pages.where(F.col("html").contains("xml") | F.col("html").contains("&"))
+    found = xml_links(page_hrefs(pages))
     with_url = found.withColumn("url", absolute_url(xml_base, F.col("xml_link")))
-    return with_url.join(pages.select("url"), "url", "left_semi")
+    return with_url.join(fetched(crawl).select("url"), "url", "left_semi")
 
 
 def backfill_articles(crawl: DataFrame, links: DataFrame) -> DataFrame:
-    """The crawled XML behind ``links``, named and read like the files of the corpus."""
-    files = _pages(crawl).where(is_article_file(base_name(F.col("url"))))
-    files = files.join(links.select("url"), "url", "left_semi")
-    return good_articles(extract_articles(files, path="url", content="html"))
+    """The crawled XML behind ``links``, named and read like the files of the corpus.
+
+    Of several addresses with one article id the last one stands.
+    """
+    files = pages_at(crawl, links.select("url").where(is_article_file(base_name(F.col("url")))))
+    parsed = settle(good_articles(extract_articles(files, path="url", content="html")))
+    last = settle(parsed.where("article_id is not null").groupBy("article_id").agg(F.max("file_name").alias("file_name")))
+    named = parsed.join(last.select("file_name"), "file_name", "left_semi")
+    return named.union(parsed.where("article_id is null"))
 
 
 def link_catalog(

@@ -19,9 +19,9 @@ from articlelake.operators.repair import (
     share_in_group,
 )
 from articlelake.operators.tei import extract_articles, good_articles
-from articlelake.operators.unions import append_rows
+from articlelake.operators.unions import append_rows, not_yet_processed
 from articlelake.schemas import ARTICLE_LINKS
-from articlelake.session import local_table, settle
+from articlelake.session import local_table, require_utc, settle
 from articlelake.sources.tables import stage, stage_is_finished, write_csv
 from articlelake.sources.xml_files import scan_new_xml_files, scan_xml_files
 
@@ -35,6 +35,7 @@ def article_keys(articles: DataFrame) -> DataFrame:
 
 def clean_keys(keys: DataFrame, overrides: DataFrame, dedupe_by: str = "date_when") -> DataFrame:
     """Dates read, newest version per article, corrections applied, gaps filled."""
+    require_utc(keys.sparkSession)
     date_when = replace_all(F.col("date_when"))
     dated = keys.withColumns({"date_when": date_when, "date_processed": parse_date(date_when)})
     corrected = default_unassigned(apply_overrides(latest_per_key(dated, by=dedupe_by), overrides))
@@ -72,32 +73,39 @@ def with_contents(rows: DataFrame, articles: DataFrame) -> DataFrame:
     """Put the columns that cleaning left behind back next to the finished rows.
 
     When ``rows`` is a settled table that is small enough, the texts are not shuffled.
+    A file name that stands for several articles is an error: each would get the contents of all.
     """
+    repeated = articles.groupBy("file_name").count().where("count > 1").select("file_name").take(3)
+    if repeated:
+        raise ValueError(f"file names of several articles: {[row.file_name for row in repeated]}")
     contents = articles.drop(*[c for c in KEY_COLUMNS if c != "file_name"])
     return rows.join(contents, "file_name")
 
 
-def _parsed(spark: SparkSession, xml_directory: str, path: str, mode: str) -> DataFrame:
-    """All documents of the directory as parsed so far; ``append`` adds those not parsed yet."""
+def _parsed(spark: SparkSession, corpus: str | DataFrame, path: str, mode: str) -> DataFrame:
+    """All documents of the corpus as parsed so far; ``append`` adds those not parsed yet."""
     def everything():
-        return extract_articles(scan_xml_files(spark, xml_directory))
+        return extract_articles(scan_xml_files(spark, corpus) if isinstance(corpus, str) else corpus)
 
     finished = stage_is_finished(spark, path)
     parsed = stage(spark, path, everything, rebuild=mode == "rebuild")
     if mode == "append" and finished:
-        new = scan_new_xml_files(spark, xml_directory, parsed)
+        new = (scan_new_xml_files(spark, corpus, parsed) if isinstance(corpus, str)
+               else not_yet_processed(corpus, parsed.withColumnRenamed("file_name", "path"), "path"))
         extract_articles(new).write.mode("append").parquet(path)
         parsed = spark.read.schema(parsed.schema).parquet(path)
     return parsed
 
 
 def build_articles(
-    spark: SparkSession, xml_directory: str, folder: str, crawl: DataFrame, base: str,
+    spark: SparkSession, corpus: str | DataFrame, folder: str, crawl: DataFrame, base: str,
     links: DataFrame | None = None, backfill: DataFrame | None = None,
     overrides: DataFrame | None = None, mode: str = "reuse", csv: bool = False,
 ) -> DataFrame:
     """The whole way from files to the stored table ``folder/articles``.
 
+    ``corpus`` is a directory of XML files, or a table ``path, content`` in which they were landed.
+
     ``mode="reuse"`` returns a finished table as it is, ``"append"`` parses only files
     that are new and builds the table from all of them, ``"rebuild"`` starts over.
     """
@@ -108,7 +116,7 @@ def build_articles(
         return f"{folder.rstrip('/')}/{name}"
 
     def finished():
-        articles = good_articles(_parsed(spark, xml_directory, at("parsed"), mode))
+        articles = good_articles(_parsed(spark, corpus, at("parsed"), mode))
         dataset = build_dataset(articles, links, backfill, overrides)
         everything = articles if backfill is None else append_rows(articles, backfill)
         return with_contents(settle(finalize(dataset, crawl, base)), everything)

@@ -1,5 +1,6 @@
 """Session settings and the shared folder that durable intermediate tables go to."""
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -22,10 +23,14 @@ RECOMMENDED = {
 }
 
 
+def _bytes(text: str) -> int:
+    """A size setting as Spark writes it: a number with k, m, g or t, and b, or neither."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", text.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
 # Shuffle partitions of this size fit in memory beside their neighbours; smaller ones are merged.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 ** 2
-# A share of a small input that is worth a task of its own.
-SPREAD_BYTES = 512 * 1024
 
 
 def session(
@@ -81,17 +86,17 @@ def settle(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def use_all_cores(df: DataFrame, *by: str) -> DataFrame:
-    """Spread an input that a scan may deliver in a single split over all cores.
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches to Python are bounded by bytes in any session, not only in one made by ``session``."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    limit = RECOMMENDED[key]
+    now = _bytes(spark.conf.get(key, "0"))
+    if not 0 < now <= _bytes(limit):
+        spark.conf.set(key, limit)
 
-    Only an input whose estimated size is below one split is moved, so at most
-    that much is shuffled; anything larger has splits of its own and is returned
-    as it is.  Rows are placed by a hash of ``by``, the same way on every run.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = min(spark.sparkContext.defaultParallelism, -(-estimate // SPREAD_BYTES))
-    return df.repartition(parts, *by) if 1 < parts and estimate < split else df
+
+def require_utc(spark: SparkSession) -> None:
+    """Dates are read in the session's time zone; the tables of this library are in UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone!r}; set it to UTC")

@@ -4,6 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
+from articlelake.session import settle
+
+# addresses that may be broadcast
+SMALL = 500_000
 
 
 def fetched(crawl: DataFrame) -> DataFrame:
@@ -20,5 +24,25 @@ def with_link_exists(crawl: DataFrame) -> DataFrame:
 
 
 def reachable_urls(crawl: DataFrame) -> DataFrame:
-    """Distinct URLs known to exist; partial aggregation absorbs a URL crawled many times."""
-    return with_link_exists(crawl).where("link_exists").select("url").distinct()
+    """URLs known to exist, once for each time they were crawled: made for semi-joins."""
+    return with_link_exists(crawl).where("link_exists").select("url")
+
+
+def pages_at(crawl: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``url, html`` of the delivered pages at the ``url`` values of ``wanted``, one for each address.
+
+    Which rows are wanted is found on addresses and hashes; html is read once,
+    for them only, and is not shuffled while there are at most ``SMALL`` of
+    them (which is counted).  Of several pages at one address the one with the
+    smallest content hash stands.
+    """
+    version = F.xxhash64("html").alias("_version")
+    narrow = fetched(crawl).select("url", version)
+    chosen = settle(
+        narrow.join(wanted.select("url"), "url", "left_semi").groupBy("url", "_version").agg(F.count("*").alias("_rows"))
+        .groupBy("url").agg(F.min(F.struct("_version", "_rows")).alias("_first")).select("url", "_first.*"))
+    if chosen.count() <= SMALL:
+        chosen = F.broadcast(chosen)
+    pages = fetched(crawl).select("url", "html", version).join(chosen, ["url", "_version"])
+    repeated = pages.where("_rows > 1").dropDuplicates(["url"])
+    return pages.where("_rows = 1").union(repeated).select("url", "html")

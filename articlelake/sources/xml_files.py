@@ -1,11 +1,18 @@
 """Recursive scan of article files."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
 from articlelake.schemas import BINARY_FILE
-from articlelake.session import local_table, settle
+from articlelake.session import bound_batches, settle
+
+# files that one task reads
+READ_BYTES = 64 * 1024 ** 2
 
 
 def is_article_file(name: Column) -> Column:
@@ -42,8 +49,12 @@ def scan_xml_files(spark: SparkSession, *directories: str) -> DataFrame:
 
 
 def stream_xml_files(spark: SparkSession, directory: str, max_files: int = 100_000) -> DataFrame:
-    """The same scan as a stream: each new file is delivered once."""
-    files = _binary(spark.readStream).option("maxFilesPerTrigger", max_files).load(directory)
+    """The same scan as a stream: each new file is delivered once, however old it is when it arrives.
+
+    The source therefore forgets no file: its checkpoint holds an entry for each one ever seen.
+    """
+    source = _binary(spark.readStream).option("maxFilesPerTrigger", max_files)
+    files = source.option("maxFileAge", "36500d").load(directory)
     return files.where(is_article_file(F.col("_metadata.file_name")))
 
 
@@ -57,45 +68,71 @@ def manifest(files: DataFrame) -> DataFrame:
     )
 
 
-def scan_paths(files: DataFrame, paths: DataFrame, max_paths: int = 10_000) -> DataFrame:
-    """The rows of the scan ``files`` for the given ``path`` values, opening no more than needed.
+def open_file(path: str):
+    """A byte stream of one file, through a client that the scheme of its path names."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme or scheme == "file":
+        return open("/" + (rest if colon and scheme == "file" else path).lstrip("/"), "rb")
+    authority = rest.lstrip("/").split("/", 1)[0] if rest.startswith("//") else ""
+    client, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return client.open_input_stream(rest.removeprefix(f"//{authority}") if authority else rest)
+
+
+def read_files(listing: DataFrame) -> DataFrame:
+    """The files of a listing ``path, modificationTime, length``, with their ``content``.
 
-    Few paths (at most ``max_paths``, which is checked) are loaded by name; for more
-    of them the whole scan is reduced by a semi-join.
+    The listing stays a table of any size: it is dealt out by a hash of the
+    path, in shares of about ``READ_BYTES``, and each file is opened by its exact
+    path where its row is.  A file that is gone by then has no row.
     """
-    spark = files.sparkSession
-    listed = [row.path for row in paths.limit(max_paths + 1).collect()]
-    if len(listed) > max_paths:
-        return files.join(paths, "path", "left_semi")
-    return _binary(spark.read).load(listed) if listed else local_table(spark, BINARY_FILE)
+    bound_batches(listing.sparkSession)
+    total = listing.agg(F.sum("length")).first()[0] or 0
+    rows = listing.select("path", "modificationTime", "length").repartition(int(total // READ_BYTES) + 1, "path")
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                try:
+                    with open_file(batch.column("path")[row].as_py()) as file:
+                        content = file.read()
+                except FileNotFoundError:
+                    continue
+                part = batch.slice(row, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:2], pa.array([len(content)], pa.int64()), pa.array([content], pa.binary())],
+                    names=BINARY_FILE.names)
 
-def scan_new_xml_files(
-    spark: SparkSession, directory: str, existing: DataFrame, max_paths: int = 10_000
-) -> DataFrame:
+    return rows.mapInArrow(read, BINARY_FILE)
+
+
+def _listing(files: DataFrame) -> DataFrame:
+    return files.select("path", "modificationTime", "length")  # without contents: no file is opened
+
+
+def scan_new_xml_files(spark: SparkSession, directory: str, existing: DataFrame) -> DataFrame:
     """Files under ``directory`` whose path is not yet in ``existing.file_name``.
 
-    The listing is compared first, without reading contents, so a small
-    increment opens only new files.
+    Only the listing is compared; then the new files are opened, and no others.
     """
-    files = scan_xml_files(spark, directory)
-    known = existing.select(F.col("file_name").alias("path")).distinct()
-    return scan_paths(files, settle(files.select("path").join(known, "path", "left_anti")), max_paths)
+    known = existing.select(F.col("file_name").alias("path"))
+    return read_files(settle(_listing(scan_xml_files(spark, directory)).join(known, "path", "left_anti")))
 
 
 def refresh_manifest(
-    spark: SparkSession, directory: str, old: DataFrame, max_paths: int = 10_000
+    spark: SparkSession, directory: str, old: DataFrame, trust_times: bool = False
 ) -> DataFrame:
     """The manifest of ``directory`` now, given the one of an earlier time.
 
-    A file whose time and length are as before keeps its hash; only new and
-    touched files are read.
+    Every file is hashed.  With ``trust_times`` a file whose time and length are
+    as before keeps its hash, and only new and touched files are opened: a
+    change that keeps both is then not seen.
     """
     files = scan_xml_files(spark, directory)
-    listing = files.select("path", F.col("modificationTime").alias("modification_time"), "length")
+    if not trust_times:
+        return manifest(files)
     same = ["path", "modification_time", "length"]
     known = old.groupBy(*same).agg(F.max("sha256").alias("sha256"))
+    listing = _listing(files).withColumnRenamed("modificationTime", "modification_time")
     matched = settle(listing.join(known, same, "left"))
-    unread = matched.where(F.col("sha256").isNull()).select("path")
-    read = manifest(scan_paths(files, unread, max_paths))
-    return matched.where(F.col("sha256").isNotNull()).unionByName(read)
+    unread = matched.where(F.col("sha256").isNull()).withColumnRenamed("modification_time", "modificationTime")
+    return matched.where(F.col("sha256").isNotNull()).unionByName(manifest(read_files(unread)))

@@ -17,8 +17,10 @@ def ingest_stream(
     ``checkpoint``, and the file sink commits each batch as a whole, so a run
     that was cut short neither loses nor repeats documents.  ``table`` holds
     every document with its status: see ``good_articles`` and ``quarantine``.
-    A file that changes later keeps its path and is not read again; read the
-    changed paths of ``snapshot_diff`` with ``scan_paths`` in a batch run.
+    A file that changes later keeps its path and is not read again: read the
+    changed paths of ``snapshot_diff`` with ``read_files`` in a batch run, into
+    a table of their own, since readers of ``table`` see only what the stream
+    committed; join the two when reading.
     """
     parsed = extract_articles(files, path, content, fields, carry)
     query = (

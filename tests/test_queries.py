@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from articlelake.session import session, shared_folder, use_all_cores
+from articlelake.session import bound_batches, require_utc, session, shared_folder
 from articlelake.checks.compare import compare, oracle
 from articlelake.checks.duckdb_sql import ORACLES
 from articlelake.checks.spark_queries import QUERIES
@@ -36,19 +36,23 @@ def test_shared_folder_follows_the_session(spark):
     assert first.startswith(base.rstrip("/") + "/") and first != second
 
 
-def test_only_small_inputs_are_spread(spark):
-    def partitions(folder):
-        documents = spark.read.parquet(f"{folder}/documents.parquet")
-        return use_all_cores(documents, "doc_id").rdd.getNumPartitions()
+def test_batches_are_bounded_in_any_session(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for before, after in (("1g", "64MB"), ("128m", "64MB"), ("1000", "1000"), ("8mb", "8mb")):
+        spark.conf.set(key, before)
+        bound_batches(spark)
+        assert spark.conf.get(key) == after
+    spark.conf.set(key, "64MB")
 
-    assert partitions(SMALL) == 1
-    assert partitions("/root/testdata/sf0.1") == spark.sparkContext.defaultParallelism
-    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+
+def test_time_zone_is_checked(spark):
+    require_utc(spark)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        assert use_all_cores(documents, "doc_id") is documents
+        with pytest.raises(ValueError, match="UTC"):
+            require_utc(spark)
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728b")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_session_settings(spark):

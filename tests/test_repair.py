@@ -218,11 +218,36 @@ def test_hot_key_is_split_at_run_time(spark, no_broadcast):
             spark.conf.set(key, value)
 
 
-def test_distinct_keys_are_shuffled_once(spark, links, no_broadcast):
-    frame = settle(links[1].withColumn("file_name", F.col("article_link")))
-    pages = settle(spark.createDataFrame([("u", 200, "x")], "url string, status int, html string"))
-    for joined in (repair.fill_links(frame, pages, "http://h"), joins.missing_articles(frame, frame)):
-        assert plan(joined).count("Exchange hashpartitioning") == 2
+def test_hot_keys_of_other_joins_are_split(spark, no_broadcast):
+    """Anti, mark and semi joins, with keys that may be null and keys that may not."""
+    hot = settle(spark.range(60000).selectExpr(
+        "concat('f', id) as file_name", "if(id % 5 > 0, 'hot', concat('a', id)) as k", "repeat('x', 50) as pad"))
+    hot = hot.withColumn("k", F.when(F.col("k") != "", F.col("k")))
+    sure = hot.withColumn("k", F.coalesce("k", F.lit("none")))
+    others = settle(spark.range(0, 60000, 7).selectExpr("concat('a', id) as k").union(spark.range(3).selectExpr("'a0' as k")))
+    limits = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+              "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0"}
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        for frame in (hot, sure):
+            for joined in (joins.keyed_anti_join(frame, others, "k", ["file_name"]),
+                           joins.keyed_mark(frame, others, "k", "known", ["file_name"]),
+                           joins.existing_links(frame, others.withColumnRenamed("k", "url"), "k")):
+                joined.collect()
+                assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_repeated_corrections_give_one_row(spark):
+    files = spark.createDataFrame([("c/1.xml", "1", "1"), ("c/2.xml", "1", "1")], "file_name string, volume string, issue string")
+    fixes = spark.createDataFrame([("1.xml", "2", "3"), ("1.xml", "2", "4"), ("1.xml", "1", "9")], "base_name string, volume string, issue string")
+    assert rows(repair.apply_overrides(files, fixes)) == [("c/1.xml", "2", "4"), ("c/2.xml", "1", "1")]
 
 
 def test_small_lookup_needs_no_shuffle(articles):

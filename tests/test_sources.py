@@ -1,6 +1,7 @@
 """Files and tables in temporary folders."""
 
 import os
+import time
 from pathlib import Path
 
 import pytest
@@ -59,14 +60,13 @@ def test_excluded_files_are_never_opened(spark, folder):
     assert "file_name" in text and names(xml_files.scan_xml_files(spark, str(folder)), folder) == sorted(KEPT)
 
 
-@pytest.mark.parametrize("max_paths", [0, 2, 100])
-def test_new_files_only(spark, folder, max_paths):
+def test_new_files_only(spark, folder):
     everything = xml_files.scan_xml_files(spark, str(folder)).select(F.col("path").alias("file_name"))
     known = everything.where("file_name like '%000664.xml' or file_name like '%deep%'")
-    new = xml_files.scan_new_xml_files(spark, str(folder), known, max_paths)
+    new = xml_files.scan_new_xml_files(spark, str(folder), known)
     assert names(new, folder) == ["000664/000665.xml", "Old.xml", "old/000700.xml"]
     assert new.where("length <> octet_length(content)").isEmpty()
-    assert xml_files.scan_new_xml_files(spark, str(folder), everything, max_paths).isEmpty()
+    assert xml_files.scan_new_xml_files(spark, str(folder), everything).isEmpty()
 
 
 def test_anti_join_before_the_parse(spark, folder):
@@ -118,12 +118,70 @@ def test_manifest_and_diff(spark, folder):
                        "000664.xml": "unchanged", "000664/000665.xml": "unchanged", "old/000700.xml": "unchanged"}
     assert manifests.has_changed(diff)
     changed = diff.where("change in ('added', 'changed')").select("path")
-    again = extract_articles(xml_files.scan_paths(xml_files.scan_xml_files(spark, str(folder)), changed))
+    listing = xml_files.scan_xml_files(spark, str(folder)).drop("content").join(changed, "path", "left_semi")
+    again = extract_articles(xml_files.read_files(listing))
     assert {r.file_name.split("/")[-1]: r.title for r in again.collect()} == {"1.xml": "changed", "new.xml": "A title"}
 
 
-@pytest.mark.parametrize("max_paths", [0, 100])
-def test_refreshed_manifest_reads_only_touched_files(spark, folder, max_paths):
+ODD_NAMES = ["a[1].xml", "a{1,2}.xml", "a*.xml", "a?.xml", "a 1.xml", "a#1.xml", "a%20b.xml", "ä+&.xml"]
+
+
+def test_names_are_no_patterns(spark, tmp_path):
+    """Every file is read under its own name, also where the name could be read as a pattern."""
+    for name in ["a1.xml", "a2.xml", *ODD_NAMES]:
+        (tmp_path / name).write_text(name)
+    everything = xml_files.scan_xml_files(spark, str(tmp_path))
+    known = everything.where("path like '%/a1.xml' or path like '%/a2.xml'").select(F.col("path").alias("file_name"))
+    new = {r.path.rsplit("/", 1)[1]: r.content.decode() for r in xml_files.scan_new_xml_files(spark, str(tmp_path), known).collect()}
+    assert new == {name: name for name in ODD_NAMES}
+
+
+def test_a_file_that_is_gone_has_no_row(spark, folder):
+    listing = settle(xml_files.scan_xml_files(spark, str(folder)).drop("content"))
+    (folder / "Old.xml").unlink()
+    assert names(xml_files.read_files(listing), folder) == sorted(n for n in KEPT if n != "Old.xml")
+
+
+def test_stream_takes_files_of_any_age(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+    now = time.time()
+    for run, (name, days) in enumerate([("1.xml", 0), ("2.xml", 30), ("3.xml", 4000), ("4.xml", -1)], 1):
+        write(folder, name, tei())
+        os.utime(folder / name, (now - 86400 * days,) * 2)
+        ingest_stream(xml_files.stream_xml_files(spark, str(folder)), out, state)
+        assert spark.read.parquet(out).count() == run
+
+
+def test_exact_manifest_sees_changes_that_keep_time_and_length(spark, folder):
+    def now(**how):
+        return xml_files.refresh_manifest(spark, str(folder), old, **how)
+
+    old = settle(xml_files.manifest(xml_files.scan_xml_files(spark, str(folder))))
+    path = folder / "Old.xml"
+    kept = path.stat()
+    path.write_bytes(path.read_bytes()[::-1])
+    os.utime(path, ns=(kept.st_atime_ns, kept.st_mtime_ns))
+    assert rows(manifests.snapshot_diff(old, now()).where("change = 'changed'").select(F.substring_index("path", "/", -1))) == [("Old.xml",)]
+    assert not manifests.has_changed(manifests.snapshot_diff(old, now(trust_times=True)))
+
+
+def test_one_page_for_each_address(spark):
+    pages = spark.createDataFrame(
+        [("a", 200, "x"), ("a", 200, "x"), ("a", 200, "y"), ("a", 404, "z"), ("b", 404, "x"), ("c", 200, None), ("d", 200, "d")],
+        schemas.CRAWL)
+    wanted = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,)], "url string")
+    found = rows(crawl.pages_at(pages, wanted))
+    assert [url for url, _ in found] == ["a", "c"] and found[0][1] in ("x", "y") and found[1][1] is None
+
+
+def test_html_is_not_shuffled(spark, no_broadcast):
+    pages = settle(spark.createDataFrame([("a", 200, "x")], schemas.CRAWL))
+    text = plan(crawl.pages_at(pages, settle(pages.select("url"))).where("html <> ''"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_refreshed_manifest_reads_only_touched_files(spark, folder):
     def everything():
         return xml_files.manifest(xml_files.scan_xml_files(spark, str(folder)))
 
@@ -131,7 +189,7 @@ def test_refreshed_manifest_reads_only_touched_files(spark, folder, max_paths):
     os.utime(folder / "000664.xml", (1, 1))
     write(folder, "new.xml", tei())
     (folder / "Old.xml").unlink()
-    found = xml_files.refresh_manifest(spark, str(folder), old, max_paths)
+    found = xml_files.refresh_manifest(spark, str(folder), old, trust_times=True)
     assert rows(found.drop("sha256")) == rows(everything().drop("sha256"))
     hashed = found.where("sha256 not like 'known %'")
     assert names(hashed, folder) == ["000664.xml", "new.xml"]
@@ -204,5 +262,5 @@ def test_link_exists(spark):
         schemas.CRAWL)
     assert {r.url: r.link_exists for r in crawl.with_link_exists(pages).collect()} == {
         "a": True, "b": False, "c": False, "d": True, "e": False}
-    assert rows(crawl.reachable_urls(pages.union(pages))) == [("a",), ("d",)]
+    assert rows(crawl.reachable_urls(pages)) == [("a",), ("d",)]
     assert rows(crawl.fetched(pages).select("url")) == [("a",), ("c",), ("d",)]
