@@ -1,10 +1,16 @@
 """Article files, link catalogs and crawled pages derived row by row from the driver tables."""
 
+import os
+import time
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
 from articlelake.session import settle
+from articlelake.sources.xml_files import client_for
 
 SITE = "http://journal.example"
 
@@ -219,3 +225,31 @@ def article_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('{SITE}/page/', doc_id) as article_link", "concat('Title ', doc_id) as article_title",
         "lang as issue_text", "doc_id",
     )
+
+
+# A form of file name for each document; most of them hold what some readers take for a pattern.
+ODD_NAMES = """element_at(array(
+    format_string('%06d.xml', doc_id), format_string('deep/er/%06d.xml', doc_id), format_string('a[%d].xml', doc_id),
+    format_string('a{%d,1}.xml', doc_id), format_string('a*%d.xml', doc_id), format_string('a?%d.xml', doc_id),
+    format_string('a %d#.xml', doc_id), format_string('a%%20%d.xml', doc_id), format_string('sample%d.xml', doc_id),
+    format_string('%d.txt', doc_id)), cast(doc_id % 10 + 1 as int))"""
+
+
+def write_files(files: DataFrame, folder: str) -> None:
+    """Write each row ``path, content, days`` as a file of its own below ``folder``, on the executors.
+
+    ``days`` is the age that the file shall seem to have, where its file system has a clock to set.
+    """
+    def write(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                client, place = client_for(f"{folder}/{row['path']}")
+                client.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                with client.open_output_stream(place) as out:
+                    out.write(row["content"].encode())
+                if isinstance(client, fs.LocalFileSystem):
+                    then = time.time() - 86400 * row["days"]
+                    os.utime(place, (then, then))
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
+
+    files.select("path", "content", "days").mapInArrow(write, "files long").agg(F.sum("files")).collect()

@@ -22,6 +22,13 @@ VOLUME = "case when doc_id % 10 <> 3 then printf('%03d', doc_id % 17) end"
 ISSUE = "case when doc_id % 10 <> 7 then (doc_id % 4)::varchar end"
 STATUS = "case when doc_id % 11 = 0 then 'declaration_only' when doc_id % 7 = 0 then 'malformed' else 'ok' end"
 
+# the file names of corpus.ODD_NAMES, and those of them that are read
+ODD_NAME = """case doc_id % 10 when 2 then 'a[' || doc_id || '].xml' when 3 then 'a{' || doc_id || ',1}.xml'
+    when 4 then 'a*' || doc_id || '.xml' when 5 then 'a?' || doc_id || '.xml' when 6 then 'a ' || doc_id || '#.xml'
+    when 7 then 'a%20' || doc_id || '.xml' else printf('%06d', doc_id) || '.xml' end"""
+READ_BACK = f"""printf('%06d', doc_id) as article_id, text as body_text, {ODD_NAME} as file_name from documents
+    where doc_id % 10 < 8 and not (doc_id % 10 < 2 and (doc_id = 0 or printf('%06d', doc_id) like '999%'))"""
+
 NAV = """select page_id, unnest(regexp_extract_all(nav, '<a href="([^"]*)">[^<]*</a>', 1)) as href,
     unnest(regexp_extract_all(nav, '<a href="[^"]*">([^<]*)</a>', 1)) as link_text,
     (generate_subscripts(regexp_extract_all(nav, '<a href="[^"]*">[^<]*</a>'), 1) - 1)::integer as pos
@@ -103,6 +110,11 @@ CATALOG_MISSING = f"""select * from ({CATALOG}) where lang = 'es' or line_no <>
 DELIVERED = f"select * from ({CATALOG_MISSING}) where lang <> 'es' and line_no <> 1"
 
 ORACLES = {
+    "scan_files": f"select {READ_BACK}",
+    "scan_new_files": f"select case when lang = 'en' then 'first' else 'second' end as run, {READ_BACK}",
+    "ingest_files": f"select {READ_BACK}",
+    "build_articles_append": f"""select article_id, 'yet to be assigned' as volume, 'yet to be assigned' as issue, body_text
+        from (select {READ_BACK})""",
     "tei_body_text": "select doc_id, text as body_text from documents",
     "tei_metadata": f"""select {FILE} as file_name, printf('%06d', doc_id) as article_id, {VOLUME} as volume,
         {ISSUE} as issue, case when lang <> 'de' then source end as article_type,

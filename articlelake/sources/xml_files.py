@@ -68,14 +68,16 @@ def manifest(files: DataFrame) -> DataFrame:
     )
 
 
-def open_file(path: str):
-    """A byte stream of one file, through a client that the scheme of its path names."""
+def client_for(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system that the scheme of a path names, and the path in it; names are taken as they are."""
     scheme, colon, rest = path.partition(":")
-    if not colon or "/" in scheme or scheme == "file":
-        return open("/" + (rest if colon and scheme == "file" else path).lstrip("/"), "rb")
-    authority = rest.lstrip("/").split("/", 1)[0] if rest.startswith("//") else ""
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    authority = rest[2:].split("/", 1)[0] if rest.startswith("//") else ""
     client, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return client.open_input_stream(rest.removeprefix(f"//{authority}") if authority else rest)
+    return client, rest.removeprefix(f"//{authority}")
 
 
 def read_files(listing: DataFrame) -> DataFrame:
@@ -93,7 +95,8 @@ def read_files(listing: DataFrame) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 try:
-                    with open_file(batch.column("path")[row].as_py()) as file:
+                    client, place = client_for(batch.column("path")[row].as_py())
+                    with client.open_input_stream(place) as file:
                         content = file.read()
                 except FileNotFoundError:
                     continue
