@@ -179,3 +179,19 @@ def test_report(spark):
     day = F.date_format("date_processed", "yyyy-MM-dd")
     assert rows(found.by_type.select(day, "article_type", "articles")) == [("2010-05-03", "a", 2), (None, "b", 2)]
     assert found.by_language.count() == 4
+
+
+def test_one_backfilled_article_for_each_id(spark):
+    """An address crawled twice, and two addresses of one article, give one row."""
+    one, other = "http://h/vol/001/2/000123.xml", "http://h/vol/1/2/000123.xml"
+    crawled = spark.createDataFrame(
+        [(one, 200, tei(title="a")), (one, 200, tei(title="a")), (other, 200, tei(title="b")), (other, 404, "x")], schemas.CRAWL)
+    links = spark.createDataFrame([(one,), (one,), (other,)], "url string")
+    found = catalog.backfill_articles(crawled, links)
+    assert [(r.file_name, r.title) for r in found.collect()] == [(other, "b")]
+
+
+def test_a_file_name_of_two_articles_is_an_error(spark):
+    articles = spark.createDataFrame([("a.xml", "t"), ("a.xml", "u"), ("b.xml", "v")], "file_name string, title string")
+    with pytest.raises(ValueError, match="a.xml"):
+        dataset.with_contents(articles.select("file_name"), articles)
