@@ -218,7 +218,9 @@ ORACLES = {
         'ok' as status from documents""",
     "reuse_stage": "select * from documents",
     "optional_backfill": f"""select {FILE} as file_name, source as article_type, null::varchar as date_processed,
-        null::integer as n_authors from documents""",
+        null::integer as n_authors from documents
+        union all select 'backfill/' || printf('%06d', doc_id) || '.xml', 'backfill',
+        case when quality = 1 then '2020-01-03' else '2020-01-02' end, null from labels""",
     "null_split": """select o_orderkey, case when o_orderkey % 10 <> 0 then strftime(o_orderdate, '%Y-%m-%d') end
             as o_orderdate, case when o_orderkey % 10 = 0 or o_orderdate is null then 'missing' else 'present' end as side
         from orders""",

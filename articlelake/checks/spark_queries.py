@@ -262,7 +262,7 @@ def existing_links(spark, sf_dir):
 def union_backfill(spark, sf_dir):
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", "date_text")
     finished = orders.where("o_orderstatus = 'F'")
-    others = orders.where("o_orderstatus <> 'F'").drop("date_text")
+    others = orders.where("not (o_orderstatus <=> 'F')").drop("date_text")
     return unions.append_rows(finished, others)
 
 
@@ -381,11 +381,16 @@ def reuse_stage(spark, sf_dir):
 
 
 def optional_backfill(spark, sf_dir):
-    """No backfill table exists: an empty one of its type takes its place."""
+    """One backfill table exists; an empty one of its type takes the place of another."""
     documents = table(spark, sf_dir, "documents").selectExpr(
         f"concat('corpus/', {corpus.padded('doc_id')}, '.xml') as file_name", "source as article_type")
-    backfill = tables.read_optional(spark, shared_folder(spark), schemas.ARTICLES_CLEAN)
-    both = unions.append_rows(documents, backfill)
+    settle(table(spark, sf_dir, "labels").selectExpr(
+        f"concat('backfill/', {corpus.padded('doc_id')}, '.xml') as file_name", "'backfill' as article_type",
+        "date_add(date'2020-01-02', quality) as date_processed").withColumn(
+        "date_processed", F.col("date_processed").cast("timestamp")), folder := shared_folder(spark))
+    both = documents
+    for path in (folder, shared_folder(spark)):
+        both = unions.append_rows(both, tables.read_optional(spark, path, schemas.ARTICLES_CLEAN))
     return both.select("file_name", "article_type", _day("date_processed"), F.array_size("authors").alias("n_authors"))
 
 
@@ -421,8 +426,8 @@ def top_articles(spark, sf_dir):
 
 # --- plans -------------------------------------------------------------------
 
-def _curated(spark, sf_dir):
-    parsed = settle(tei.extract_articles(corpus.documents_as_files(spark, sf_dir, corpus.VERSIONED)))
+def _curated(spark, sf_dir, fields=None):
+    parsed = settle(tei.extract_articles(corpus.documents_as_files(spark, sf_dir, corpus.VERSIONED), fields=fields))
     articles = tei.good_articles(parsed)
     rows = dataset.build_dataset(articles, corpus.label_links(spark, sf_dir),
                                  overrides=corpus.label_overrides(spark, sf_dir))
@@ -437,13 +442,18 @@ def curated_dataset(spark, sf_dir):
         "language_ident", "title", "body_text")
 
 
+def _reported(spark, sf_dir):
+    """The finished table without texts: a report counts keys and dates."""
+    return _curated(spark, sf_dir, [*dataset.KEY_COLUMNS[1:], "article_type", "language_ident"])
+
+
 def report_by_type(spark, sf_dir):
-    by_type = report.report(_curated(spark, sf_dir)).by_type
+    by_type = report.report(_reported(spark, sf_dir)).by_type
     return by_type.select(_day("date_processed"), "article_type", "articles")
 
 
 def report_by_language(spark, sf_dir):
-    by_language = report.report(_curated(spark, sf_dir)).by_language
+    by_language = report.report(_reported(spark, sf_dir)).by_language
     return by_language.select(_day("date_processed"), "language_ident", "articles")
 
 
