@@ -346,10 +346,10 @@ def similar_documents(docs: DataFrame, n: int = WORDS) -> DataFrame:
     classes = settle(known.groupBy("set_key").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles")))
 
-    # n-grams that several sets have among their first, and the sets that have enough of them
+    # n-grams that several sets have among their first, and the sets that have enough of them; copies of
+    # a set still count here, and fall away with the next round
     postings = known.select("set_key", F.explode("grams").alias("gram"))
-    shared = postings.groupBy("gram").agg(F.min("set_key").alias("one"), F.max("set_key").alias("other"))
-    shared = shared.where("one <> other").select("gram")
+    shared = postings.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
     members = settle(_with_enough(postings.join(shared, "gram").distinct(), classes))
     for _ in range(2):  # sets that went may have taken the only partners of others along
         again = members.groupBy("gram").count().where("count > 1").select("gram")
