@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from articlelake.llm.common import bound_batches, connected_components
 from articlelake.session import settle
 
-# Two sets are linked when SHARE_NUM / SHARE_DEN of their union is common: 9 / 10.
+# Two sets are linked when NUM / DEN of their union is common, if no other share is asked for: 9 / 10.
 NUM, DEN = 9, 10
 WORDS = 3
 # The global order comes from counts of n-grams by bucket: 2 ** BITS numbers, however large the corpus.
@@ -115,30 +115,30 @@ def _ordered(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return grams[np.lexsort((grams, counts[_bucket(grams)]))]
 
 
-def prefix_length(size: int) -> int:
+def prefix_length(size: int, num: int = NUM, den: int = DEN) -> int:
     """How many first elements of a set are looked at.
 
-    Linked sets of sizes a and b have at least ``NUM / DEN`` of the larger one in
+    Linked sets of sizes a and b have at least ``num / den`` of the larger one in
     common; so of the first ``a - overlap + m`` and ``b - overlap + m`` elements
     in one order, they share m at least.  Here m is a twentieth of the set.
     """
-    return min(size, size - -(-NUM * size // DEN) + size // 20 + 1)
+    return min(size, size - -(-num * size // den) + size // 20 + 1)
 
 
-def shared_at_least(size: int | Column) -> int | Column:
+def shared_at_least(size: int | Column, num: int = NUM, den: int = DEN) -> int | Column:
     """How many of its first elements a set shares with any set that it is linked with, which may be
-    smaller by a tenth."""
+    as small as ``num / den`` of it."""
     if isinstance(size, Column):
-        return F.floor(size * NUM / (20 * DEN)) + 1
-    return size * NUM // (20 * DEN) + 1
+        return F.floor(size * num / (20 * den)) + 1
+    return size * num // (20 * den) + 1
 
 
-def _needed(a: int, b: int) -> int:
+def _needed(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
     """Smallest overlap of linked sets of these sizes."""
-    return -(-NUM * (a + b) // (NUM + DEN))
+    return -(-num * (a + b) // (num + den))
 
 
-def _ordered_sets(docs: DataFrame, counts, n: int, whole: bool) -> DataFrame:
+def _ordered_sets(docs: DataFrame, counts, n: int, whole: bool, num: int = NUM, den: int = DEN) -> DataFrame:
     """``doc_id, n_shingles, set_key, grams`` of each row: the prefix, or the whole set as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +148,7 @@ def _ordered_sets(docs: DataFrame, counts, n: int, whole: bool) -> DataFrame:
                 sizes.append(len(found))
                 keys.append(xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if len(found) else None)
                 order = _ordered(found, counts.value)
-                order = order if whole else order[:prefix_length(len(found))] if len(found) else order
+                order = order if whole else order[:prefix_length(len(found), num, den)] if len(found) else order
                 grams.append(order.tobytes() if whole else order.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
@@ -213,10 +213,11 @@ class _Sets:
         return row
 
 
-def tree_links(sets: Sequence[np.ndarray], sides: Sequence[int] | None = None) -> list[tuple[int, int]]:
+def tree_links(sets: Sequence[np.ndarray], sides: Sequence[int] | None = None, num: int = NUM,
+               den: int = DEN) -> list[tuple[int, int]]:
     """Links that connect exactly the rows which a chain of linked pairs connects.
 
-    ``sets`` are in the global order.  A pair that is known to be connected
+    ``sets`` are in the global order; ``num / den`` of the union of a linked pair is common.  A pair that is known to be connected
     already is not looked at again, so the links are a forest.  With ``sides``,
     pairs of one side are left to others.
     """
@@ -228,33 +229,33 @@ def tree_links(sets: Sequence[np.ndarray], sides: Sequence[int] | None = None) -
     for row in order:
         grams = sets[row][::-1].tolist()  # common first
         own, size = set(grams), len(grams)
-        least = -(-NUM * size // DEN)
+        least = -(-num * size // den)
         apart += 1
         if sides is None:
             for leader, other in leaders:
                 if len(other) >= least and joined.find(leader) != joined.find(row) \
-                        and len(own & other) >= _needed(size, len(other)):
+                        and len(own & other) >= _needed(size, len(other), num, den):
                     joined.parent[joined.find(row)] = joined.find(leader)
                     links.append((leader, row))
                     apart -= 1
         if apart > 1:
             for side, root in roots.items():
                 if sides is None or side != sides[row]:
-                    apart -= _walk(root, own, size, least, row, joined, links)
+                    apart -= _walk(root, own, size, least, row, joined, links, num, den)
         _insert(roots[sides[row] if sides else 0], grams, row)
         if len(leaders) < 4 or row % 64 == 0:
             leaders = [*leaders[-3:], (row, own)]
     return links
 
 
-def _walk(root, own, size, least, row, joined, links) -> int:
+def _walk(root, own, size, least, row, joined, links, num, den) -> int:
     found, stack = 0, [(root, 0, 0)]
     while stack:
         node, overlap, depth = stack.pop()
         if node.most < least:
             continue
         smallest = node.least if node.least > least else least
-        needed = _needed(size, smallest)
+        needed = _needed(size, smallest, num, den)
         rest = node.most - depth
         if overlap + (rest if rest < size - overlap else size - overlap) < needed:
             continue
@@ -264,7 +265,7 @@ def _walk(root, own, size, least, row, joined, links) -> int:
             rest = node.most - depth
             if overlap + (rest if rest < size - overlap else size - overlap) < needed:
                 continue
-        if node.ends and depth >= least and overlap >= _needed(size, depth):
+        if node.ends and depth >= least and overlap >= _needed(size, depth, num, den):
             for other in node.ends:
                 a, b = joined.find(other), joined.find(row)
                 if a != b:
@@ -276,12 +277,12 @@ def _walk(root, own, size, least, row, joined, links) -> int:
     return found
 
 
-def _join_cluster(table: pa.Table) -> pa.Table:
+def _join_cluster(table: pa.Table, num: int, den: int) -> pa.Table:
     nodes = table["node"].to_pylist()
     sets = [np.frombuffer(value.as_py(), np.uint64) for value in table["grams"]]
     first, second = table["i"][0].as_py(), table["j"][0].as_py()
     sides = None if first == second else [int(value.as_py() != first) for value in table["block"]]
-    links = tree_links(sets, sides) if len(sets) > 1 else []
+    links = tree_links(sets, sides, num, den) if len(sets) > 1 else []
     return pa.table({"a": pa.array([nodes[a] for a, _ in links], pa.int64()),
                      "b": pa.array([nodes[b] for _, b in links], pa.int64())})
 
@@ -321,27 +322,30 @@ def _blocks(sets: DataFrame, by: str) -> DataFrame:
         F.when(load <= CLUSTER, 1).otherwise(F.ceil(2 * load / CLUSTER)).cast("int").alias("blocks"))
 
 
-def _with_enough(postings: DataFrame, classes: DataFrame) -> DataFrame:
+def _with_enough(postings: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """``gram, set_key, node, n_shingles`` of the sets that have enough of these n-grams to be linked."""
     enough = (
         postings.groupBy("set_key").agg(F.count("*").alias("has")).join(classes, "set_key")
-        .where(F.col("has") >= shared_at_least(F.col("n_shingles"))).select("set_key", "node", "n_shingles")
+        .where(F.col("has") >= shared_at_least(F.col("n_shingles"), num, den)).select("set_key", "node", "n_shingles")
     )
     return postings.join(enough, "set_key").select("gram", "set_key", "node", "n_shingles")
 
 
-def similar_documents(docs: DataFrame, n: int = WORDS) -> DataFrame:
+def similar_documents(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs`` (``doc_id, text`` and any other columns).
 
-    ``component_id`` is the smallest id that links reach.  Equal sets are one
+    Rows are linked when ``num / den`` of their ``n``-word sequences are common,
+    a tenth at least.  ``component_id`` is the smallest id that links reach.  Equal sets are one
     class, joined once.  Rows without words link with nothing; rows without id
     link with nothing and have no component; repeated rows come out repeated.
     """
+    if not 0 < num <= den <= 10 * num:
+        raise ValueError(f"a share from 1/10 to 1 is needed, not {num}/{den}")
     spark: SparkSession = docs.sparkSession
     bound_batches(spark)
     docs = docs.select("doc_id", "text")
     counts = spark.sparkContext.broadcast(gram_counts(docs, n=n))
-    sets = settle(_ordered_sets(docs, counts, n, whole=False))
+    sets = settle(_ordered_sets(docs, counts, n, whole=False, num=num, den=den))
     known = sets.where("doc_id is not null and set_key is not null")
     classes = settle(known.groupBy("set_key").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles")))
@@ -350,10 +354,10 @@ def similar_documents(docs: DataFrame, n: int = WORDS) -> DataFrame:
     # a set still count here, and fall away with the next round
     postings = known.select("set_key", F.explode("grams").alias("gram"))
     shared = postings.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    members = settle(_with_enough(postings.join(shared, "gram").distinct(), classes))
+    members = settle(_with_enough(postings.join(shared, "gram").distinct(), classes, num, den))
     for _ in range(2):  # sets that went may have taken the only partners of others along
         again = members.groupBy("gram").count().where("count > 1").select("gram")
-        members = settle(_with_enough(members.join(again, "gram").select("set_key", "gram"), classes))
+        members = settle(_with_enough(members.join(again, "gram").select("set_key", "gram"), classes, num, den))
     # of n-grams with the same sets, one is enough
     mark = F.xxhash64("set_key", F.lit(7))
     distinct = members.groupBy("gram").agg(
@@ -367,7 +371,8 @@ def similar_documents(docs: DataFrame, n: int = WORDS) -> DataFrame:
     texts = docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi")
     full = _ordered_sets(texts, counts, n, whole=True).select("set_key", "grams").dropDuplicates(["set_key"])
     gathered = clusters.join(full, "set_key").select("cluster", "kind", "i", "j", "block", "node", "grams")
-    links = gathered.groupBy("cluster", "kind", "i", "j").applyInArrow(_join_cluster, "a long, b long")
+    links = gathered.groupBy("cluster", "kind", "i", "j").applyInArrow(
+        lambda table: _join_cluster(table, num, den), "a long, b long")
 
     components = connected_components(links)
     named = settle(classes.join(components, "node", "left").select(

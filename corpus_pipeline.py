@@ -15,6 +15,8 @@ from articlelake.llm.queries import RANKS, TOXIC
 from articlelake.session import settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Documents are similar when 8 / 10 of their sequences of five words are common.
+WORDS, NUM, DEN = 5, 8, 10
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect the one with the smallest id stays, once."""
-    similar = ngram_join.similar_documents(docs)
+    similar = ngram_join.similar_documents(docs, WORDS, NUM, DEN)
     heads = settle(similar.where("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("_rows")))
     if heads.count() <= ngram_join.SMALL:  # a checked size; beyond it, the join decides
         heads = F.broadcast(heads)

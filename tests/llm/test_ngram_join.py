@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -93,3 +94,60 @@ def test_words():
     assert len(ngram_join.ngram_set("É a b")) == 1 and (ngram_join.ngram_set("É a b") != ngram_join.ngram_set("é a b")).all()
     assert len(ngram_join.ngram_set(None)) == len(ngram_join.ngram_set(" ")) == 0
     assert len(ngram_join.ngram_set("x y " * 50_000)) == 2
+
+
+def scattered(rng, changes, n=460):
+    """A text, and a copy of it with single words changed far from each other."""
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    copy = list(words)
+    for i in range(changes):
+        copy[20 + i * (n - 40) // changes] = f"changed{rng.randrange(10 ** 6)}"
+    return " ".join(words), " ".join(copy)
+
+
+@pytest.mark.parametrize(("cluster", "copies"), [(ngram_join.CLUSTER, 32), (400, 32), (150, 1)])
+@pytest.mark.parametrize(("n", "num", "den"), [(5, 8, 10), (3, 1, 2)])
+def test_other_shares_equal_brute_force(spark, monkeypatch, cluster, copies, n, num, den):
+    monkeypatch.setattr(ngram_join, "CLUSTER", cluster)
+    monkeypatch.setattr(ngram_join, "COPIES", copies)
+    rng = random.Random(3)
+    rows = [row for row in texts() if row[0] is not None]
+    for i in range(12):  # five-word shares from 0.96 down to 0.76
+        rows += zip((1000 + 2 * i, 1001 + 2 * i), scattered(rng, i + 1), strict=True)
+
+    def grams(text):
+        words = (text or "").encode().lower().split()
+        return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+    sets = [(doc_id, grams(text)) for doc_id, text in rows]
+    parent = {doc_id: doc_id for doc_id, _ in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    between = 0
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x and y and den * len(x & y) >= num * len(x | y):
+                between += 10 * len(x & y) < 9 * len(x | y)
+                p, q = find(a), find(b)
+                parent[max(p, q)] = min(p, q)
+    assert between > 4
+    found = ngram_join.similar_documents(documents(spark, rows), n, num, den)
+    assert result(found) == sorted(((d, len(s), find(d)) for d, s in sets), key=repr)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 60), min_size=1), st.sets(st.integers(0, 60), max_size=9), st.sets(st.integers(61, 99), max_size=9))
+def test_sets_of_another_share_have_enough_first_elements_in_common(base, gone, more):
+    other = (base - gone) | more
+    if other and 10 * len(base & other) >= 8 * len(base | other):
+        a, b = (set(sorted(s)[:ngram_join.prefix_length(len(s), 8, 10)]) for s in (base, other))
+        assert len(a & b) >= max(ngram_join.shared_at_least(len(s), 8, 10) for s in (base, other))
+
+
+def test_impossible_shares_are_refused(spark):
+    with pytest.raises(ValueError, match="share"):
+        ngram_join.similar_documents(documents(spark, []), 5, 11, 10)

@@ -1,4 +1,5 @@
 import inspect
+import random
 
 import pytest
 
@@ -9,6 +10,7 @@ from articlelake.llm import line_runs, mixing, ngram_join, toxicity
 from articlelake.llm.common import read
 from articlelake.llm.queries import QUERIES
 from tests.conftest import SMALL
+from tests.llm.test_ngram_join import scattered
 
 
 def test_every_operator_has_one_query():
@@ -63,3 +65,14 @@ def test_awkward_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SMALL)
     assert empty.count() == 0
+
+
+def test_near_copies_from_a_five_word_share_of_08(spark):
+    """46 to 56 words for each changed one: a three-word share below 0.9, a five-word one above 0.8."""
+    rng = random.Random(5)
+    kept, gone = scattered(rng, 9)
+    apart = scattered(rng, 12)
+    rows = [(1, kept, "en", "a", 1), (2, gone, "en", "a", 1), (3, apart[0], "en", "a", 1), (4, apart[1], "en", "a", 1)]
+    docs = spark.createDataFrame(rows, read(spark, SMALL, "documents").schema)
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    assert sorted(r.doc_id for r in stage(spark, docs, SMALL).collect()) == [1, 3, 4]
