@@ -91,7 +91,7 @@ def sentence_ids(text: str = "text") -> Column:
     """Identifiers of the known sentences of the whole text, in order.
 
     Sentences end at . ! ? ; : before white space, and at empty lines.  One that
-    runs over several lines is looked up as a whole and line by line.
+    runs over several lines is looked up as a whole and line by line, however long it is.
     """
     lower = F.lower(F.col(text))
     triggered = F.lit(False)
@@ -100,7 +100,7 @@ def sentence_ids(text: str = "text") -> Column:
     sentences = F.split(F.col(text), r"(?<=[.!?;:])\s+|\n\s*\n")
     forms = F.flatten(F.transform(sentences, lambda s: F.when(
         s.contains("\n"), F.concat(F.array(s), F.split(s, "\n"))).otherwise(F.array(s))))
-    ids = F.transform(F.filter(forms, lambda s: F.length(s) <= 4000), lambda s: _identifier(normalised(s)))
+    ids = F.transform(forms, lambda s: _identifier(normalised(s)))
     empty = F.array().cast("array<string>")
     return F.when(triggered, F.filter(ids, lambda name: name.isNotNull())).otherwise(empty)
 

@@ -59,3 +59,12 @@ def test_whole_table_against_plain_search(spark):
     for row in rows:
         assert row.licences == sorted({name for line, name in lines.items() if re.search(r"(^|\n|[.!?;:]\s)" + re.escape(line), row.text)})
     assert any(row.licences for row in rows)
+
+
+def test_sentences_of_any_length(spark):
+    """A copyright line counts whatever follows, and marks and blanks around a known sentence do not."""
+    texts = ["Copyright (c) 2020 " + "holder " * 2000, "Released under" + " " * 5000 + "the MIT License",
+             "*" * 10_000 + " Licensed under CC BY 4.0 " + "=" * 10_000, "licence " + "word " * 2000]
+    rows = lr.scan(documents(spark, enumerate(texts))).orderBy("doc_id").collect()
+    assert [r.sentence_ids for r in rows] == [["COPYRIGHT"], ["MIT-NAME"], ["CC-BY4"], []]
+    assert [r.licences for r in rows] == [[], ["MIT"], ["CC-BY-4.0"], []]
