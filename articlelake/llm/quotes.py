@@ -1,8 +1,9 @@
 """Quotation linking: quoted passages lead from a reply to the message that it answers.
 
 Lines that start with ``>`` are quoted, as deep as they have such marks.  A message without its
-quotes and attribution lines is what its author wrote.  Paragraphs are normalised and hashed; a
-quoted paragraph is joined to the earliest message that wrote it.
+quotes and attribution lines is what its author wrote.  Its paragraphs, its lines and the whole of it
+are normalised and hashed, so line breaks do not matter; a quoted passage is joined to the earliest
+message that wrote it.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from articlelake.session import settle
 # Character classes only: a repeated group would recurse once for each mark of a long row of them.
 _QUOTED = r"^[ \t]{0,3}>"
 _MARKS = r"^[ \t]{0,3}>[ \t>]*"
+_BLANK = r"\r?\n[ \t]*\r?\n"  # between paragraphs
 _ATTRIBUTION = r"(?i)^[ \t>]*(on .{1,200} wrote:|.{1,120} (wrote|said|schrieb|a écrit|escribió):)[ \t]*$"
 
 
@@ -45,13 +47,13 @@ def normalised(passage: Column) -> Column:
 
 
 def _passages(text: Column) -> Column:
-    """Normalised paragraphs of a text, and the whole of it."""
-    parts = F.concat(F.array(text), F.split(text, r"\n[ \t]*\n|\n"))
+    """Normalised paragraphs and lines of a text, and the whole of it."""
+    parts = F.concat(F.array(text), F.split(text, _BLANK), F.split(text, r"\n"))
     return F.array_distinct(F.filter(F.transform(parts, normalised), lambda p: p != ""))
 
 
 def quoted_passages() -> Column:
-    """``level, passage`` of the quoted runs of lines of one level: each line, and the run as a whole."""
+    """``level, passage`` of the quoted runs of lines of one level: each line, each paragraph, and the run as a whole."""
     # lines without marks part the runs; inside a run, lines of one level belong together
     gap = "\x00"
     marked = F.transform(F.split("text", r"\r?\n"), lambda line: F.when(line.rlike(_QUOTED), line).otherwise(gap))
@@ -61,8 +63,12 @@ def quoted_passages() -> Column:
         levels = F.array_distinct(F.transform(lines, lambda line: line["level"]))
         whole = F.transform(levels, lambda level: F.struct(level.alias("level"), F.array_join(F.transform(
             F.filter(lines, lambda line: line["level"] == level), lambda line: line["body"]), "\n").alias("passage")))
+        # empty lines and lines of other levels part paragraphs
+        paragraphs = F.flatten(F.transform(levels, lambda level: F.transform(F.split(F.array_join(F.transform(
+            lines, lambda line: F.when(line["level"] == level, line["body"]).otherwise("")), "\n"), _BLANK),
+            lambda passage: F.struct(level.alias("level"), passage.alias("passage")))))
         each = F.transform(lines, lambda line: F.struct(line["level"].alias("level"), line["body"].alias("passage")))
-        return F.transform(F.concat(whole, each), lambda part: F.struct(
+        return F.transform(F.concat(whole, paragraphs, each), lambda part: F.struct(
             part["level"].alias("level"), normalised(part["passage"]).alias("passage")))
 
     def of_run(run: Column) -> Column:

@@ -49,3 +49,17 @@ def test_a_long_chain_and_a_hot_passage(spark):
 def test_texts_without_quotes_stay(spark):
     text = "On Monday he wrote:\nno quote\n\n\n\nend "
     assert linked(spark, [(1, 0, "user", text)])[1, 0].body == text
+
+
+def test_a_paragraph_quoted_with_other_line_breaks(spark):
+    first = "Hello all.\n\nThe boat leaves\nfrom the old pier\nat nine.\n\nBring a coat\nand some bread."
+    found = linked(spark, [
+        (1, 0, "user", first), (1, 1, "assistant", "> The boat leaves from the\n> old pier at nine.\nSo early?"),
+        (1, 2, "user", "> The boat\n> leaves from the old pier at nine.\n>\n> Bring a\n> coat and some bread.\nFine."),
+        (1, 3, "user", "> Bring a coat and\n>> nobody wrote this\n> some bread.\nNo."),
+        (2, 0, "user", first.replace("\n", "\r\n").replace("boat", "train")),
+        (2, 1, "user", "> The train leaves from\r\n> the old pier at nine.\r\nOh."),
+    ])
+    assert [found[1, t].reply_turn for t in (1, 2)] == [0, 0] and found[1, 2].reply_path == [0, 2]
+    assert found[1, 3].reply_turn == 0  # the run as a whole
+    assert (found[2, 1].reply_conv, found[2, 1].reply_turn) == (2, 0)
