@@ -1,7 +1,6 @@
 """Session settings and the shared folder that durable intermediate tables go to."""
 
 import re
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -62,14 +61,14 @@ def local_table(
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting: there, and only there,
-    a temporary folder is as shared as any other.
+    Only a local session may go without that setting; it then takes a folder
+    in the warehouse, which is shared as well, never a machine-local temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="articlelake-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_articlelake_checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/articlelake/{uuid.uuid4().hex}"
 
@@ -90,7 +89,7 @@ def bound_batches(spark: SparkSession) -> None:
     """Arrow batches to Python are bounded by bytes in any session, not only in one made by ``session``."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     limit = RECOMMENDED[key]
-    now = _bytes(spark.conf.get(key, "0"))
+    now = _bytes(spark.conf.get(key))  # a known setting: a given default would be validated, and "0" is refused
     if not 0 < now <= _bytes(limit):
         spark.conf.set(key, limit)
 

@@ -45,6 +45,19 @@ def test_batches_are_bounded_in_any_session(spark):
     spark.conf.set(key, "64MB")
 
 
+def test_entry_in_a_session_without_the_batch_setting(spark):
+    """A plain session has no value of its own: Spark's default is read, never a given one."""
+    import __spark_entry__
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    try:
+        bound_batches(spark)
+        assert __spark_entry__.entry(spark).count() >= 0
+    finally:
+        spark.conf.set(key, "64MB")
+
+
 def test_time_zone_is_checked(spark):
     require_utc(spark)
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
