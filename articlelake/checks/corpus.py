@@ -253,3 +253,18 @@ def write_files(files: DataFrame, folder: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
 
     files.select("path", "content", "days").mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+def remove_files(paths: DataFrame, folder: str) -> None:
+    """Delete the file of each row ``path`` below ``folder``, on the executors; a missing file is no fault."""
+    def remove(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                client, place = client_for(f"{folder}/{path}")
+                try:
+                    client.delete_file(place)
+                except FileNotFoundError:
+                    pass
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
+
+    paths.select("path").mapInArrow(remove, "files long").agg(F.sum("files")).collect()

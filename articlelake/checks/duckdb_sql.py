@@ -113,6 +113,9 @@ ORACLES = {
     "scan_files": f"select {READ_BACK}",
     "scan_new_files": f"select case when lang = 'en' then 'first' else 'second' end as run, {READ_BACK}",
     "ingest_files": f"select {READ_BACK}",
+    "ingest_updates": f"""select article_id, case when doc_id % 3 <> 0 and doc_id % 5 = 0 then body_text || ' changed'
+            else body_text end as body_text, file_name
+        from (select doc_id, {READ_BACK}) where doc_id % 7 <> 0""",
     "build_articles_append": f"""select article_id, 'yet to be assigned' as volume, 'yet to be assigned' as issue, body_text
         from (select {READ_BACK})""",
     "tei_body_text": "select doc_id, text as body_text from documents",

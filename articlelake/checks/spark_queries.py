@@ -11,6 +11,7 @@ from articlelake.plans import catalog, dataset, pages, report
 from articlelake.session import settle, shared_folder
 from articlelake.sources import crawl, tables, xml_files
 from articlelake.streaming import ingest
+from articlelake.streaming.changes import ingest_changes, read_ingested
 from articlelake.checks import corpus
 from articlelake.checks.corpus import SITE, table
 
@@ -319,9 +320,9 @@ def ingest_stream(spark, sf_dir):
     return spark.read.parquet(f"{folder}/parsed").select("file_name", "article_id", "body_text", "status")
 
 
-def _document_files(spark, sf_dir, where: str):
+def _document_files(spark, sf_dir, where: str, text: str = "text"):
     """Some documents as article files under odd names; a third of them seem to be old."""
-    return corpus.as_files(table(spark, sf_dir, "documents").where(where), {
+    return corpus.as_files(table(spark, sf_dir, "documents").where(where).withColumn("text", F.expr(text)), {
         "article_id": corpus.padded("doc_id"), "body": corpus.MARKED_BODY}).withColumn(
         "path", F.expr(corpus.ODD_NAMES)).withColumn("days", F.expr("case when doc_id % 3 = 0 then 30 else 0 end"))
 
@@ -341,28 +342,40 @@ def scan_files(spark, sf_dir):
 def scan_new_files(spark, sf_dir):
     """Documents of one language come first; of those that follow, only the new files are read."""
     folder, fields = shared_folder(spark), ["article_id", "body_text"]
-    corpus.write_files(_document_files(spark, sf_dir, "lang = 'en'"), folder)
+    corpus.write_files(_document_files(spark, sf_dir, "lang <=> 'en'"), folder)
     known = settle(tei.extract_articles(xml_files.scan_xml_files(spark, folder), fields=fields))
-    corpus.write_files(_document_files(spark, sf_dir, "lang <> 'en'"), folder)
+    corpus.write_files(_document_files(spark, sf_dir, "not lang <=> 'en'"), folder)
     new = tei.extract_articles(xml_files.scan_new_xml_files(spark, folder, known), fields=fields)
     return _read_back(known).withColumn("run", F.lit("first")).union(_read_back(new).withColumn("run", F.lit("second")))
 
 
 def ingest_files(spark, sf_dir):
-    """Three runs of the file stream; files of the later runs are partly older than those of the first."""
+    """Three runs of the ingest; files of the later runs are partly older than those of the first."""
     folder = shared_folder(spark)
-    for part in ("lang = 'en'", "lang = 'de'", "lang not in ('en', 'de')"):
+    for part in ("lang <=> 'en'", "lang <=> 'de'", "not (lang <=> 'en' or lang <=> 'de')"):
         corpus.write_files(_document_files(spark, sf_dir, part), f"{folder}/in")
-        ingest.ingest_stream(xml_files.stream_xml_files(spark, f"{folder}/in"), f"{folder}/parsed",
-                             f"{folder}/checkpoint", fields=["article_id", "body_text"])
-    return _read_back(spark.read.parquet(f"{folder}/parsed"))
+        ingest_changes(spark, f"{folder}/in", f"{folder}/parsed", f"{folder}/state", fields=["article_id", "body_text"])
+    return _read_back(read_ingested(spark, f"{folder}/parsed"))
+
+
+def ingest_updates(spark, sf_dir):
+    """Files added, rewritten and removed between two runs: the kept table is a parse of the folder as it is last."""
+    folder, fields = shared_folder(spark), ["article_id", "body_text"]
+    corpus.write_files(_document_files(spark, sf_dir, "doc_id % 3 <> 0"), f"{folder}/in")
+    ingest_changes(spark, f"{folder}/in", f"{folder}/parsed", f"{folder}/state", fields=fields)
+    corpus.write_files(_document_files(spark, sf_dir, "doc_id % 3 = 0"), f"{folder}/in")
+    corpus.write_files(_document_files(spark, sf_dir, "doc_id % 3 <> 0 and doc_id % 5 = 0", "text || ' changed'"),
+                       f"{folder}/in")
+    corpus.remove_files(_document_files(spark, sf_dir, "doc_id % 7 = 0"), f"{folder}/in")
+    ingest_changes(spark, f"{folder}/in", f"{folder}/parsed", f"{folder}/state", fields=fields)
+    return _read_back(read_ingested(spark, f"{folder}/parsed"))
 
 
 def build_articles_append(spark, sf_dir):
     """The whole job from files, built, extended by files that came later, and read again."""
     folder, links = shared_folder(spark), table(spark, sf_dir, "labels").where("false")
     crawled = links.selectExpr("'' as url", "0 as status", "'' as html")
-    for part, mode in (("lang = 'en'", "rebuild"), ("lang <> 'en'", "append"), (None, "reuse")):
+    for part, mode in (("lang <=> 'en'", "rebuild"), ("not lang <=> 'en'", "append"), (None, "reuse")):
         if part:
             corpus.write_files(_document_files(spark, sf_dir, part), f"{folder}/in")
         built = dataset.build_articles(spark, f"{folder}/in", f"{folder}/out", crawled, SITE, mode=mode)
@@ -513,7 +526,8 @@ QUERIES = {
         parse_dates, json_field, latest_by_text, latest_by_date, fix_and_default, fill_dates,
         fill_issue_attrs, fill_issue_gaps, link_join, missing_articles, missing_count, fill_links,
         link_exists, existing_links, union_backfill, resume_append, snapshot_diff, latest_version,
-        csv_round_trip, ingest_stream, scan_files, scan_new_files, ingest_files, build_articles_append, reuse_stage,
+        csv_round_trip, ingest_stream, scan_files, scan_new_files, ingest_files, ingest_updates,
+        build_articles_append, reuse_stage,
         optional_backfill, null_split, counts_by_type, counts_by_lang, top_articles,
         curated_dataset, report_by_type, report_by_language, catalog_issues, catalog_articles,
         catalog_missing, catalog_xml_links, catalog_backfill, article_page_table, page_notes,
