@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, compression_quality, lattice_neighbours, licence_rules, line_runs, mixing, ngram_join, pivot_search, quotes, toxicity
+from articlelake.llm import bpe, compression_quality, host_reputation, lattice_neighbours, licence_rules, line_runs, mixing, ngram_join, pivot_search, quotes, toxicity
 from articlelake.llm.common import held_out, read
 from articlelake.session import settle
 
@@ -69,6 +69,20 @@ def quotation_linking(spark, sf_dir):
     return quotes.chat(read(spark, sf_dir, "conversations")).withColumn("reply_path", F.array_join("reply_path", " "))
 
 
+def page_outcomes(spark, sf_dir):
+    """Labelled page outcomes: the given pages carry none, so a page whose id has a quality label takes it
+    (bad: quality 0; of several labels of an id the lowest counts)."""
+    labels = read(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(
+        F.min("quality").alias("quality"))
+    pages = read(spark, sf_dir, "pages")
+    return pages.join(labels, pages.page_id == labels.doc_id).select("url", (1 - F.col("quality")).alias("bad"))
+
+
+def host_reputation_filter(spark, sf_dir):
+    judged = host_reputation.judge(read(spark, sf_dir, "pages").select("page_id", "url"), page_outcomes(spark, sf_dir))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_raked_mixing": raked_mixing,
@@ -80,10 +94,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pivot_top_k": pivot_top_k,
     "op9_lattice_near_duplicates": lattice_near_duplicates,
     "op10_compression_classifier": compression_classifier,
+    "op11_host_reputation": host_reputation_filter,
 }
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_STRENGTH = """(SELECT CASE WHEN avg(pow(k / n - prior_mean, 2) - prior_mean * (1 - prior_mean) / n) > 0
+    THEN least(greatest(avg(prior_mean * (1 - prior_mean)) / avg(pow(k / n - prior_mean, 2)
+        - prior_mean * (1 - prior_mean) / n) - 1, 1.0), 1000.0) ELSE 1000.0 END FROM {0} WHERE n > 0)"""
+_LAST = "array_to_string(list_slice(string_split(host, '.'), greatest(len(string_split(host, '.')) - {0}, 1), -1), '.')"
+
 # SQL answers, for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op11_host_reputation": f"""
+        WITH hp AS (
+            SELECT page_id, url,
+                   coalesce(translate(regexp_extract(after, '^[^/?#]*', 0), '{_UPPER}', '{_LOWER}'), '') AS host,
+                   coalesce(regexp_extract(after, '^[^/?#]*([^?#]*)', 1), '') AS path
+            FROM (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END
+                  AS after FROM pages)),
+        rules(rule_host, rule_path, rule_verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+            ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        fits AS (
+            SELECT host, path, rule_host || rule_path AS rule, rule_verdict,
+                   row_number() OVER (PARTITION BY host, path ORDER BY length(rule_host || rule_path) DESC,
+                       CASE WHEN rule_verdict = 'block' THEN 0 ELSE 1 END, rule_host || rule_path) AS place
+            FROM (SELECT DISTINCT host, path FROM hp) JOIN rules
+              ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+        lab AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+        counted AS (SELECT host, count(*) AS n, sum(1 - quality) AS k FROM hp JOIN lab ON page_id = doc_id GROUP BY host),
+        hosts AS (
+            SELECT host, coalesce(n, 0) AS n, coalesce(k, 0) AS k, {_LAST.format(2)} AS domain, {_LAST.format(1)} AS suffix
+            FROM (SELECT DISTINCT host FROM hp) FULL JOIN counted USING (host)),
+        domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix),
+        suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix),
+        s0 AS (SELECT s.*, (t.k + 1) / (t.n + 2) AS prior_mean FROM suffixes s,
+               (SELECT sum(k)::DOUBLE AS k, sum(n)::DOUBLE AS n FROM suffixes) t),
+        s1 AS (SELECT s0.*, ({_STRENGTH.format('s0')}) AS strength FROM s0),
+        s2 AS (SELECT suffix, (k + strength * prior_mean) / (n + strength) AS mean FROM s1),
+        d0 AS (SELECT d.*, s2.mean AS prior_mean FROM domains d JOIN s2 USING (suffix)),
+        d1 AS (SELECT d0.*, ({_STRENGTH.format('d0')}) AS strength FROM d0),
+        d2 AS (SELECT domain, (k + strength * prior_mean) / (n + strength) AS mean FROM d1),
+        h0 AS (SELECT h.*, d2.mean AS prior_mean FROM hosts h JOIN d2 USING (domain)),
+        h1 AS (SELECT h0.*, ({_STRENGTH.format('h0')}) AS strength FROM h0),
+        h2 AS (SELECT host, k + strength * prior_mean AS a, n - k + strength * (1 - prior_mean) AS b FROM h1),
+        h3 AS (SELECT host, a / (a + b) - {host_reputation.Z} * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))) AS lower
+               FROM h2)
+        SELECT page_id, host, path, f.rule,
+               coalesce(f.rule_verdict, CASE WHEN lower >= {host_reputation.BLOCK_AT} THEN 'block' ELSE 'allow' END)
+                   AS verdict
+        FROM hp LEFT JOIN h3 USING (host) LEFT JOIN (SELECT * FROM fits WHERE place = 1) f USING (host, path)""",
     "op4_line_run_dedup": """
         WITH lines AS (
             SELECT doc_id, n - 1 AS pos, line,
