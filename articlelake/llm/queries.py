@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, compression_quality, host_reputation, lattice_neighbours, licence_rules, line_runs, mixing, ngram_join, pivot_search, quotes, toxicity
+from articlelake.llm import bpe, collocations, compression_quality, host_reputation, lattice_neighbours, licence_rules, line_runs, mixing, ngram_join, pivot_search, quotes, toxicity
 from articlelake.llm.common import held_out, read
 from articlelake.session import settle
 
@@ -83,6 +83,10 @@ def host_reputation_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def phrase_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_raked_mixing": raked_mixing,
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lattice_near_duplicates": lattice_near_duplicates,
     "op10_compression_classifier": compression_classifier,
     "op11_host_reputation": host_reputation_filter,
+    "op13_phrase_collocations": phrase_collocations,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -105,6 +110,35 @@ _LAST = "array_to_string(list_slice(string_split(host, '.'), greatest(len(string
 
 # SQL answers, for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op13_phrase_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS ws
+            FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                                           '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+        totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY lang),
+        starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS s FROM pieces),
+        grams AS (SELECT lang, m AS size, array_to_string(ws[s:s + m - 1], ' ') AS phrase
+                  FROM starts CROSS JOIN (VALUES (1), (2), (3), (4)) v(m) WHERE s + m - 1 <= len(ws)),
+        counts AS (SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+        cands AS (SELECT lang, phrase, size, f AS a FROM counts WHERE size >= 2),
+        cuts AS (SELECT lang, phrase, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS first,
+                        array_to_string(string_split(phrase, ' ')[k + 1:size], ' ') AS rest
+                 FROM (SELECT *, unnest(range(1, size)) AS k FROM cands)),
+        scored AS (SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, (c.a::HUGEINT * 2000000) // (l.f + r.f) AS score
+                   FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.first
+                   JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest),
+        chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o
+                                  FROM scored) WHERE o = 1),
+        cm AS (SELECT lang, phrase, a, size, unnest(range(2, size)) AS m FROM cands WHERE size >= 3),
+        covers AS (SELECT lang, array_to_string(string_split(phrase, ' ')[s:s + m - 1], ' ') AS phrase, max(a) AS around
+                   FROM (SELECT *, unnest(range(1, size - m + 2)) AS s FROM cm) GROUP BY ALL),
+        kept AS (SELECT c.* FROM chosen c LEFT JOIN covers v ON v.lang = c.lang AND v.phrase = c.phrase
+                 WHERE around IS NULL OR around::HUGEINT * 100 < c.a::HUGEINT * 80),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n,
+               score::BIGINT AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
     "op11_host_reputation": f"""
         WITH hp AS (
             SELECT page_id, url,
