@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import bpe, collocations, compression_quality, host_reputation, lattice_neighbours, licence_rules, line_runs, mixing, ngram_join, pivot_search, quotes, toxicity
+from articlelake.llm import bpe, collocations, compression_quality, hard_negatives, host_reputation, lattice_neighbours, licence_rules, line_runs, mixing, ngram_join, pivot_search, quotes, toxicity
 from articlelake.llm.common import held_out, read
 from articlelake.session import settle
 
@@ -87,6 +87,11 @@ def phrase_collocations(spark, sf_dir):
     return collocations.collocations(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def hard_negative_mining(spark, sf_dir):
+    mined = hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_raked_mixing": raked_mixing,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lattice_near_duplicates": lattice_near_duplicates,
     "op10_compression_classifier": compression_classifier,
     "op11_host_reputation": host_reputation_filter,
+    "op12_hard_negatives": hard_negative_mining,
     "op13_phrase_collocations": phrase_collocations,
 }
 
@@ -110,6 +116,27 @@ _LAST = "array_to_string(list_slice(string_split(host, '.'), greatest(len(string
 
 # SQL answers, for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
+                   [floor(256 * x::DOUBLE)::HUGEINT for x in embedding] AS q
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+                   list_sum([p[1] * p[2] for p in list_zip(a.q, b.q)]) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT * FROM (SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score,
+                row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+                FROM scored WHERE label = anchor_label) WHERE place <= 5),
+        negatives AS (
+            SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+             AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score::BIGINT AS positive_score,
+               negative_score::BIGINT AS negative_score FROM negatives WHERE rank <= 5""",
     "op13_phrase_collocations": f"""
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang,
