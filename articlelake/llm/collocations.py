@@ -33,12 +33,17 @@ TOP = 2000
 
 W = 3  # words in a trigger window; n-grams up to W + 1 words never straddle a chunk
 MODULUS = 16  # chunks are about this many words long
+BROADCAST_ROWS = 2_000_000  # frequent n-grams of a level that are broadcast for its test; beyond, a shuffled join
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``lang, chunk (array of words with empty framing words), freq`` of every distinct chunk of the parse."""
+    """``lang, chunk, freq`` of every distinct chunk of the parse.
+
+    A chunk is its words joined by single blanks, framing words empty; words
+    hold no blank, so splitting at blanks gives the words back.
+    """
     lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, UPPER.lower())
     pieces = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN_LANG)).alias("lang"),
                          F.explode(F.split(lowered, PIECE_MARKS)).alias("piece"))
@@ -49,19 +54,66 @@ def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     triggers = F.expr(f"""concat(array(0),
         filter(sequence({W}, greatest({W}, n)), q -> q <= n and pmod(xxhash64(slice(p, q + 1, {W})), {MODULUS}) = 0),
         array(n + {W}))""")
-    chunks = F.expr(f"transform(sequence(0, size(t) - 2), i -> slice(p, t[i] + 1, t[i + 1] + {W} - t[i]))")
+    chunks = F.expr(f"""transform(sequence(0, size(t) - 2),
+        i -> array_join(slice(p, t[i] + 1, t[i + 1] + {W} - t[i]), ' '))""")
     parsed = framed.withColumn("t", triggers).select("lang", F.explode(chunks).alias("chunk"))
     return parsed.groupBy("lang", "chunk").agg(F.count("*").alias("freq"))
 
 
+def _grams(dictionary: DataFrame, m: int) -> DataFrame:
+    """``lang, freq, gram`` for each occurrence of an ``m``-word n-gram in each distinct chunk.
+
+    An occurrence belongs to the chunk where it starts before the last ``W``
+    words (the overlap with the next chunk), so each is counted once.
+    """
+    grams = F.expr(f"""filter(transform(sequence(0, size(c) - {W} - 1), s -> slice(c, s + 1, {m})),
+        g -> size(g) = {m} and not array_contains(g, ''))""")
+    return dictionary.select("lang", "freq", F.split("chunk", " ").alias("c")).select(
+        "lang", "freq", F.explode(grams).alias("gram"))
+
+
+def _semi(rows: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
+    """Rows with a partner in ``known``; ``known`` is broadcast only when its rows are counted few enough."""
+    small = known.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(known) if small else known, on, "left_semi")
+
+
+def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """``lang, phrase, size, f`` of every n-gram of 1 to ``LONGEST`` words counted ``min_count`` times or more.
+
+    Level by level: an n-gram of m words is counted only where both its
+    (m - 1)-word parts are frequent, since it is never more frequent than they
+    are; the test is a semi join before the shuffle.
+    """
+    words = _grams(dictionary, 1).select("lang", "freq", F.col("gram")[0].alias("phrase"))
+    level = settle(words.groupBy("lang", "phrase").agg(F.sum("freq").alias("f"))
+                   .where(F.col("f") >= min_count).withColumn("size", F.lit(1)))
+    found = [level]
+    for m in range(2, LONGEST + 1):
+        grams = _grams(dictionary, m).select(
+            "lang", "freq", F.array_join("gram", " ").alias("phrase"),
+            F.array_join(F.slice("gram", 1, m - 1), " ").alias("head"),
+            F.array_join(F.slice("gram", 2, m - 1), " ").alias("tail"))
+        before = level.select("lang", "phrase")
+        grams = _semi(grams, before.withColumnRenamed("phrase", "head"), ["lang", "head"])
+        grams = _semi(grams, before.withColumnRenamed("phrase", "tail"), ["lang", "tail"])
+        level = settle(grams.groupBy("lang", "phrase").agg(F.sum("freq").alias("f"))
+                       .where(F.col("f") >= min_count).withColumn("size", F.lit(m)))
+        found.append(level)
+    union = found[0]
+    for part in found[1:]:
+        union = union.unionByName(part)
+    return union.select("lang", "phrase", "size", "f")
+
+
 def ngram_counts(dictionary: DataFrame) -> DataFrame:
-    """``lang, phrase, size, f`` of every n-gram of 1 to ``LONGEST`` words, from the chunk dictionary."""
-    grams = F.expr(f"""filter(flatten(transform(sequence(0, size(chunk) - {W} - 1),
-        s -> transform(filter(sequence(1, {LONGEST}), m -> s + m <= size(chunk)), m -> slice(chunk, s + 1, m)))),
-        g -> not array_contains(g, ''))""")
-    exploded = dictionary.select("lang", "freq", F.explode(grams).alias("gram"))
-    return exploded.groupBy("lang", F.array_join("gram", " ").alias("phrase"), F.size("gram").alias("size")) \
-        .agg(F.sum("freq").alias("f"))
+    """``lang, phrase, size, f`` of every n-gram of 1 to ``LONGEST`` words (all of them: for tests)."""
+    parts = [_grams(dictionary, m).select("lang", "freq", F.array_join("gram", " ").alias("phrase"), F.lit(m).alias("size"))
+             for m in range(1, LONGEST + 1)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union.groupBy("lang", "phrase", "size").agg(F.sum("freq").alias("f"))
 
 
 def _words_of(phrase: str = "phrase"):
@@ -82,9 +134,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     """
     dictionary = settle(chunk_dictionary(docs, text, lang))
     # word occurrences: words at the start positions of each chunk, weighted
-    starts = F.expr(f"size(filter(slice(chunk, 1, size(chunk) - {W}), w -> w <> ''))")
+    starts = F.expr(f"size(filter(slice(split(chunk, ' '), 1, size(split(chunk, ' ')) - {W}), w -> w <> ''))")
     totals = dictionary.groupBy("lang").agg(F.sum(starts * F.col("freq")).alias("n"))
-    counts = settle(ngram_counts(dictionary).where(F.col("f") >= MIN_COUNT))  # parts of candidates are as frequent
+    counts = frequent_ngrams(dictionary)  # the parts of a candidate are at least as frequent as it is
     candidates = counts.where(F.col("size") >= 2).select("lang", "phrase", "size", F.col("f").alias("a"))
 
     parts = counts.select("lang", F.col("phrase").alias("part"), F.col("f").alias("count"))
