@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from articlelake.session import settle
+
 # Fixed values of the contract: rules as (host, path, verdict).
 RULES = (
     ("org", "/", "allow"),
@@ -81,13 +83,13 @@ def _strength(groups: DataFrame) -> Column:
 
 
 def _level(groups: DataFrame, key: str) -> DataFrame:
-    """Posterior ``a, b, mean`` of each group ``key, n, k, prior_mean``."""
+    """Posterior ``a, b, mean`` of each group ``key, n, k, prior_mean``; the level's strength is one number."""
     labelled = groups.where("n > 0")
-    strength = labelled.agg(_strength(labelled).alias("strength"))
-    return groups.join(F.broadcast(strength), how="left").select(
+    strength = F.lit(labelled.agg(_strength(labelled)).first()[0])
+    return groups.select(
         key, "n", "k", "prior_mean",
-        (F.col("k") + F.col("strength") * F.col("prior_mean")).alias("a"),
-        (F.col("n") - F.col("k") + F.col("strength") * (1 - F.col("prior_mean"))).alias("b"),
+        (F.col("k") + strength * F.col("prior_mean")).alias("a"),
+        (F.col("n") - F.col("k") + strength * (1 - F.col("prior_mean"))).alias("b"),
     ).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
 
 
@@ -96,14 +98,15 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     (``_host, bad``), one row per labelled page."""
     counted = outcomes.where(F.col("bad").isin(0, 1)).groupBy("_host").agg(
         F.count("*").alias("n"), F.sum("bad").alias("k"))
-    hosts = pages.groupBy("_host").agg(F.count("*").alias("hosted_pages")).join(counted, "_host", "full_outer").select(
-        "_host", F.coalesce("hosted_pages", F.lit(0)).alias("hosted_pages"),
-        F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"),
-        F.substring_index("_host", ".", -2).alias("_domain"), F.substring_index("_host", ".", -1).alias("_suffix"))
+    hosts = settle(pages.groupBy("_host").agg(F.count("*").alias("hosted_pages")).join(counted, "_host", "full_outer")
+                   .select("_host", F.coalesce("hosted_pages", F.lit(0)).alias("hosted_pages"),
+                           F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"),
+                           F.substring_index("_host", ".", -2).alias("_domain"),
+                           F.substring_index("_host", ".", -1).alias("_suffix")))  # one row a host, read thrice
     domains = hosts.groupBy("_domain", "_suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("_suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    total = suffixes.agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("prior_mean"))
-    by_suffix = _level(suffixes.join(F.broadcast(total), how="left"), "_suffix")
+    total = suffixes.agg((F.coalesce(F.sum("k"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).first()[0]
+    by_suffix = _level(suffixes.withColumn("prior_mean", F.lit(float(total))), "_suffix")
     by_domain = _level(
         domains.join(by_suffix.select("_suffix", F.col("mean").alias("prior_mean")), "_suffix"), "_domain")
     by_host = _level(
