@@ -6,6 +6,7 @@ product.  Candidates are evaluated in the order of that bound, until it falls be
 """
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,13 @@ def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
 
     Vectors that are null, empty or hold null or non-finite components, and
     rows without id, take no part.  Rows that repeat both id and vector count once.
+    A component whose whole number lies beyond a long (``|scale x| >= 2 ** 63``)
+    cannot be held: its vector takes no part either.
     """
     wide = F.col("embedding").cast("array<double>")
     known = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), wide.alias("x")).where(
-        "vec_id is not null and x is not null and size(x) > 0 and forall(x, v -> v is not null and v - v = 0)")
+        "vec_id is not null and x is not null and size(x) > 0 and forall(x, v -> v is not null and v - v = 0"
+        f" and abs(v * {float(scale)}) < {float(2 ** 63)})")
     return known.select("vec_id", F.transform("x", lambda v: F.floor(v * F.lit(float(scale))).cast("long")).alias("q")).distinct()
 
 
@@ -77,11 +81,25 @@ def with_distances(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.select("vec_id", "q").mapInArrow(run, "vec_id long, size int, q binary, far binary")
 
 
+def exact_products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of int64 rows with an int64 query as whole numbers: int64 where no sum can overflow,
+    else Python integers."""
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    largest = float(np.abs(rows).max()) * float(np.abs(query).max()) * rows.shape[1]
+    if largest < 2 ** 62:
+        return rows @ query
+    return np.array([sum(int(a) * int(b) for a, b in zip(row, query)) for row in rows], dtype=object)
+
+
 def search_block(query_ids, queries, query_far, ids, vectors, far, k: int) -> list[tuple[int, int, int]]:
-    """``(query, candidate, score)``: the best ``k`` of these candidates for each query, ties to smaller ids."""
+    """``(query, candidate, score)``: the best ``k`` of these candidates for each query, ties to smaller ids.
+
+    Bounds are floating point with a margin for rounding; scores are exact whole numbers.
+    """
     order = np.argsort(ids, kind="stable")
     ids, vectors, far = ids[order], vectors[order], far[order]
-    exact = vectors.astype(np.float64)  # whole numbers below 2 ** 53 / size: products stay exact
+    exact = vectors.astype(np.float64)
     lengths, query_lengths = (exact ** 2).sum(1), (queries.astype(np.float64) ** 2).sum(1)
     made = []
     for at, query in enumerate(queries):
@@ -92,22 +110,28 @@ def search_block(query_ids, queries, query_far, ids, vectors, far, k: int) -> li
         bound += 1e-9 * (lengths + query_lengths[at]) + 1e-6  # what rounding may have taken
         bound[ids == query_ids[at]] = -np.inf
         ahead = np.argsort(-bound, kind="stable")
-        scores, found = np.zeros(0), np.zeros(0, np.int64)
+        scores, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for start in range(0, len(ahead), STEP):
             rows = ahead[start:start + STEP]
-            if len(scores) >= k and bound[rows[0]] < scores[k - 1]:
+            if len(scores) >= k and bound[rows[0]] < float(scores[k - 1]):
                 break
             rows = rows[bound[rows] > -np.inf]
-            scores = np.concatenate([scores, exact[rows] @ query.astype(np.float64)])
+            made_here = exact_products(vectors[rows], query)
+            scores = np.concatenate([scores.astype(object) if made_here.dtype == object else scores,
+                                     made_here.astype(object) if scores.dtype == object else made_here])
             found = np.concatenate([found, ids[rows]])
-            best = np.lexsort((found, -scores))[:k]
+            best = sorted(range(len(found)), key=lambda i: (-scores[i], found[i]))[:k] \
+                if scores.dtype == object else np.lexsort((found, -scores))[:k]
             scores, found = scores[best], found[best]
         made += [(int(query_ids[at]), int(i), int(s)) for i, s in zip(found, scores, strict=True)]
     return made
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` rows of ``vectors`` with the highest inner products.
+    """``query_id, rank, vec_id, score, score_exact``: the ``k`` rows of ``vectors`` with the highest inner products.
+
+    Scores are exact whole numbers: ``score`` where it fits a long, else null;
+    ``score_exact`` always (a decimal, held within 38 digits).
 
     Both tables hold ``vec_id, q`` (see ``whole_numbers``).  A query's own id is
     no candidate; ties go to the smaller id; with fewer candidates all are
@@ -136,12 +160,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
                     [np.frombuffer(value.as_py()) for value in table["far"]])))
             made = search_block(*parts[0], *parts[1], k)
         columns = list(zip(*made, strict=True)) if made else [[], [], []]
-        return pa.table({name: pa.array(column, pa.int64()) for name, column in zip(
-            ("query_id", "vec_id", "score"), columns, strict=True)})
+        # scores travel as exact decimals, within 38 digits
+        edge = 10 ** 38 - 1
+        exact = [Decimal(max(-edge, min(edge, s))) for s in columns[2]]
+        return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()),
+                         "score": pa.array(exact, pa.decimal128(38, 0))})
 
     keys = ["i", "j", "size"]
-    best = ask.groupBy(*keys).cogroup(hold.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score long")
-    # a rank limit, which Spark also applies before the shuffle
+    best = ask.groupBy(*keys).cogroup(hold.groupBy(*keys)).applyInArrow(
+        meet, "query_id long, vec_id long, score decimal(38,0)")
+    # a rank limit, which Spark also applies before the shuffle; the order is by the exact score
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    in_long = F.col("score").between(F.lit(-(2 ** 63)).cast("decimal(38,0)"), F.lit(2 ** 63 - 1).cast("decimal(38,0)"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+        "query_id", "rank", "vec_id", F.when(in_long, F.col("score").cast("long")).alias("score"),
+        F.col("score").alias("score_exact"))

@@ -46,7 +46,8 @@ def lattice_near_duplicates(spark, sf_dir):
 
 def pivot_top_k(spark, sf_dir):
     vectors = settle(pivot_search.whole_numbers(read(spark, sf_dir, "embeddings")))
-    return pivot_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+    found = pivot_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def line_run_dedup(spark, sf_dir):

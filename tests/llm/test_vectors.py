@@ -18,7 +18,8 @@ def vectors(seed=5):
     rows += [(500 + i, (np.array(base) * (1 + i) + 0.01 * rng.standard_normal(16)).tolist()) for i in range(40)]  # a hot group
     rows += [(600, base), (601, base), (602, base), (603, [0.0] * 16), (604, None), (605, []), (606, [float("nan")] + [1.0] * 15),
              (607, [float("inf")] + [1.0] * 15), (608, [None] + [1.0] * 15), (609, [1.0, 2.0]), (610, [1.0, 2.0]),
-             (None, base), (611, [1e-30] * 16), (612, [1e30] * 16)]
+             (None, base), (611, [1e-30] * 16), (612, [1e30] * 16), (650, [1e6] * 16), (651, [3e14] * 16),
+             (652, [-1e6] * 15 + [1.0])]
     return rows
 
 
@@ -85,12 +86,14 @@ def test_nearest_lattice_point():
 
 def best(rows, k):
     whole = sorted({(i, tuple(math.floor(256 * np.float64(np.float32(x))) for x in v)) for i, v in rows
-                    if i is not None and v and None not in v and np.isfinite(np.array(v, np.float32)).all()})
+                    if i is not None and v and None not in v and np.isfinite(np.array(v, np.float32)).all()
+                    and (np.abs(np.array(v, np.float32).astype(np.float64)) * 256 < 2.0 ** 63).all()})
     out = []
     for i, q in whole:
         if i % 50 == 0:
             scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in whole if j != i and len(v) == len(q))
-            out += [(i, rank + 1, j, -score) for rank, (score, j) in enumerate(scored[:k])]
+            out += [(i, rank + 1, j, -score if -2 ** 63 <= -score < 2 ** 63 else None, -score)
+                    for rank, (score, j) in enumerate(scored[:k])]
     return out
 
 
@@ -99,11 +102,12 @@ def test_top_k_is_exact(spark, monkeypatch, step, block):
     monkeypatch.setattr(pivot_search, "STEP", step)
     monkeypatch.setattr(pivot_search, "CANDIDATE_BLOCK", block)
     monkeypatch.setattr(pivot_search, "QUERY_BLOCK", 3)
-    rows = [row for row in vectors() if row[0] not in (611, 612)] + [(700 + i, vectors()[50][1]) for i in range(8)]  # ties
+    rows = vectors() + [(700 + i, vectors()[50][1]) for i in range(8)]  # ties
     given = pivot_search.whole_numbers(frame(spark, rows))
     for k in (5, 1000):
         found = pivot_search.top_k(given, given.where("vec_id % 50 = 0"), k)
-        assert sorted(map(tuple, found.collect())) == sorted(best(rows, k))
+        got = sorted((r.query_id, r.rank, r.vec_id, r.score, int(r.score_exact)) for r in found.collect())
+        assert got == sorted(best(rows, k), key=lambda row: row[:3])
 
 
 def test_top_k_of_no_rows(spark):
