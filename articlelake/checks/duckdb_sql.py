@@ -220,6 +220,7 @@ ORACLES = {
     "ingest_stream": f"""select {FILE} as file_name, printf('%06d', doc_id) as article_id, text as body_text,
         'ok' as status from documents""",
     "reuse_stage": "select * from documents",
+    "stage_fingerprint": "select doc_id, lang from documents where lang = 'de'",
     "optional_backfill": f"""select {FILE} as file_name, source as article_type, null::varchar as date_processed,
         null::integer as n_authors from documents
         union all select 'backfill/' || printf('%06d', doc_id) || '.xml', 'backfill',

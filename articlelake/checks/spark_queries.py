@@ -393,6 +393,18 @@ def reuse_stage(spark, sf_dir):
     return tables.stage(spark, folder, _must_not_run)
 
 
+def stage_fingerprint(spark, sf_dir):
+    """A stage is reused while its input and parameters are the same, and built again when a parameter changes."""
+    folder, given = shared_folder(spark), f"{sf_dir}/documents.parquet"
+
+    def build(lang):
+        return lambda: table(spark, sf_dir, "documents").where(F.col("lang") == lang).select("doc_id", "lang")
+
+    tables.stage(spark, folder, build("en"), inputs=[given], params={"lang": "en"})
+    tables.stage(spark, folder, _must_not_run, inputs=[given], params={"lang": "en"})
+    return tables.stage(spark, folder, build("de"), inputs=[given], params={"lang": "de"})
+
+
 def optional_backfill(spark, sf_dir):
     """One backfill table exists; an empty one of its type takes the place of another."""
     documents = table(spark, sf_dir, "documents").selectExpr(
@@ -527,7 +539,7 @@ QUERIES = {
         fill_issue_attrs, fill_issue_gaps, link_join, missing_articles, missing_count, fill_links,
         link_exists, existing_links, union_backfill, resume_append, snapshot_diff, latest_version,
         csv_round_trip, ingest_stream, scan_files, scan_new_files, ingest_files, ingest_updates,
-        build_articles_append, reuse_stage,
+        build_articles_append, reuse_stage, stage_fingerprint,
         optional_backfill, null_split, counts_by_type, counts_by_lang, top_articles,
         curated_dataset, report_by_type, report_by_language, catalog_issues, catalog_articles,
         catalog_missing, catalog_xml_links, catalog_backfill, article_page_table, page_notes,

@@ -1,6 +1,8 @@
 """Stored tables: typed reads, CSV exchange, optional inputs and reusable stages."""
 
-from collections.abc import Callable
+import hashlib
+import json
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +69,44 @@ def stage_is_finished(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def input_fingerprint(spark: SparkSession, inputs: Sequence[str], params: Mapping[str, object]) -> str:
+    """A digest of the files under ``inputs`` (path, length, time) and of ``params``.
+
+    The files are listed and hashed on the executors, without being opened; one
+    row of count and hash sum per input comes to the driver.
+    """
+    parts = [json.dumps(sorted((str(k), repr(v)) for k, v in params.items()))]
+    for place in inputs:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place)
+                 .select("path", "length", "modificationTime"))
+        count, total = files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime")
+                                                     .cast("decimal(38,0)"))).first()
+        parts.append(f"{place}={count}:{total}")
+    return hashlib.sha256("|".join(parts).encode()).hexdigest()[:32]
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True).close()
+
+
 def stage(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False,
+    inputs: Sequence[str] = (), params: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """The stored result at ``path``; built and written when absent, unfinished or asked for."""
-    if not rebuild and stage_is_finished(spark, path):
+    """The stored result at ``path``; built and written when absent, unfinished, stale or asked for.
+
+    With ``inputs`` (paths of files or folders the build reads) or ``params``,
+    the stage keeps a fingerprint of both beside its files; a stage whose
+    fingerprint differs from the present one is stale and built again.  The
+    fingerprint is written after the table, so a build cut short is built again.
+    """
+    mark = None
+    if inputs or params:
+        mark = f"{path.rstrip('/')}/_FINGERPRINT_{input_fingerprint(spark, inputs, params or {})}"
+    if not rebuild and stage_is_finished(spark, path) and (mark is None or path_exists(spark, mark)):
         return spark.read.parquet(path)
-    return settle(build(), path)
+    built = settle(build(), path)
+    if mark:
+        _touch(spark, mark)
+    return built

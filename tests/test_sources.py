@@ -264,3 +264,23 @@ def test_link_exists(spark):
         "a": True, "b": False, "c": False, "d": True, "e": False}
     assert rows(crawl.reachable_urls(pages)) == [("a",), ("d",)]
     assert rows(crawl.fetched(pages).select("url")) == [("a",), ("c",), ("d",)]
+
+
+def test_stage_knows_its_input_and_parameters(spark, tmp_path):
+    given, path, built = str(tmp_path / "given"), str(tmp_path / "stage"), []
+    spark.range(5).write.parquet(given)
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(given)
+
+    assert tables.stage(spark, path, build, inputs=[given], params={"n": 1}).count() == 5
+    assert tables.stage(spark, path, build, inputs=[given], params={"n": 1}).count() == 5
+    assert len(built) == 1  # same input, same parameters: reused
+    tables.stage(spark, path, build, inputs=[given], params={"n": 2})
+    assert len(built) == 2  # another parameter
+    spark.range(5, 8).write.mode("append").parquet(given)
+    assert tables.stage(spark, path, build, inputs=[given], params={"n": 2}).count() == 8
+    assert len(built) == 3  # another input
+    tables.stage(spark, path, build, inputs=[given], params={"n": 2})
+    assert len(built) == 3
