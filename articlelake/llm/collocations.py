@@ -1,8 +1,8 @@
 """Phrase collocation mining by prefix-free parsing.
 
 Texts are lower-cased (A-Z only), cut into pieces at sentence marks and line
-ends, and pieces into words at blanks and tabs.  Each piece, framed by ``W``
-empty words at both ends, is parsed into chunks: a window of ``W`` words whose
+ends, and pieces into words at blanks and tabs, in one Arrow pass over the
+documents.  Each piece, framed by ``W`` empty words at both ends, is parsed into chunks: a window of ``W`` words whose
 hash is 0 modulo ``MODULUS`` triggers a cut, and each chunk runs from one
 trigger window to the end of the next, so neighbours overlap by ``W`` words.
 Equal content gives equal chunks wherever it stands, so a passage shared by
@@ -10,15 +10,21 @@ many documents becomes one dictionary entry with its parse frequency.
 
 N-grams of up to ``W + 1`` words are counted inside the distinct chunks and
 weighted by their frequency; an occurrence belongs to the chunk where it
-starts before the trailing overlap, so each is counted once.  Everything runs
-as built-in expressions, aggregates that combine before their shuffle, and
-joins on phrase keys.
+starts before the trailing overlap, so each is counted once.  Counting is
+built-in: n-grams are matched in the chunk text by a compiled pattern, counted
+by aggregates that combine before their shuffle, level by level.
 """
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from articlelake.llm.common import bound_batches
 from articlelake.session import settle
 
 # Fixed values of the contract
@@ -33,43 +39,61 @@ TOP = 2000
 
 W = 3  # words in a trigger window; n-grams up to W + 1 words never straddle a chunk
 MODULUS = 16  # chunks are about this many words long
-BROADCAST_ROWS = 2_000_000  # frequent n-grams of a level that are broadcast for its test; beyond, a shuffled join
+BROADCAST_ROWS = 500_000  # frequent n-grams of a level that are broadcast for its test; beyond, a shuffled join
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of each piece as ``lang, chunk``: the words where occurrences start, joined by blanks, a tab,
+    then the words of the overlap joined by tabs (framing words left out)."""
+    marks, blanks = re.compile(PIECE_MARKS), re.compile(BLANKS)
+    lower = str.maketrans(UPPER, UPPER.lower())
+    for batch in batches:
+        langs, chunks = [], []
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            lang = UNKNOWN_LANG if lang is None else lang
+            for piece in marks.split((text or "").translate(lower)):
+                words = [w for w in blanks.split(piece) if w]
+                if not words:
+                    continue
+                framed = [""] * W + words + [""] * W
+                cuts = [0] + [q for q in range(W, len(words) + 1)
+                              if xxhash.xxh64_intdigest("\x00".join(framed[q:q + W])) % MODULUS == 0]
+                cuts.append(len(words) + W)
+                for start, stop in zip(cuts, cuts[1:]):
+                    body = [w for w in framed[start:stop] if w]
+                    if body:
+                        langs.append(lang)
+                        chunks.append(" ".join(body) + "\t" + "\t".join(w for w in framed[stop:stop + W] if w))
+        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(chunks, pa.string())],
+                                         names=["lang", "chunk"])
+
+
 def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``lang, chunk, freq`` of every distinct chunk of the parse.
 
-    A chunk is its words joined by single blanks, framing words empty; words
-    hold no blank, so splitting at blanks gives the words back.
+    A chunk is text: the words at which its occurrences start, joined by
+    blanks, then a tab and the words it shares with the next chunk, joined by
+    tabs.  Words hold neither blank nor tab.  Chunks of equal text count
+    alike, so they are one entry.
     """
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, UPPER.lower())
-    pieces = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN_LANG)).alias("lang"),
-                         F.explode(F.split(lowered, PIECE_MARKS)).alias("piece"))
-    words = pieces.select("lang", F.filter(F.split("piece", BLANKS), lambda w: w != "").alias("words")) \
-        .where(F.size("words") > 0)
-    frame = F.array_repeat(F.lit(""), W)
-    framed = words.select("lang", F.concat(frame, "words", frame).alias("p"), F.size("words").alias("n"))
-    triggers = F.expr(f"""concat(array(0),
-        filter(sequence({W}, greatest({W}, n)), q -> q <= n and pmod(xxhash64(slice(p, q + 1, {W})), {MODULUS}) = 0),
-        array(n + {W}))""")
-    chunks = F.expr(f"""transform(sequence(0, size(t) - 2),
-        i -> array_join(slice(p, t[i] + 1, t[i + 1] + {W} - t[i]), ' '))""")
-    parsed = framed.withColumn("t", triggers).select("lang", F.explode(chunks).alias("chunk"))
+    bound_batches(docs.sparkSession)
+    source = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    parsed = source.mapInArrow(_parse, "lang string, chunk string")
     return parsed.groupBy("lang", "chunk").agg(F.count("*").alias("freq"))
 
 
 def _grams(dictionary: DataFrame, m: int) -> DataFrame:
     """``lang, freq, gram`` for each occurrence of an ``m``-word n-gram in each distinct chunk.
 
-    An occurrence belongs to the chunk where it starts before the last ``W``
-    words (the overlap with the next chunk), so each is counted once.
+    A match starts at a word that follows the start or a blank, never a tab, so
+    no occurrence that starts in the overlap is counted here: each is counted once.
     """
-    grams = F.expr(f"""filter(transform(sequence(0, size(c) - {W} - 1), s -> slice(c, s + 1, {m})),
-        g -> size(g) = {m} and not array_contains(g, ''))""")
-    return dictionary.select("lang", "freq", F.split("chunk", " ").alias("c")).select(
-        "lang", "freq", F.explode(grams).alias("gram"))
+    pattern = "(?<![^ ])(?=([^ \\t]+(?:[ \\t][^ \\t]+){%d}))" % (m - 1)
+    found = F.regexp_extract_all("chunk", F.lit(pattern), 1)
+    exploded = dictionary.select("lang", "freq", F.explode(found).alias("gram"))
+    return exploded.select("lang", "freq", F.translate("gram", "\t", " ").alias("gram"))
 
 
 def _semi(rows: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
@@ -85,15 +109,14 @@ def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFr
     (m - 1)-word parts are frequent, since it is never more frequent than they
     are; the test is a semi join before the shuffle.
     """
-    words = _grams(dictionary, 1).select("lang", "freq", F.col("gram")[0].alias("phrase"))
+    words = _grams(dictionary, 1).select("lang", "freq", F.col("gram").alias("phrase"))
     level = settle(words.groupBy("lang", "phrase").agg(F.sum("freq").alias("f"))
                    .where(F.col("f") >= min_count).withColumn("size", F.lit(1)))
     found = [level]
     for m in range(2, LONGEST + 1):
         grams = _grams(dictionary, m).select(
-            "lang", "freq", F.array_join("gram", " ").alias("phrase"),
-            F.array_join(F.slice("gram", 1, m - 1), " ").alias("head"),
-            F.array_join(F.slice("gram", 2, m - 1), " ").alias("tail"))
+            "lang", "freq", F.col("gram").alias("phrase"),
+            F.substring_index("gram", " ", m - 1).alias("head"), F.substring_index("gram", " ", 1 - m).alias("tail"))
         before = level.select("lang", "phrase")
         grams = _semi(grams, before.withColumnRenamed("phrase", "head"), ["lang", "head"])
         grams = _semi(grams, before.withColumnRenamed("phrase", "tail"), ["lang", "tail"])
@@ -108,7 +131,7 @@ def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFr
 
 def ngram_counts(dictionary: DataFrame) -> DataFrame:
     """``lang, phrase, size, f`` of every n-gram of 1 to ``LONGEST`` words (all of them: for tests)."""
-    parts = [_grams(dictionary, m).select("lang", "freq", F.array_join("gram", " ").alias("phrase"), F.lit(m).alias("size"))
+    parts = [_grams(dictionary, m).select("lang", "freq", F.col("gram").alias("phrase"), F.lit(m).alias("size"))
              for m in range(1, LONGEST + 1)]
     union = parts[0]
     for part in parts[1:]:
@@ -134,7 +157,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     """
     dictionary = settle(chunk_dictionary(docs, text, lang))
     # word occurrences: words at the start positions of each chunk, weighted
-    starts = F.expr(f"size(filter(slice(split(chunk, ' '), 1, size(split(chunk, ' ')) - {W}), w -> w <> ''))")
+    starts = F.size(F.split(F.substring_index("chunk", "\t", 1), " "))  # a chunk has one word at least
     totals = dictionary.groupBy("lang").agg(F.sum(starts * F.col("freq")).alias("n"))
     counts = frequent_ngrams(dictionary)  # the parts of a candidate are at least as frequent as it is
     candidates = counts.where(F.col("size") >= 2).select("lang", "phrase", "size", F.col("f").alias("a"))
