@@ -39,7 +39,7 @@ TOP = 2000
 
 W = 3  # words in a trigger window; n-grams up to W + 1 words never straddle a chunk
 MODULUS = 16  # chunks are about this many words long
-BROADCAST_ROWS = 500_000  # frequent n-grams of a level that are broadcast for its test; beyond, a shuffled join
+BROADCAST_ROWS = 500_000  # frequent n-grams of a level sent to the tasks for its test; beyond, a shuffled join
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -96,10 +96,40 @@ def _grams(dictionary: DataFrame, m: int) -> DataFrame:
     return exploded.select("lang", "freq", F.translate("gram", "\t", " ").alias("gram"))
 
 
-def _semi(rows: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
-    """Rows with a partner in ``known``; ``known`` is broadcast only when its rows are counted few enough."""
-    small = known.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(known) if small else known, on, "left_semi")
+def _counted(rows: DataFrame, min_count: int, m: int) -> DataFrame:
+    return settle(rows.groupBy("lang", "phrase").agg(F.sum("freq").alias("f"))
+                  .where(F.col("f") >= min_count).withColumn("size", F.lit(m)))
+
+
+def _python_level(dictionary: DataFrame, m: int, known) -> DataFrame:
+    """``lang, phrase, freq`` partial counts of ``m``-word n-grams whose (m - 1)-word parts are in ``known``
+    (a broadcast of language to set), summed within each Arrow batch."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = known.value if known is not None else None
+        for batch in batches:
+            counts: dict[tuple[str, str], int] = {}
+            columns = (batch.column(name).to_pylist() for name in ("lang", "chunk", "freq"))
+            for lang, chunk, freq in zip(*columns, strict=True):
+                body, _, tail = chunk.partition("\t")
+                words = body.split(" ")
+                starts = len(words)
+                if tail:
+                    words += tail.split("\t")
+                allowed = parts.get(lang) if parts is not None else None
+                if parts is not None and not allowed:
+                    continue
+                for at in range(min(starts, len(words) - m + 1)):
+                    if allowed is not None:
+                        head = " ".join(words[at:at + m - 1])
+                        if head not in allowed or " ".join(words[at + 1:at + m]) not in allowed:
+                            continue
+                    key = (lang, " ".join(words[at:at + m]))
+                    counts[key] = counts.get(key, 0) + freq
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
+                 pa.array(list(counts.values()), pa.int64())], names=["lang", "phrase", "freq"])
+
+    return dictionary.mapInArrow(emit, "lang string, phrase string, freq long")
 
 
 def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -107,21 +137,30 @@ def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFr
 
     Level by level: an n-gram of m words is counted only where both its
     (m - 1)-word parts are frequent, since it is never more frequent than they
-    are; the test is a semi join before the shuffle.
+    are.  While a level has at most ``BROADCAST_ROWS`` frequent n-grams
+    (counted), they go to every task as a set and the test is made where the
+    chunks are, with counts summed within each batch before the shuffle;
+    beyond that bound the test is a shuffled semi join on phrase keys.
     """
-    words = _grams(dictionary, 1).select("lang", "freq", F.col("gram").alias("phrase"))
-    level = settle(words.groupBy("lang", "phrase").agg(F.sum("freq").alias("f"))
-                   .where(F.col("f") >= min_count).withColumn("size", F.lit(1)))
+    spark = dictionary.sparkSession
+    bound_batches(spark)
+    level = _counted(_python_level(dictionary, 1, None), min_count, 1)
     found = [level]
     for m in range(2, LONGEST + 1):
-        grams = _grams(dictionary, m).select(
-            "lang", "freq", F.col("gram").alias("phrase"),
-            F.substring_index("gram", " ", m - 1).alias("head"), F.substring_index("gram", " ", 1 - m).alias("tail"))
         before = level.select("lang", "phrase")
-        grams = _semi(grams, before.withColumnRenamed("phrase", "head"), ["lang", "head"])
-        grams = _semi(grams, before.withColumnRenamed("phrase", "tail"), ["lang", "tail"])
-        level = settle(grams.groupBy("lang", "phrase").agg(F.sum("freq").alias("f"))
-                       .where(F.col("f") >= min_count).withColumn("size", F.lit(m)))
+        if before.count() <= BROADCAST_ROWS:
+            sets: dict[str, set[str]] = {}
+            for row in before.collect():  # bounded by the count above
+                sets.setdefault(row.lang, set()).add(row.phrase)
+            shared = spark.sparkContext.broadcast(sets)
+            level = _counted(_python_level(dictionary, m, shared), min_count, m)
+        else:
+            grams = _grams(dictionary, m).select(
+                "lang", "freq", F.col("gram").alias("phrase"),
+                F.substring_index("gram", " ", m - 1).alias("head"), F.substring_index("gram", " ", 1 - m).alias("tail"))
+            grams = grams.join(before.withColumnRenamed("phrase", "head"), ["lang", "head"], "left_semi")
+            grams = grams.join(before.withColumnRenamed("phrase", "tail"), ["lang", "tail"], "left_semi")
+            level = _counted(grams, min_count, m)
         found.append(level)
     union = found[0]
     for part in found[1:]:

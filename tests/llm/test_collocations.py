@@ -88,3 +88,10 @@ def test_parse_counts_each_occurrence_once(spark):
 
 def test_empty_table(spark):
     assert co.collocations(spark.createDataFrame([], "text string, lang string")).count() == 0
+
+
+def test_shuffled_join_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = corpus(7)
+    monkeypatch.setattr(co, "BROADCAST_ROWS", 0)
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(tuple(r) for r in co.collocations(df).collect()) == brute(rows)
