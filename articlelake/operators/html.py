@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from articlelake import fixed_values as fixed
 from articlelake.functions.html_fields import Pick, read_page
 from articlelake.functions.text import absolute_url, article_key, join_texts, xml_key
-from articlelake.session import bound_batches
+from articlelake.session import DOCUMENT_BATCH, bound_batches
 
 # --- Fixed values: where the journal's pages hold their parts -----------------
 NAV_LINKS = Pick(("div#leftsidenav", "a"), "rows", many=True,
@@ -67,7 +67,7 @@ def extract_html(
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
 
-    bound_batches(source.sparkSession)
+    bound_batches(source.sparkSession, DOCUMENT_BATCH)
     return source.mapInArrow(parse, result)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from articlelake.functions.tei_fields import OK, read_tei
 from articlelake.schemas import ARTICLE_FIELDS
-from articlelake.session import bound_batches
+from articlelake.session import DOCUMENT_BATCH, bound_batches
 
 
 def extract_articles(
@@ -51,7 +51,7 @@ def extract_articles(
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
 
-    bound_batches(source.sparkSession)
+    bound_batches(source.sparkSession, DOCUMENT_BATCH)
     return source.mapInArrow(parse, parsed)
 
 

@@ -3,7 +3,10 @@
 import pytest
 
 import __spark_entry__ as contract
-from articlelake.session import bound_batches, require_utc, session, shared_folder
+from articlelake.operators import html
+from articlelake.operators.html import extract_html
+from articlelake.operators.tei import extract_articles
+from articlelake.session import _bytes, bound_batches, require_utc, session, shared_folder
 from articlelake.checks.compare import compare, oracle
 from articlelake.checks.duckdb_sql import ORACLES
 from articlelake.checks.spark_queries import QUERIES
@@ -45,6 +48,16 @@ def test_batches_are_bounded_in_any_session(spark):
     spark.conf.set(key, "64MB")
 
 
+def test_documents_come_to_the_parse_in_small_batches(spark):
+    """A parse holds several times what it reads, in each worker: its batches are smaller than those of other steps."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for parse in (lambda t: extract_articles(t), lambda t: extract_html(t, {"link": html.PAGE_LINKS}, "content", ["path"])):
+        spark.conf.set(key, "64MB")
+        found = parse(spark.createDataFrame([("1.xml", "<a>x</a>")], "path string, content string"))
+        assert _bytes(spark.conf.get(key)) <= 8 * 1024 ** 2 and found.count() == 1
+    spark.conf.set(key, "64MB")
+
+
 def test_entry_in_a_session_without_the_batch_setting(spark):
     """A plain session has no value of its own: Spark's default is read, never a given one."""
     import __spark_entry__
