@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
-from articlelake.session import settle
+from articlelake.session import DOCUMENT_BATCH, bound_batches, settle
 from articlelake.sources.xml_files import client_for
 
 SITE = "http://journal.example"
@@ -241,10 +241,14 @@ def write_files(files: DataFrame, folder: str) -> None:
     ``days`` is the age that the file shall seem to have, where its file system has a clock to set.
     """
     def write(batches):
+        made = set()
         for batch in batches:
             for row in batch.to_pylist():
                 client, place = client_for(f"{folder}/{row['path']}")
-                client.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                parent = place.rsplit("/", 1)[0]
+                if parent not in made:
+                    client.create_dir(parent, recursive=True)
+                    made.add(parent)
                 with client.open_output_stream(place) as out:
                     out.write(row["content"].encode())
                 if isinstance(client, fs.LocalFileSystem):
@@ -252,6 +256,7 @@ def write_files(files: DataFrame, folder: str) -> None:
                     os.utime(place, (then, then))
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
 
+    bound_batches(files.sparkSession, DOCUMENT_BATCH)
     files.select("path", "content", "days").mapInArrow(write, "files long").agg(F.sum("files")).collect()
 
 

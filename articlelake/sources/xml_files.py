@@ -1,6 +1,7 @@
 """Recursive scan of article files."""
 
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyarrow import fs
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 from articlelake import fixed_values as fixed
 from articlelake.schemas import BINARY_FILE
-from articlelake.session import bound_batches, settle
+from articlelake.session import bound_batches, pack_small_files, settle
 
 # files that one task reads
 READ_BYTES = 64 * 1024 ** 2
+# contents that go on in one batch
+SEND_BYTES = 4 * 1024 ** 2
 
 
 def is_article_file(name: Column) -> Column:
@@ -44,6 +47,7 @@ def scan_xml_files(spark: SparkSession, *directories: str) -> DataFrame:
     The name filter is on file metadata, so excluded files are pruned when the
     scan is planned and never opened.
     """
+    pack_small_files(spark)
     files = _binary(spark.read).load(list(directories))
     return files.where(is_article_file(F.col("_metadata.file_name")))
 
@@ -53,6 +57,7 @@ def stream_xml_files(spark: SparkSession, directory: str, max_files: int = 100_0
 
     The source therefore forgets no file: its checkpoint holds an entry for each one ever seen.
     """
+    pack_small_files(spark)
     source = _binary(spark.readStream).option("maxFilesPerTrigger", max_files)
     files = source.option("maxFileAge", "36500d").load(directory)
     return files.where(is_article_file(F.col("_metadata.file_name")))
@@ -68,6 +73,11 @@ def manifest(files: DataFrame) -> DataFrame:
     )
 
 
+@cache
+def _client(scheme: str, authority: str) -> fs.FileSystem:
+    return fs.FileSystem.from_uri(f"{scheme}://{authority}/")[0]
+
+
 def client_for(path: str) -> tuple[fs.FileSystem, str]:
     """The file system that the scheme of a path names, and the path in it; names are taken as they are."""
     scheme, colon, rest = path.partition(":")
@@ -76,8 +86,7 @@ def client_for(path: str) -> tuple[fs.FileSystem, str]:
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     authority = rest[2:].split("/", 1)[0] if rest.startswith("//") else ""
-    client, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return client, rest.removeprefix(f"//{authority}")
+    return _client(scheme, authority), rest.removeprefix(f"//{authority}")
 
 
 def read_files(listing: DataFrame) -> DataFrame:
@@ -93,17 +102,29 @@ def read_files(listing: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
+            found, contents, held = [], [], 0
+
+            def part():
+                columns = [batch.column(name).take(pa.array(found, pa.int64())) for name in ("path", "modificationTime")]
+                return pa.RecordBatch.from_arrays(
+                    [*columns, pa.array([len(c) for c in contents], pa.int64()), pa.array(contents, pa.binary())],
+                    names=BINARY_FILE.names)
+
+            for row, path in enumerate(batch.column("path").to_pylist()):
                 try:
-                    client, place = client_for(batch.column("path")[row].as_py())
+                    client, place = client_for(path)
                     with client.open_input_stream(place) as file:
                         content = file.read()
                 except FileNotFoundError:
                     continue
-                part = batch.slice(row, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:2], pa.array([len(content)], pa.int64()), pa.array([content], pa.binary())],
-                    names=BINARY_FILE.names)
+                found.append(row)
+                contents.append(content)
+                held += len(content)
+                if held >= SEND_BYTES:
+                    yield part()
+                    found, contents, held = [], [], 0
+            if found:
+                yield part()
 
     return rows.mapInArrow(read, BINARY_FILE)
 

@@ -4,6 +4,7 @@ import os
 import time
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,35 @@ def test_names_are_no_patterns(spark, tmp_path):
     assert new == {name: name for name in ODD_NAMES}
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    """A task for every few small files would be mostly the start of tasks."""
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4MB")
+    try:
+        for n in range(400):
+            (tmp_path / f"{n}.xml").write_text("<TEI/>")
+        files = xml_files.scan_xml_files(spark, str(tmp_path))
+        assert files.rdd.getNumPartitions() <= 10 and files.count() == 400
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_contents_keep_their_rows_in_shared_batches(spark, tmp_path):
+    for n in range(300):
+        (tmp_path / f"{n}.xml").write_text(f"<TEI>{n}</TEI>")
+    read = xml_files.read_files(settle(xml_files.scan_xml_files(spark, str(tmp_path)).drop("content")))
+    (tmp_path / "7.xml").unlink()
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    assert sum(r.n for r in read.mapInArrow(sizes, "n long").collect()) == 299
+    assert sorted(r.content.decode() for r in read.collect()) == sorted(f"<TEI>{n}</TEI>" for n in range(300) if n != 7)
+    assert all(r.length == len(r.content) for r in read.collect())
+
+
 def test_a_file_that_is_gone_has_no_row(spark, folder):
     listing = settle(xml_files.scan_xml_files(spark, str(folder)).drop("content"))
     (folder / "Old.xml").unlink()
