@@ -70,10 +70,12 @@ def link_catalog(
     ``home_pages`` are the crawl's rows for the home page (of one or of many journals);
     ``base`` and ``xml_base`` are the site addresses that page and XML links are relative to.
     Link tables are settled: they are narrow, used several times, and then have a known size.
+    Of the missing articles only the addresses are used here, so their entries, which hold the
+    abstracts, are picked out of the settled links when they are read.
     """
     issues = settle(issue_links(home_pages, base))
     links = settle(catalog_articles(crawl, issues, base))
-    missing = settle(catalog_missing(links, articles))
+    missing = catalog_missing(links, articles)
     delivered = settle(missing_xml_links(crawl, missing, xml_base or base))
     return LinkCatalog(
         issues, links, missing, delivered.drop("url"), backfill_articles(crawl, delivered)

@@ -1,5 +1,6 @@
 """Crawled pages ``(url, status, html)`` stand for the responses of the journal's site."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,6 +9,8 @@ from articlelake.session import settle
 
 # addresses that may be broadcast
 SMALL = 500_000
+# bitmaps that may be broadcast, of 4 KB for 32,768 rows of a file each
+BITMAPS = 16_384
 
 
 def fetched(crawl: DataFrame) -> DataFrame:
@@ -28,14 +31,45 @@ def reachable_urls(crawl: DataFrame) -> DataFrame:
     return with_link_exists(crawl).where("link_exists").select("url")
 
 
+def _with_place(pages: DataFrame) -> DataFrame | None:
+    """``url, html, _file, _row``: each page and its place, for a table read straight from Parquet files."""
+    try:
+        return pages.select("url", "html", F.xxhash64("_metadata.file_path").alias("_file"),
+                            F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:  # a table of another kind
+        return None
+
+
+def _marks(placed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``_file, _part, _bits``: the first page at each wanted address as a bit of its file."""
+    narrow = placed.select("url", F.struct(F.xxhash64("html").alias("version"), "_file", "_row").alias("_page"))
+    first = narrow.join(wanted.select("url"), "url", "left_semi").groupBy("url").agg(F.min("_page").alias("_page"))
+    return settle(first.groupBy(F.col("_page._file").alias("_file"), F.bitmap_bucket_number("_page._row").alias("_part"))
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_page._row")).alias("_bits")))
+
+
+def _marked(placed: DataFrame, marks: DataFrame) -> DataFrame:
+    at = F.bitmap_bit_position("_row")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = placed.withColumn("_part", F.bitmap_bucket_number("_row")).join(F.broadcast(marks), ["_file", "_part"])
+    return near.where(F.getbit(byte, (at % 8).cast("int")) == 1)
+
+
 def pages_at(crawl: DataFrame, wanted: DataFrame) -> DataFrame:
     """``url, html`` of the delivered pages at the ``url`` values of ``wanted``, one for each address.
 
     Which rows are wanted is found on addresses and hashes; html is read once,
-    for them only, and is not shuffled while there are at most ``SMALL`` of
-    them (which is counted).  Of several pages at one address the one with the
-    smallest content hash stands.
+    for them only.  Of several pages at one address the one with the smallest
+    content hash stands.  When the crawl is read straight from Parquet files, the
+    chosen rows are marked by their place in the file, one bit for each row, and
+    html is not shuffled while that takes at most ``BITMAPS`` bitmaps (which is
+    counted).  Otherwise it is not shuffled while there are at most ``SMALL`` of them.
     """
+    placed = _with_place(fetched(crawl))
+    if placed is not None:
+        marks = _marks(placed, wanted)
+        if marks.count() <= BITMAPS:
+            return _marked(placed, marks).select("url", "html")
     version = F.xxhash64("html").alias("_version")
     narrow = fetched(crawl).select("url", version)
     chosen = settle(

@@ -211,6 +211,21 @@ def test_html_is_not_shuffled(spark, no_broadcast):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_chosen_pages_are_marked_in_their_files(spark, no_broadcast, monkeypatch):
+    """However many addresses are wanted, html is not shuffled; the pages are those that the join finds."""
+    pages = spark.range(40_000).selectExpr(
+        "concat('u', id % 30000) as url", "case when id % 13 = 0 then 404 else 200 end as status",
+        "case when id % 7 <> 0 then concat('h', id div 3) end as html").repartition(3)
+    pages = settle(pages.union(pages.where("url like 'u7%'")).coalesce(3))
+    wanted = settle(spark.range(0, 35_000, 3).selectExpr("concat('u', id) as url"))
+    monkeypatch.setattr(crawl, "SMALL", 10)
+    marked = crawl.pages_at(pages, wanted)
+    text = plan(marked.where("html <> ''"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    monkeypatch.setattr(crawl, "BITMAPS", -1)
+    assert rows(marked) == rows(crawl.pages_at(pages, wanted)) and marked.count() > 9_000
+
+
 def test_refreshed_manifest_reads_only_touched_files(spark, folder):
     def everything():
         return xml_files.manifest(xml_files.scan_xml_files(spark, str(folder)))
