@@ -11,7 +11,7 @@ from articlelake.operators.joins import missing_articles
 from articlelake.operators.tei import extract_articles, good_articles
 from articlelake.plans.dataset import catalog_keys
 from articlelake.session import settle
-from articlelake.sources.crawl import fetched, pages_at
+from articlelake.sources.crawl import fetched, pages_at, rows_at_places, with_place
 from articlelake.sources.xml_files import base_name, is_article_file
 
 
@@ -56,8 +56,12 @@ def backfill_articles(crawl: DataFrame, links: DataFrame) -> DataFrame:
     """
     files = pages_at(crawl, links.select("url").where(is_article_file(base_name(F.col("url")))))
     parsed = settle(good_articles(extract_articles(files, path="url", content="html")))
-    last = settle(parsed.where("article_id is not null").groupBy("article_id").agg(F.max("file_name").alias("file_name")))
-    named = parsed.join(last.select("file_name"), "file_name", "left_semi")
+    placed = with_place(parsed, *parsed.columns)  # an address is one row: texts are picked where they are
+    last = placed.where("article_id is not null").groupBy("article_id").agg(
+        F.max(F.struct("file_name", "_file", "_row")).alias("_last"))
+    named = rows_at_places(placed, last.select("_last._file", "_last._row"))
+    if named is None:
+        named = parsed.join(last.select("_last.file_name"), "file_name", "left_semi")
     return named.union(parsed.where("article_id is null"))
 
 

@@ -31,28 +31,28 @@ def reachable_urls(crawl: DataFrame) -> DataFrame:
     return with_link_exists(crawl).where("link_exists").select("url")
 
 
-def _with_place(pages: DataFrame) -> DataFrame | None:
-    """``url, html, _file, _row``: each page and its place, for a table read straight from Parquet files."""
+def with_place(rows: DataFrame, *columns: str) -> DataFrame | None:
+    """``columns`` and each row's place ``_file, _row``, for a table read straight from Parquet files."""
     try:
-        return pages.select("url", "html", F.xxhash64("_metadata.file_path").alias("_file"),
-                            F.col("_metadata.row_index").alias("_row"))
+        return rows.select(*columns, F.xxhash64("_metadata.file_path").alias("_file"),
+                           F.col("_metadata.row_index").alias("_row"))
     except AnalysisException:  # a table of another kind
         return None
 
 
-def _marks(placed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``_file, _part, _bits``: the first page at each wanted address as a bit of its file."""
-    narrow = placed.select("url", F.struct(F.xxhash64("html").alias("version"), "_file", "_row").alias("_page"))
-    first = narrow.join(wanted.select("url"), "url", "left_semi").groupBy("url").agg(F.min("_page").alias("_page"))
-    return settle(first.groupBy(F.col("_page._file").alias("_file"), F.bitmap_bucket_number("_page._row").alias("_part"))
-                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_page._row")).alias("_bits")))
+def rows_at_places(placed: DataFrame, places: DataFrame) -> DataFrame | None:
+    """The rows of ``placed`` at ``places`` (``_file, _row``), not shuffled: each is a bit of its file.
 
-
-def _marked(placed: DataFrame, marks: DataFrame) -> DataFrame:
+    None when that takes more than ``BITMAPS`` bitmaps, which is counted.
+    """
+    marks = settle(places.groupBy("_file", F.bitmap_bucket_number("_row").alias("_part"))
+                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_row")).alias("_bits")))
+    if marks.count() > BITMAPS:
+        return None
     at = F.bitmap_bit_position("_row")
     byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     near = placed.withColumn("_part", F.bitmap_bucket_number("_row")).join(F.broadcast(marks), ["_file", "_part"])
-    return near.where(F.getbit(byte, (at % 8).cast("int")) == 1)
+    return near.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_file", "_row", "_part", "_bits")
 
 
 def pages_at(crawl: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -65,11 +65,13 @@ def pages_at(crawl: DataFrame, wanted: DataFrame) -> DataFrame:
     html is not shuffled while that takes at most ``BITMAPS`` bitmaps (which is
     counted).  Otherwise it is not shuffled while there are at most ``SMALL`` of them.
     """
-    placed = _with_place(fetched(crawl))
+    placed = with_place(fetched(crawl), "url", "html")
     if placed is not None:
-        marks = _marks(placed, wanted)
-        if marks.count() <= BITMAPS:
-            return _marked(placed, marks).select("url", "html")
+        narrow = placed.select("url", F.struct(F.xxhash64("html").alias("version"), "_file", "_row").alias("_page"))
+        first = narrow.join(wanted.select("url"), "url", "left_semi").groupBy("url").agg(F.min("_page").alias("_page"))
+        pages = rows_at_places(placed, first.select("_page._file", "_page._row"))
+        if pages is not None:
+            return pages
     version = F.xxhash64("html").alias("_version")
     narrow = fetched(crawl).select("url", version)
     chosen = settle(

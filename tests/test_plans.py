@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from articlelake import schemas
 from articlelake.operators.tei import extract_articles, good_articles
 from articlelake.plans import catalog, dataset, pages, report
+from articlelake.session import settle
 from articlelake.sources.tables import read_csv
 from articlelake.sources.xml_files import scan_xml_files
 from tests.conftest import plan, rows
@@ -195,3 +196,15 @@ def test_a_file_name_of_two_articles_is_an_error(spark):
     articles = spark.createDataFrame([("a.xml", "t"), ("a.xml", "u"), ("b.xml", "v")], "file_name string, title string")
     with pytest.raises(ValueError, match="a.xml"):
         dataset.with_contents(articles.select("file_name"), articles)
+
+
+def test_backfilled_texts_are_picked_where_they_are(spark, no_broadcast):
+    """Of several addresses with one article id the last one stands, and no text is shuffled for it."""
+    pages = settle(spark.createDataFrame(
+        [(f"s/{n}.xml", 200, tei(article_id=f"{n % 7:06d}")) for n in range(40)], schemas.CRAWL))
+    found = catalog.backfill_articles(pages, settle(pages.select("url")))
+    assert "SortMergeJoin" not in plan(found.select("file_name", "body_text"))
+    last = {}
+    for name in sorted(f"s/{n}.xml" for n in range(40)):
+        last[int(name[2:-4]) % 7] = name
+    assert sorted(r.file_name for r in found.collect()) == sorted(last.values())
