@@ -1,20 +1,23 @@
 """Exact Jaccard join of word n-gram sets, in prefix trees.
 
-Every set is put in one global order of its n-grams, rare ones first.  Two sets that are similar
-enough share a certain number of n-grams among the first few of each, so only sets with that many
-shared ones there can be linked; they are gathered into clusters, and each cluster is joined in a
-prefix tree that holds the common n-grams first: a walk shares the overlap of equal beginnings among all sets below and leaves
-a branch as soon as the lengths that remain cannot give enough overlap.
+Two linked sets differ in few n-grams.  Dealt by hash into more parts than they can differ in, they
+have a part in common; each set names the most telling of its parts, and only sets that share such a
+name can be linked.  For shares so low that parts would hold next to nothing, sets are put in one
+global order of their n-grams, rare ones first, and linked ones share a certain number among the first
+few of each.  Sets that meet are gathered into clusters, and each cluster is joined in a prefix tree
+that holds the common n-grams first: a walk shares the overlap of equal beginnings among all sets below
+and leaves a branch as soon as the lengths that remain cannot give enough overlap.
 """
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from articlelake.llm.common import bound_batches, connected_components
@@ -29,6 +32,8 @@ BITS = 19
 _CHUNK = 1 << 12
 # n-grams that a cluster joined in one task may hold
 CLUSTER = 2_000_000
+# from this share on, parts hold several n-grams and candidates come from equal parts
+PARTS_FROM = (2, 3)
 # how often the blocks of a cluster may copy a set
 COPIES = 32
 # ids that may be broadcast
@@ -133,33 +138,101 @@ def shared_at_least(size: int | Column, num: int = NUM, den: int = DEN) -> int |
     return size * num // (20 * den) + 1
 
 
+@lru_cache(maxsize=1)
+def _class_starts() -> list[int]:
+    """The smallest size of each class of sizes: a class ends a third above its start."""
+    starts = [1]
+    while starts[-1] < 1 << 40:
+        starts.append(max(starts[-1] + 1, starts[-1] * 4 // 3))
+    return starts
+
+
+def _class_of(size: int) -> int:
+    return bisect_right(_class_starts(), size) - 1
+
+
+def telling(counts: np.ndarray) -> np.ndarray:
+    """How much an n-gram of each bucket tells, in sixteenths of a bit, from ``gram_counts``."""
+    return np.rint(16 * (np.log2(counts.sum() + 1) - np.log2(counts + 1)) + 1)
+
+
+def signatures(grams: np.ndarray, tells: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """Names of parts of a set; any set that it is linked with shares one of them.
+
+    Linked sets of sizes a <= b differ in at most ``a * (den - num) / num``
+    n-grams, say d.  They meet in the class of the smaller one, where n-grams are
+    dealt by hash into ``d + 1 + spare`` parts, so at least ``1 + spare`` parts
+    are equal.  Each set names the ``d + 1`` parts that tell most (whole numbers,
+    ties by the number of the part): what a part tells depends on its n-grams
+    only, so of the equal parts the most telling one is named by both sets.
+    """
+    size, found = len(grams), [np.zeros(0, np.uint64)]
+    weights = tells[_bucket(grams)]
+    for at in range(_class_of(-(-num * size // den)), _class_of(size) + 1) if size else ():
+        largest = _class_starts()[at + 1] - 1
+        named = largest * (den - num) // num + 1
+        parts = named + named // 2
+        dealt = (grams % np.uint64(parts)).astype(np.intp)
+        sums = np.zeros(parts, np.uint64)
+        np.add.at(sums, dealt, grams)
+        told = np.bincount(dealt, weights, parts)
+        chosen = np.argsort(told, kind="stable")[parts - named:].astype(np.uint64)
+        salt = np.uint64((at + 1) * _MULTIPLIERS[2] % (1 << 64))
+        name = sums[chosen] + (chosen + np.uint64(1)) * np.uint64(_MULTIPLIERS[1]) + salt
+        name ^= name >> np.uint64(31)
+        found.append(name * np.uint64(_MULTIPLIERS[0]))
+    return np.concatenate(found)
+
+
 def _needed(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
     """Smallest overlap of linked sets of these sizes."""
     return -(-num * (a + b) // (num + den))
 
 
-def _ordered_sets(docs: DataFrame, counts, n: int, whole: bool, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``doc_id, n_shingles, set_key, grams`` of each row: the prefix, or the whole set as bytes."""
+def _sets(docs: DataFrame, n: int, make, kind: str) -> DataFrame:
+    """``doc_id, n_shingles, set_key, grams`` of each row, ``grams`` made by ``make`` of the set and of whether
+    it is the first such set with an id in its batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, grams = [], [], []
-            for value in batch.column(1):
+            sizes, keys, grams, seen = [], [], [], set()
+            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = ngram_set(value.as_py(), n)
+                key = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if len(found) else None
                 sizes.append(len(found))
-                keys.append(xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if len(found) else None)
-                order = _ordered(found, counts.value)
-                order = order if whole else order[:prefix_length(len(found), num, den)] if len(found) else order
-                grams.append(order.tobytes() if whole else order.view(np.int64))
+                keys.append(key)
+                grams.append(make(found, doc_id is not None and key not in seen))
+                if doc_id is not None:
+                    seen.add(key)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                 pa.array(grams, pa.binary() if whole else pa.list_(pa.int64()))],
+                 pa.array(grams, pa.binary() if kind == "binary" else pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "set_key", "grams"])
 
-    kind = "binary" if whole else "array<long>"
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     return rows.mapInArrow(run, f"doc_id long, n_shingles long, set_key long, grams {kind}")
 
 
+def _whole_sets(docs: DataFrame, counts, n: int) -> DataFrame:
+    """Whole sets in the global order, as bytes."""
+    return _sets(docs, n, lambda found, first: _ordered(found, counts.value).tobytes(), "binary")
+
+
+def _first_grams(docs: DataFrame, counts, n: int, num: int, den: int) -> DataFrame:
+    """The first n-grams of each set in the global order."""
+    def make(found: np.ndarray, first: bool) -> np.ndarray:
+        return _ordered(found, counts.value)[:prefix_length(len(found), num, den)].view(np.int64) if len(found) else found.view(np.int64)
+
+    return _sets(docs, n, make, "array<long>")
+
+
+def _named_parts(docs: DataFrame, tells, n: int, num: int, den: int) -> DataFrame:
+    """The signatures of each set; of copies in one batch, one has them."""
+    def make(found: np.ndarray, first: bool) -> np.ndarray:
+        return (signatures(found, tells.value, num, den) if first else found[:0]).view(np.int64)
+
+    return _sets(docs, n, make, "array<long>")
+
+
 # --- the join of one cluster -------------------------------------------------
 
 class _Node:
@@ -289,25 +362,31 @@ def _join_cluster(table: pa.Table, num: int, den: int) -> pa.Table:
 
 # --- the whole job -----------------------------------------------------------
 
-def _clusters(members: DataFrame) -> DataFrame:
-    """``cluster, i, j, block, set_key`` from ``(gram, set_key, node, n_shingles)``: who meets whom.
+def _clusters(postings: DataFrame, classes: DataFrame) -> DataFrame:
+    """``cluster, kind, i, j, block, set_key, node`` from ``(gram, set_key)``: who meets whom.
 
-    All sets that shared first n-grams connect form a cluster.  One that is too
+    All sets that share n-grams, or names of parts, form a cluster.  One that is too
     large for a task is cut into blocks of which every two meet.  Where that
     would copy each set more than ``COPIES`` times, the sets of each n-gram meet
     instead, in blocks if need be.
     """
-    edges = members.groupBy("gram").agg(F.min("node").alias("b"))
-    linked = members.join(edges, "gram").select(F.col("node").alias("a"), "b")
-    near = connected_components(linked).select("node", F.col("component").alias("near"))
-    placed = settle(members.join(near, "node"))
-    sets = placed.select("node", "set_key", "n_shingles", "near").distinct()
+    # the smallest key of each n-gram, found where the sorted rows are: one shuffle of the postings
+    smallest = F.first("set_key").over(
+        Window.partitionBy("gram").orderBy("set_key").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    linked = postings.select(F.col("set_key").alias("a"), smallest.alias("b")).where("a <> b")
+    near = connected_components(linked).select(F.col("node").alias("set_key"), F.col("component").alias("near"))
+    sets = settle(classes.join(near, "set_key"))
     load = settle(_blocks(sets, "near"))
-    whole = sets.join(load.where(F.col("blocks") <= COPIES), "near").withColumn("kind", F.lit(0))
-    by_gram = placed.join(load.where(F.col("blocks") > COPIES).select("near"), "near", "left_semi")
-    apart = by_gram.join(_blocks(by_gram, "gram"), "gram").withColumn("kind", F.lit(1))
-    columns = ("kind", "blocks", "set_key", "node")
-    cut = whole.select(F.col("near").alias("cluster"), *columns).union(apart.select(F.col("gram").alias("cluster"), *columns))
+    cut = sets.join(load.where(F.col("blocks") <= COPIES), "near").select(
+        F.col("near").alias("cluster"), F.lit(0).alias("kind"), "blocks", "set_key", "node")
+    large = load.where(F.col("blocks") > COPIES).select("near")
+    if not large.isEmpty():
+        members = settle(postings.join(sets.join(large, "near", "left_semi"), "set_key").select(
+            "gram", "set_key", "node", "n_shingles").distinct())
+        # of n-grams with the same sets, one is enough
+        by_gram = members.join(_one_of_each(members), "gram")
+        cut = cut.union(by_gram.join(_blocks(by_gram, "gram"), "gram").select(
+            F.col("gram").alias("cluster"), F.lit(1).alias("kind"), "blocks", "set_key", "node"))
     met = cut.withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return met.select(
@@ -315,6 +394,14 @@ def _clusters(members: DataFrame) -> DataFrame:
         "set_key", "node")
 
 
+def _one_of_each(members: DataFrame) -> DataFrame:
+    """One ``gram`` of all that have the same two or more sets."""
+    mark = F.xxhash64("set_key", F.lit(7))
+    distinct = members.groupBy("gram").agg(
+        F.count("*").alias("sets"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(11))).alias("y"))
+    return distinct.where("sets > 1").groupBy("sets", "x", "y").agg(F.min("gram").alias("gram")).select("gram")
+
+
 def _blocks(sets: DataFrame, by: str) -> DataFrame:
     """Into how many blocks the sets of a group are cut, so that a task can hold any two."""
     load = F.sum("n_shingles")
@@ -331,6 +418,17 @@ def _with_enough(postings: DataFrame, classes: DataFrame, num: int, den: int) ->
     return postings.join(enough, "set_key").select("gram", "set_key", "node", "n_shingles")
 
 
+def _with_partners(postings: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """``gram, set_key`` of first n-grams that several sets have, and of the sets that have enough of them; copies
+    of a set still count at first, and fall away with the next round."""
+    shared = postings.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
+    members = settle(_with_enough(postings.join(shared, "gram").distinct(), classes, num, den))
+    for _ in range(2):  # sets that went may have taken the only partners of others along
+        again = members.groupBy("gram").count().where("count > 1").select("gram")
+        members = settle(_with_enough(members.join(again, "gram").select("set_key", "gram"), classes, num, den))
+    return settle(members.join(_one_of_each(members), "gram").select("gram", "set_key"))
+
+
 def similar_documents(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs`` (``doc_id, text`` and any other columns).
 
@@ -345,31 +443,25 @@ def similar_documents(docs: DataFrame, n: int = WORDS, num: int = NUM, den: int
     bound_batches(spark)
     docs = docs.select("doc_id", "text")
     counts = spark.sparkContext.broadcast(gram_counts(docs, n=n))
-    sets = settle(_ordered_sets(docs, counts, n, whole=False, num=num, den=den))
+    by_parts = num * PARTS_FROM[1] >= den * PARTS_FROM[0]
+    if by_parts:
+        tells = spark.sparkContext.broadcast(telling(counts.value))
+        sets = settle(_named_parts(docs, tells, n, num, den))
+    else:
+        sets = settle(_first_grams(docs, counts, n, num, den))
     known = sets.where("doc_id is not null and set_key is not null")
     classes = settle(known.groupBy("set_key").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles")))
-
-    # n-grams that several sets have among their first, and the sets that have enough of them; copies of
-    # a set still count here, and fall away with the next round
     postings = known.select("set_key", F.explode("grams").alias("gram"))
-    shared = postings.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    members = settle(_with_enough(postings.join(shared, "gram").distinct(), classes, num, den))
-    for _ in range(2):  # sets that went may have taken the only partners of others along
-        again = members.groupBy("gram").count().where("count > 1").select("gram")
-        members = settle(_with_enough(members.join(again, "gram").select("set_key", "gram"), classes, num, den))
-    # of n-grams with the same sets, one is enough
-    mark = F.xxhash64("set_key", F.lit(7))
-    distinct = members.groupBy("gram").agg(
-        F.count("*").alias("sets"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(11))).alias("y"))
-    distinct = distinct.groupBy("sets", "x", "y").agg(F.min("gram").alias("gram")).select("gram")
-    clusters = settle(_clusters(settle(members.join(distinct, "gram"))))
+    if not by_parts:
+        postings = _with_partners(postings, classes, num, den)
+    clusters = settle(_clusters(postings, classes))
 
     wanted = settle(clusters.select(F.col("node").alias("doc_id")).distinct())
     if wanted.count() <= SMALL:  # a checked size; beyond it, the join decides
         wanted = F.broadcast(wanted)
     texts = docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi")
-    full = _ordered_sets(texts, counts, n, whole=True).select("set_key", "grams").dropDuplicates(["set_key"])
+    full = _whole_sets(texts, counts, n).select("set_key", "grams").dropDuplicates(["set_key"])
     gathered = clusters.join(full, "set_key").select("cluster", "kind", "i", "j", "block", "node", "grams")
     links = gathered.groupBy("cluster", "kind", "i", "j").applyInArrow(
         lambda table: _join_cluster(table, num, den), "a long, b long")

@@ -151,3 +151,33 @@ def test_sets_of_another_share_have_enough_first_elements_in_common(base, gone,
 def test_impossible_shares_are_refused(spark):
     with pytest.raises(ValueError, match="share"):
         ngram_join.similar_documents(documents(spark, []), 5, 11, 10)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 200), min_size=1, max_size=120), st.sets(st.integers(0, 200), max_size=12),
+       st.sets(st.integers(201, 400), max_size=12), st.sampled_from([(9, 10), (8, 10), (2, 3)]))
+def test_linked_sets_share_a_named_part(base, gone, more, share):
+    num, den = share
+    other = (base - gone) | more
+    rng = np.random.default_rng(7)
+    code = rng.integers(0, 1 << 63, 401, np.uint64) << np.uint64(1)
+    tells = rng.integers(1, 300, 1 << ngram_join.BITS).astype(float)
+    if other and den * len(base & other) >= num * len(base | other):
+        a, b = (ngram_join.signatures(np.unique(code[sorted(s)]), tells, num, den) for s in (base, other))
+        assert np.intersect1d(a, b).size
+
+
+def test_unlike_texts_of_frequent_words_do_not_meet(spark, monkeypatch):
+    """Their first n-grams are shared by many, but hardly any part; whole sets of these would grow faster than the input."""
+    rng, wholes = random.Random(5), []
+    rows = [(i, " ".join(f"w{rng.randrange(12)}" for _ in range(150))) for i in range(300)]
+    rows += [(1000, rows[0][1] + " w1")]
+    whole_sets = ngram_join._whole_sets
+
+    def counted(texts, *args):
+        wholes.append(texts.count())
+        return whole_sets(texts, *args)
+
+    monkeypatch.setattr(ngram_join, "_whole_sets", counted)
+    assert result(ngram_join.similar_documents(documents(spark, rows))) == brute_force(rows)
+    assert wholes[0] < 100  # all 301 when n-grams among the first were enough to meet
