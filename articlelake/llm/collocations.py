@@ -10,26 +10,28 @@ many documents becomes one dictionary entry with its parse frequency.
 
 N-grams of up to ``W + 1`` words are counted inside the distinct chunks and
 weighted by their frequency; an occurrence belongs to the chunk where it
-starts before the trailing overlap, so each is counted once.  Counting is
-built-in: n-grams are matched in the chunk text by a compiled pattern, counted
-by aggregates that combine before their shuffle, level by level.
+starts before the trailing overlap, so each is counted once.  Frequent words
+get numbers, and the chunks become arrays of them; level by level an n-gram is
+the number of its first m - 1 words and that of its last one, found and added
+up by whole arrays in the tasks and by an aggregate after them.
 """
 
-import re
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from articlelake.llm.common import bound_batches
+from articlelake.llm.ngram_join import ngrams
 from articlelake.session import settle
 
 # Fixed values of the contract
-PIECE_MARKS = r"[.,;:!?\x0A-\x0D]"
-BLANKS = r"[\x20\x09]+"
+PIECE_MARKS = b".,;:!?\x0A\x0B\x0C\x0D"  # words end at these, blanks and tabs
 UNKNOWN_LANG = "und"
 MIN_COUNT = 30
 LONGEST = 4
@@ -41,31 +43,39 @@ W = 3  # words in a trigger window; n-grams up to W + 1 words never straddle a c
 MODULUS = 16  # chunks are about this many words long
 BROADCAST_ROWS = 500_000  # frequent n-grams of a level sent to the tasks for its test; beyond, a shuffled join
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ROW = 2048  # words in a row of numbered chunks, or one chunk
+HELD = 2_000_000  # occurrences that a task adds up at once
 
+UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PLAIN = bytes.maketrans(UPPER + PIECE_MARKS, UPPER.lower() + b"\n" * len(PIECE_MARKS))
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of each piece as ``lang, chunk``: the words where occurrences start, joined by blanks, a tab,
+
+def _chunks(text: bytes) -> Iterator[bytes]:
+    """Chunks of each piece: the words where occurrences start, joined by blanks, a tab,
     then the words of the overlap joined by tabs (framing words left out)."""
-    marks, blanks = re.compile(PIECE_MARKS), re.compile(BLANKS)
-    lower = str.maketrans(UPPER, UPPER.lower())
+    plain = text.translate(_PLAIN)
+    pieces = [words for piece in plain.split(b"\n") if (words := piece.split())]
+    if not pieces:
+        return
+    words, ends = list(chain.from_iterable(pieces)), np.cumsum([len(piece) for piece in pieces])
+    cuts = np.concatenate([[0], ends])
+    if len(words) >= W:
+        at = np.flatnonzero(ngrams(plain, W) % np.uint64(MODULUS) == 0)
+        cuts = np.union1d(cuts, at[ends[np.searchsorted(ends, at, "right")] >= at + W])  # no window leaves its piece
+    inside = ends[np.searchsorted(ends, cuts[1:])] != cuts[1:]
+    places = cuts.tolist()
+    for start, stop, overlaps in zip(places, places[1:], inside.tolist()):
+        yield b" ".join(words[start:stop]) + b"\t" + (b"\t".join(words[stop:stop + W]) if overlaps else b"")
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``lang, chunk`` of all texts."""
     for batch in batches:
         langs, chunks = [], []
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            lang = UNKNOWN_LANG if lang is None else lang
-            for piece in marks.split((text or "").translate(lower)):
-                words = [w for w in blanks.split(piece) if w]
-                if not words:
-                    continue
-                framed = [""] * W + words + [""] * W
-                cuts = [0] + [q for q in range(W, len(words) + 1)
-                              if xxhash.xxh64_intdigest("\x00".join(framed[q:q + W])) % MODULUS == 0]
-                cuts.append(len(words) + W)
-                for start, stop in zip(cuts, cuts[1:]):
-                    body = [w for w in framed[start:stop] if w]
-                    if body:
-                        langs.append(lang)
-                        chunks.append(" ".join(body) + "\t" + "\t".join(w for w in framed[stop:stop + W] if w))
+            before = len(chunks)
+            chunks.extend(_chunks(text or b""))
+            langs += [UNKNOWN_LANG if lang is None else lang] * (len(chunks) - before)
         yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(chunks, pa.string())],
                                          names=["lang", "chunk"])
 
@@ -79,7 +89,7 @@ def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     alike, so they are one entry.
     """
     bound_batches(docs.sparkSession)
-    source = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    source = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").cast("binary").alias("text"))
     parsed = source.mapInArrow(_parse, "lang string, chunk string")
     return parsed.groupBy("lang", "chunk").agg(F.count("*").alias("freq"))
 
@@ -101,35 +111,127 @@ def _counted(rows: DataFrame, min_count: int, m: int) -> DataFrame:
                   .where(F.col("f") >= min_count).withColumn("size", F.lit(m)))
 
 
-def _python_level(dictionary: DataFrame, m: int, known) -> DataFrame:
-    """``lang, phrase, freq`` partial counts of ``m``-word n-grams whose (m - 1)-word parts are in ``known``
-    (a broadcast of language to set), summed within each Arrow batch."""
+def _places(batch: pa.RecordBatch):
+    """All words of a batch of chunks in a row: number of the language and word among the distinct ones, those
+    as two arrays, the frequency of the chunk where an occurrence may start, else 0, and the ends of chunks.
+
+    A chunk without overlap ends in an empty word, one with overlap in ``W`` words where nothing starts: no
+    n-gram of at most ``W + 1`` words that starts in a chunk leaves it, but for such with an empty word.
+    """
+    chunk = batch.column("chunk")
+    lists = pc.split_pattern(pc.replace_substring(chunk, "\t", " "), " ")
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = pc.count_substring(chunk, " ").to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    words, langs = pc.list_flatten(lists).dictionary_encode(), batch.column("lang").dictionary_encode()
+    ends = np.cumsum(sizes)
+    within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    freq = batch.column("freq").to_numpy(zero_copy_only=False).astype(np.int64)
+    weights = np.where(within < np.repeat(starts, sizes), np.repeat(freq, sizes), 0)
+    both = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), sizes) * len(words.dictionary)
+    distinct, at = np.unique(both + words.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+    lang_of = langs.dictionary.take(pa.array(distinct // max(1, len(words.dictionary))))
+    word_of = words.dictionary.take(pa.array(distinct % max(1, len(words.dictionary))))
+    return at, lang_of, word_of, weights, ends
+
+
+def _word_counts(dictionary: DataFrame) -> DataFrame:
+    """``lang, phrase, freq``: counts of words, summed within each Arrow batch."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, langs, words, weights, _ = _places(batch)
+            sums = np.zeros(len(words), np.int64)
+            np.add.at(sums, at, weights)
+            rows = pa.RecordBatch.from_arrays([langs, words, pa.array(sums)], names=["lang", "phrase", "freq"])
+            yield rows.filter(pa.array(sums > 0))  # the empty words at ends of chunks go
+
+    return dictionary.mapInArrow(emit, "lang string, phrase string, freq long")
+
+
+def _numbered(dictionary: DataFrame, numbers) -> DataFrame:
+    """``ids, weights``: the words of whole chunks as int32 numbers (-1: not frequent, or no word) and the frequency
+    of the chunk where an occurrence may start, else 0, as int64; some ``ROW`` words a row."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = known.value if known is not None else None
         for batch in batches:
-            counts: dict[tuple[str, str], int] = {}
-            columns = (batch.column(name).to_pylist() for name in ("lang", "chunk", "freq"))
-            for lang, chunk, freq in zip(*columns, strict=True):
-                body, _, tail = chunk.partition("\t")
-                words = body.split(" ")
-                starts = len(words)
-                if tail:
-                    words += tail.split("\t")
-                allowed = parts.get(lang) if parts is not None else None
-                if parts is not None and not allowed:
-                    continue
-                for at in range(min(starts, len(words) - m + 1)):
-                    if allowed is not None:
-                        head = " ".join(words[at:at + m - 1])
-                        if head not in allowed or " ".join(words[at + 1:at + m]) not in allowed:
-                            continue
-                    key = (lang, " ".join(words[at:at + m]))
-                    counts[key] = counts.get(key, 0) + freq
+            at, langs, words, weights, ends = _places(batch)
+            number = numbers.value
+            known = [number.get(lang, {}).get(word, -1) for lang, word in zip(langs.to_pylist(), words.to_pylist(), strict=True)]
+            ids = np.array(known, np.int32)[at]
+            cuts = np.unique(ends[np.minimum(np.searchsorted(ends, np.arange(ROW, len(ids) + ROW, ROW)), len(ends) - 1)])
+            cuts = [0, *cuts.tolist()] if len(ids) else [0]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
-                 pa.array(list(counts.values()), pa.int64())], names=["lang", "phrase", "freq"])
+                [pa.array([part[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for part in (ids, weights)],
+                names=["ids", "weights"])
 
-    return dictionary.mapInArrow(emit, "lang string, phrase string, freq long")
+    return dictionary.mapInArrow(emit, "ids binary, weights binary")
+
+
+def _longer(here: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
+    """Keys of the n-grams one word longer than those numbered in ``here``: first part and last word; -1 where a part
+    is not frequent."""
+    if len(here) < 2:
+        return np.zeros(0, np.int64)
+    return np.where((here[:-1] >= 0) & (here[1:] >= 0), here[:-1] * base + last, -1)
+
+
+def _numbers(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The place of each key among the sorted ``known`` ones, or -1."""
+    found, some = np.full(len(keys), -1, np.int64), np.flatnonzero(keys >= 0)
+    if len(known) and len(some):
+        at = np.minimum(np.searchsorted(known, keys[some]), len(known) - 1)
+        found[some] = np.where(known[at] == keys[some], at, -1)
+    return found
+
+
+def _summed(keys: list[np.ndarray], weights: list[np.ndarray]) -> pa.RecordBatch:
+    joined = np.concatenate(keys)
+    order = np.argsort(joined, kind="stable")
+    joined = joined[order]
+    first = np.flatnonzero(np.concatenate([[True], joined[1:] != joined[:-1]]))
+    sums = np.add.reduceat(np.concatenate(weights)[order], first)
+    return pa.RecordBatch.from_arrays([pa.array(joined[first]), pa.array(sums)], names=["key", "freq"])
+
+
+def _longer_counts(numbered: DataFrame, base: int, levels) -> DataFrame:
+    """``key, freq``: partial counts of the n-grams two words longer than ``levels`` (a broadcast list of the sorted
+    keys of frequent n-grams of 2, 3, ... words) is long, where both their shorter parts are frequent."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, weights, held = [], [], 0
+        for batch in batches:
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.int32).astype(np.int64)
+            starts = np.frombuffer(b"".join(batch.column("weights").to_pylist()), np.int64)
+            here = ids
+            for m, known in enumerate(levels.value, 1):
+                here = _numbers(_longer(here, ids[m:], base), known)
+            longer = _longer(here, ids[len(levels.value) + 1:], base)
+            use = np.flatnonzero((longer >= 0) & (starts[:len(longer)] > 0))
+            if len(use):
+                keys.append(longer[use])
+                weights.append(starts[use])
+                held += len(use)
+            if held >= HELD:
+                yield _summed(keys, weights)
+                keys, weights, held = [], [], 0
+        if held:
+            yield _summed(keys, weights)
+
+    return numbered.mapInArrow(emit, "key long, freq long")
+
+
+def _phrases(level: DataFrame, base: int, words, levels, m: int) -> DataFrame:
+    """``lang, phrase, f, size`` from ``key, f``."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, parts = batch.column("key").to_numpy(), []
+            for known in [None, *levels.value][::-1]:
+                parts.append(keys % base)
+                keys = keys // base if known is None else known[keys // base]
+            spelled = [[words.value[i] for i in part.tolist()] for part in [keys, *parts[::-1]]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang for lang, _ in spelled[0]], pa.string()),
+                 pa.array([" ".join(word for _, word in phrase) for phrase in zip(*spelled)], pa.string()), batch.column("f")],
+                names=["lang", "phrase", "f"])
+
+    return level.mapInArrow(emit, "lang string, phrase string, f long").withColumn("size", F.lit(m))
 
 
 def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -138,23 +240,32 @@ def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFr
     Level by level: an n-gram of m words is counted only where both its
     (m - 1)-word parts are frequent, since it is never more frequent than they
     are.  While a level has at most ``BROADCAST_ROWS`` frequent n-grams
-    (counted), they go to every task as a set and the test is made where the
-    chunks are, with counts summed within each batch before the shuffle;
-    beyond that bound the test is a shuffled semi join on phrase keys.
+    (counted), they go to every task as numbers and the test is made where the
+    chunks are, with counts summed before the shuffle; beyond that bound the
+    test is a shuffled semi join on phrase keys.
     """
     spark = dictionary.sparkSession
     bound_batches(spark)
-    level = _counted(_python_level(dictionary, 1, None), min_count, 1)
-    found = [level]
+    level = _counted(_word_counts(dictionary), min_count, 1)
+    found, small = [level], level.count() <= BROADCAST_ROWS
+    if small:
+        names = sorted((row.lang, row.phrase) for row in level.select("lang", "phrase").collect())  # bounded by the count
+        base, numbers, keys = max(1, len(names)), {}, []
+        for i, (lang, word) in enumerate(names):
+            numbers.setdefault(lang, {})[word] = i
+        words = spark.sparkContext.broadcast(names)
+        numbered = settle(_numbered(dictionary, spark.sparkContext.broadcast(numbers)))
     for m in range(2, LONGEST + 1):
-        before = level.select("lang", "phrase")
-        if before.count() <= BROADCAST_ROWS:
-            sets: dict[str, set[str]] = {}
-            for row in before.collect():  # bounded by the count above
-                sets.setdefault(row.lang, set()).add(row.phrase)
-            shared = spark.sparkContext.broadcast(sets)
-            level = _counted(_python_level(dictionary, m, shared), min_count, m)
+        if small:
+            levels = spark.sparkContext.broadcast(keys)
+            counted = settle(_longer_counts(numbered, base, levels).groupBy("key").agg(F.sum("freq").alias("f"))
+                             .where(F.col("f") >= min_count))
+            level = settle(_phrases(counted, base, words, levels, m))
+            small = counted.count() <= BROADCAST_ROWS
+            if small:
+                keys = [*keys, np.sort(np.array([row.key for row in counted.select("key").collect()], np.int64))]
         else:
+            before = level.select("lang", "phrase")
             grams = _grams(dictionary, m).select(
                 "lang", "freq", F.col("gram").alias("phrase"),
                 F.substring_index("gram", " ", m - 1).alias("head"), F.substring_index("gram", " ", 1 - m).alias("tail"))

@@ -95,3 +95,30 @@ def test_shuffled_join_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(co, "BROADCAST_ROWS", 0)
     df = spark.createDataFrame(rows, "text string, lang string")
     assert sorted(tuple(r) for r in co.collocations(df).collect()) == brute(rows)
+
+
+def test_levels_are_counted_as_numbers(spark):
+    """n-grams reach the shuffle as numbers, added up over batches, not as text batch by batch."""
+    rows = corpus(9)
+    dictionary = co.chunk_dictionary(spark.createDataFrame(rows, "text string, lang string"))
+    names = sorted((r.lang, r.phrase) for r in co.frequent_ngrams(dictionary).where("size = 1").collect())
+    numbers = {lang: {word: i for i, (of, word) in enumerate(names) if of == lang} for lang, _ in names}
+    share = spark.sparkContext.broadcast
+    numbered = co._numbered(dictionary.coalesce(1), share(numbers))
+    partial = co._longer_counts(numbered, len(names), share([])).collect()
+    found = {tuple(names[i] for i in divmod(r.key, len(names))): r.freq for r in partial}
+    assert len(found) == len(partial)
+    exact = {(r.lang, r.phrase): r.f for r in co.ngram_counts(dictionary).where("size = 2").collect()}
+    frequent = set(names)
+    assert {(a[0], f"{a[1]} {b[1]}"): f for (a, b), f in found.items()} == {
+        (lang, phrase): f for (lang, phrase), f in exact.items() if all((lang, word) in frequent for word in phrase.split(" "))}
+
+
+def test_level_beyond_the_bound_after_numbered_ones(spark, monkeypatch):
+    rows = corpus(8)
+    dictionary = co.chunk_dictionary(spark.createDataFrame(rows, "text string, lang string"))
+    sizes = [row["count"] for row in co.frequent_ngrams(dictionary).groupBy("size").count().orderBy("size").collect()]
+    assert sizes[0] < sizes[1]
+    monkeypatch.setattr(co, "BROADCAST_ROWS", sizes[0])
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(tuple(r) for r in co.collocations(df).collect()) == brute(rows)
