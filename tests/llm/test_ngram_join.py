@@ -180,4 +180,4 @@ def test_unlike_texts_of_frequent_words_do_not_meet(spark, monkeypatch):
 
     monkeypatch.setattr(ngram_join, "_whole_sets", counted)
     assert result(ngram_join.similar_documents(documents(spark, rows))) == brute_force(rows)
-    assert wholes[0] < 100  # all 301 when n-grams among the first were enough to meet
+    assert wholes[0] < 100  # few of the 301 need their whole set
