@@ -11,9 +11,10 @@ many documents becomes one dictionary entry with its parse frequency.
 N-grams of up to ``W + 1`` words are counted inside the distinct chunks and
 weighted by their frequency; an occurrence belongs to the chunk where it
 starts before the trailing overlap, so each is counted once.  Frequent words
-get numbers, and the chunks become arrays of them; level by level an n-gram is
-the number of its first m - 1 words and that of its last one, found and added
-up by whole arrays in the tasks and by an aggregate after them.
+get numbers, and the chunks become arrays of them; level by level n-grams are
+pairs of numbers of two words each, added up by whole arrays in the tasks and
+by an aggregate after them.  Which n-grams of the level before are frequent is
+sent to the tasks as bits of a fixed number at most, however many they are.
 """
 
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,10 +43,14 @@ TOP = 2000
 
 W = 3  # words in a trigger window; n-grams up to W + 1 words never straddle a chunk
 MODULUS = 16  # chunks are about this many words long
-BROADCAST_ROWS = 500_000  # frequent n-grams of a level sent to the tasks for its test; beyond, a shuffled join
+BROADCAST_ROWS = 6_000_000  # frequent words sent to the tasks, some 12 bytes each beside their text,
+BROADCAST_BYTES = 96 * 1024 ** 2  # and the bytes of that; beyond either, shuffled joins on text
+SPARSE = 32  # bits for each frequent n-gram of a level, so that few others share one
+MOST_BITS = 28  # 2 ** 28 bits (32 MB) for a level at most; with more n-grams more others share a bit and are counted
 
 ROW = 2048  # words in a row of numbered chunks, or one chunk
 HELD = 2_000_000  # occurrences that a task adds up at once
+HASHED = 65_536  # words held as Python objects at once
 
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PLAIN = bytes.maketrans(UPPER + PIECE_MARKS, UPPER.lower() + b"\n" * len(PIECE_MARKS))
@@ -147,15 +153,64 @@ def _word_counts(dictionary: DataFrame) -> DataFrame:
     return dictionary.mapInArrow(emit, "lang string, phrase string, freq long")
 
 
+def _hashes(langs: pa.Array, words: pa.Array, seed: int) -> np.ndarray:
+    """A 64-bit hash for each word of a language."""
+    of = {lang: xxhash.xxh3_64_intdigest(lang, seed=seed) for lang in langs.unique().to_pylist()}
+    hashes = np.zeros(len(words), np.uint64)
+    for at in range(0, len(words), HASHED):
+        pairs = zip(langs[at:at + HASHED].to_pylist(), words[at:at + HASHED].to_pylist(), strict=True)
+        hashes[at:at + HASHED] = [xxhash.xxh3_64_intdigest(word, seed=of[lang]) for lang, word in pairs]
+    return hashes
+
+
+class Words:
+    """Frequent words of the languages, numbered in the order of their hashes; found by hash and compared as text."""
+
+    def __init__(self, langs: pa.Array, words: pa.Array):
+        self.seed = 0
+        while True:  # two frequent words with one hash: another seed
+            hashes = _hashes(langs, words, self.seed)
+            order = np.argsort(hashes)
+            self.hashes = hashes[order]
+            if not (self.hashes[1:] == self.hashes[:-1]).any():
+                break
+            self.seed += 1
+        self.langs, self.words = langs.take(pa.array(order)).dictionary_encode(), words.take(pa.array(order))
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def numbers(self, langs: pa.Array, words: pa.Array) -> np.ndarray:
+        """The number of each word, or -1."""
+        if not len(self) or not len(words):
+            return np.full(len(words), -1, np.int32)
+        hashes = _hashes(langs, words, self.seed)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+        near = np.flatnonzero(self.hashes[at] == hashes)
+        found, rows = pa.array(at[near]), pa.array(near)
+        equal = pc.and_(pc.equal(self.words.take(found), words.take(rows)),
+                        pc.equal(self.langs.take(found).dictionary_decode(), langs.take(rows)))
+        ids, near = np.full(len(words), -1, np.int32), near[equal.to_numpy(zero_copy_only=False).astype(bool)]
+        ids[near] = at[near]
+        return ids
+
+
+def _numbers_of(numbers: Words | dict[str, dict[str, int]], langs: pa.Array, words: pa.Array) -> np.ndarray:
+    if isinstance(numbers, Words):
+        return numbers.numbers(langs, words)
+    known = [numbers.get(lang, {}).get(word, -1) for lang, word in zip(langs.to_pylist(), words.to_pylist(), strict=True)]
+    return np.array(known, np.int32)
+
+
 def _numbered(dictionary: DataFrame, numbers) -> DataFrame:
     """``ids, weights``: the words of whole chunks as int32 numbers (-1: not frequent, or no word) and the frequency
-    of the chunk where an occurrence may start, else 0, as int64; some ``ROW`` words a row."""
+    of the chunk where an occurrence may start, else 0, as int64; some ``ROW`` words a row.
+
+    ``numbers`` is a broadcast of ``Words``, or of numbers by language and word."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, langs, words, weights, ends = _places(batch)
-            number = numbers.value
-            known = [number.get(lang, {}).get(word, -1) for lang, word in zip(langs.to_pylist(), words.to_pylist(), strict=True)]
-            ids = np.array(known, np.int32)[at]
+            ids = _numbers_of(numbers.value, langs, words)[at]
             cuts = np.unique(ends[np.minimum(np.searchsorted(ends, np.arange(ROW, len(ids) + ROW, ROW)), len(ends) - 1)])
             cuts = [0, *cuts.tolist()] if len(ids) else [0]
             yield pa.RecordBatch.from_arrays(
@@ -165,71 +220,114 @@ def _numbered(dictionary: DataFrame, numbers) -> DataFrame:
     return dictionary.mapInArrow(emit, "ids binary, weights binary")
 
 
-def _longer(here: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
-    """Keys of the n-grams one word longer than those numbered in ``here``: first part and last word; -1 where a part
-    is not frequent."""
-    if len(here) < 2:
-        return np.zeros(0, np.int64)
-    return np.where((here[:-1] >= 0) & (here[1:] >= 0), here[:-1] * base + last, -1)
+def _mixed(keys: np.ndarray, last: np.ndarray | None) -> np.ndarray:
+    """One 64-bit number for each pair, nearly always another one."""
+    mixed = keys.astype(np.uint64)
+    if last is not None:
+        mixed = mixed + (last.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def _slots(keys: np.ndarray, last: np.ndarray | None, bits: int) -> np.ndarray:
+    return (_mixed(keys, last) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _numbers(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """The place of each key among the sorted ``known`` ones, or -1."""
-    found, some = np.full(len(keys), -1, np.int64), np.flatnonzero(keys >= 0)
-    if len(known) and len(some):
-        at = np.minimum(np.searchsorted(known, keys[some]), len(known) - 1)
-        found[some] = np.where(known[at] == keys[some], at, -1)
+def _may_be_frequent(keys: np.ndarray, last: np.ndarray | None, where: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which n-grams have their bit among the ``known`` ones (2 ** n bits); all frequent ones have, and a few others."""
+    found, some = np.zeros(len(keys), bool), np.flatnonzero(where)
+    slots = _slots(keys[some], None if last is None else last[some], len(known).bit_length() + 2)
+    found[some] = (known[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 > 0
     return found
 
 
-def _summed(keys: list[np.ndarray], weights: list[np.ndarray]) -> pa.RecordBatch:
-    joined = np.concatenate(keys)
-    order = np.argsort(joined, kind="stable")
-    joined = joined[order]
-    first = np.flatnonzero(np.concatenate([[True], joined[1:] != joined[:-1]]))
-    sums = np.add.reduceat(np.concatenate(weights)[order], first)
-    return pa.RecordBatch.from_arrays([pa.array(joined[first]), pa.array(sums)], names=["key", "freq"])
+def _summed(keys: list[np.ndarray], last: list[np.ndarray], weights: list[np.ndarray]) -> pa.RecordBatch:
+    key, other, weight = np.concatenate(keys), np.concatenate(last) if last else None, np.concatenate(weights)
+    order = np.argsort(key if other is None else _mixed(key, other), kind="stable")
+    key = key[order]
+    new = key[1:] != key[:-1]
+    if other is not None:
+        other = other[order]
+        new |= other[1:] != other[:-1]
+    first = np.flatnonzero(np.concatenate([[True], new]))
+    sums = pa.array(np.add.reduceat(weight[order], first))
+    parts = [pa.array(key[first]), *([] if other is None else [pa.array(other[first])]), sums]
+    return pa.RecordBatch.from_arrays(parts, names=["key", "freq"] if other is None else ["key", "last", "freq"])
 
 
 def _longer_counts(numbered: DataFrame, base: int, levels) -> DataFrame:
-    """``key, freq``: partial counts of the n-grams two words longer than ``levels`` (a broadcast list of the sorted
-    keys of frequent n-grams of 2, 3, ... words) is long, where both their shorter parts are frequent."""
+    """``key, freq`` of the n-grams two words longer than ``levels`` (a broadcast list of the bits of frequent n-grams
+    of 2, 3, ... words) is long: partial counts where both their shorter parts may be frequent.
+
+    ``key`` is the pair of the first two words (``first * base + second``); longer ones have ``last`` too, the third
+    word or the pair of the third and fourth.  An n-gram of which a part only shares a bit with a frequent one has
+    its whole count as well, which is too low.
+    """
+    m = len(levels.value) + 2
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, weights, held = [], [], 0
+        keys, last, weights, held = [], [], [], 0
         for batch in batches:
             ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.int32).astype(np.int64)
             starts = np.frombuffer(b"".join(batch.column("weights").to_pylist()), np.int64)
-            here = ids
-            for m, known in enumerate(levels.value, 1):
-                here = _numbers(_longer(here, ids[m:], base), known)
-            longer = _longer(here, ids[len(levels.value) + 1:], base)
-            use = np.flatnonzero((longer >= 0) & (starts[:len(longer)] > 0))
+            if len(ids) < m:
+                continue
+            pairs, use = ids[:-1] * base + ids[1:], (ids[:-1] >= 0) & (ids[1:] >= 0)
+            for size, known in enumerate(levels.value, 2):  # of n-grams of that size, and so of the longer ones
+                length = len(ids) - size + 1
+                use = _may_be_frequent(pairs[:length], _last(ids, pairs, size), use, known)
+                use = use[:-1] & use[1:]
+            use = np.flatnonzero(use & (starts[:len(use)] > 0))
             if len(use):
-                keys.append(longer[use])
+                keys.append(pairs[use])
                 weights.append(starts[use])
+                if m > 2:
+                    last.append(_last(ids, pairs, m)[use])
                 held += len(use)
-            if held >= HELD:
-                yield _summed(keys, weights)
-                keys, weights, held = [], [], 0
+            if held >= (HELD if m == 2 else HELD // 2):
+                yield _summed(keys, last, weights)
+                keys, last, weights, held = [], [], [], 0
         if held:
-            yield _summed(keys, weights)
+            yield _summed(keys, last, weights)
+
+    return numbered.mapInArrow(emit, "key long, freq long" if m == 2 else "key long, last long, freq long")
 
-    return numbered.mapInArrow(emit, "key long, freq long")
 
+def _last(ids: np.ndarray, pairs: np.ndarray, size: int) -> np.ndarray | None:
+    """What follows the first two words of each n-gram of ``size`` words."""
+    return None if size == 2 else ids[2:] if size == 3 else pairs[2:]
+
+
+def _bits(counted: DataFrame, rows: int) -> np.ndarray:
+    """The bits of the n-grams ``key`` or ``key, last``: ``SPARSE`` for each of the ``rows``, as far as they may go."""
+    bits = min(MOST_BITS, max(16, (SPARSE * rows).bit_length()))
+    columns = [c for c in ("key", "last") if c in counted.columns]
 
-def _phrases(level: DataFrame, base: int, words, levels, m: int) -> DataFrame:
-    """``lang, phrase, f, size`` from ``key, f``."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, parts = batch.column("key").to_numpy(), []
-            for known in [None, *levels.value][::-1]:
-                parts.append(keys % base)
-                keys = keys // base if known is None else known[keys // base]
-            spelled = [[words.value[i] for i in part.tolist()] for part in [keys, *parts[::-1]]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang for lang, _ in spelled[0]], pa.string()),
-                 pa.array([" ".join(word for _, word in phrase) for phrase in zip(*spelled)], pa.string()), batch.column("f")],
-                names=["lang", "phrase", "f"])
+            slots = _slots(*[batch.column(c).to_numpy() for c in columns], *[None] * (2 - len(columns)), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(slots + 1)], names=["slot"])  # bit 1 is the first of a part
+
+    slots = counted.select(*columns).mapInArrow(emit, "slot long").withColumn("part", F.bitmap_bucket_number("slot"))
+    # dealt out as numbers: bits of each task, 4 KB for a part, would be much more
+    parts = slots.repartition("part").groupBy("part").agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    known = np.zeros((1 << bits) // 8, np.uint8)
+    for part, found in zip(*[column.to_pylist() for column in parts.toArrow().columns], strict=True):
+        known[(part - 1) * len(found):part * len(found)] = np.frombuffer(found, np.uint8)[:len(known)]
+    return known
+
+
+def _phrases(level: DataFrame, base: int, words, m: int) -> DataFrame:
+    """``lang, phrase, f, size`` from ``key, f`` or ``key, last, f``; ``words`` is a broadcast of ``Words``."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair, last = batch.column("key").to_numpy(), batch.column("last").to_numpy() if m > 2 else None
+            ids = [pair // base, pair % base, *([] if m == 2 else [last] if m == 3 else [last // base, last % base])]
+            known = words.value
+            spelled = pc.binary_join_element_wise(*[known.words.take(pa.array(part)) for part in ids], " ")
+            langs = known.langs.take(pa.array(ids[0])).dictionary_decode()
+            yield pa.RecordBatch.from_arrays([langs, spelled, batch.column("f")], names=["lang", "phrase", "f"])
 
     return level.mapInArrow(emit, "lang string, phrase string, f long").withColumn("size", F.lit(m))
 
@@ -239,31 +337,32 @@ def frequent_ngrams(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFr
 
     Level by level: an n-gram of m words is counted only where both its
     (m - 1)-word parts are frequent, since it is never more frequent than they
-    are.  While a level has at most ``BROADCAST_ROWS`` frequent n-grams
-    (counted), they go to every task as numbers and the test is made where the
-    chunks are, with counts summed before the shuffle; beyond that bound the
-    test is a shuffled semi join on phrase keys.
+    are.  Frequent words go to every task with their numbers, and the frequent
+    n-grams of a level as bits (32 MB at most), so the test is made where the
+    chunks are and counts are summed before the shuffle.  An n-gram that passes
+    by a shared bit is counted too and goes by its count: bits only save work.
+    Beyond ``BROADCAST_ROWS`` frequent words or ``BROADCAST_BYTES`` of them (both
+    counted) the test is a shuffled semi join on phrase keys.
     """
     spark = dictionary.sparkSession
     bound_batches(spark)
     level = _counted(_word_counts(dictionary), min_count, 1)
-    found, small = [level], level.count() <= BROADCAST_ROWS
+    n_words, n_bytes = level.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+    found, small = [level], n_words <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES
     if small:
-        names = sorted((row.lang, row.phrase) for row in level.select("lang", "phrase").collect())  # bounded by the count
-        base, numbers, keys = max(1, len(names)), {}, []
-        for i, (lang, word) in enumerate(names):
-            numbers.setdefault(lang, {})[word] = i
-        words = spark.sparkContext.broadcast(names)
-        numbered = settle(_numbered(dictionary, spark.sparkContext.broadcast(numbers)))
+        table = level.select("lang", "phrase").toArrow()  # bounded by the counts
+        known = Words(*[pa.concat_arrays([pa.array([], pa.string()), *column.cast(pa.string()).chunks]) for column in table.columns])
+        base, levels, words = max(1, len(known)), [], spark.sparkContext.broadcast(known)
+        numbered = settle(_numbered(dictionary, words))
     for m in range(2, LONGEST + 1):
         if small:
-            levels = spark.sparkContext.broadcast(keys)
-            counted = settle(_longer_counts(numbered, base, levels).groupBy("key").agg(F.sum("freq").alias("f"))
-                             .where(F.col("f") >= min_count))
-            level = settle(_phrases(counted, base, words, levels, m))
-            small = counted.count() <= BROADCAST_ROWS
-            if small:
-                keys = [*keys, np.sort(np.array([row.key for row in counted.select("key").collect()], np.int64))]
+            sent = spark.sparkContext.broadcast(levels)
+            counts = _longer_counts(numbered, base, sent)
+            counted = settle(counts.groupBy(*counts.columns[:-1]).agg(F.sum("freq").alias("f")).where(F.col("f") >= min_count))
+            sent.destroy()
+            level = settle(_phrases(counted, base, words, m))
+            if m < LONGEST:
+                levels = [*levels, _bits(counted, counted.count())]
         else:
             before = level.select("lang", "phrase")
             grams = _grams(dictionary, m).select(

@@ -3,7 +3,11 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from articlelake.llm import collocations as co
+from articlelake.session import settle
 
 
 def brute(rows, top=co.TOP, min_count=co.MIN_COUNT):
@@ -122,3 +126,37 @@ def test_level_beyond_the_bound_after_numbered_ones(spark, monkeypatch):
     monkeypatch.setattr(co, "BROADCAST_ROWS", sizes[0])
     df = spark.createDataFrame(rows, "text string, lang string")
     assert sorted(tuple(r) for r in co.collocations(df).collect()) == brute(rows)
+
+
+def test_levels_beyond_the_bound_stay_numbers(spark, monkeypatch):
+    """More frequent bigrams and trigrams than may be sent as rows are not counted as text."""
+    rows = corpus(10)
+    dictionary = settle(co.chunk_dictionary(spark.createDataFrame(rows, "text string, lang string")))
+    counts = co.frequent_ngrams(dictionary)
+    n_words, n_longer = counts.where("size = 1").count(), counts.where("size > 1").count()
+    assert n_words < n_longer
+    monkeypatch.setattr(co, "BROADCAST_ROWS", n_words)
+    monkeypatch.setattr(co, "_grams", None)
+    found = {(r.lang, r.phrase): r.f for r in co.frequent_ngrams(dictionary).collect()}
+    monkeypatch.undo()
+    assert found == {(r.lang, r.phrase): r.f for r in co.ngram_counts(dictionary).where(f"f >= {co.MIN_COUNT}").collect()}
+
+
+def test_shared_bits_change_no_count(spark, monkeypatch):
+    rows = corpus(11)
+    df = spark.createDataFrame(rows, "text string, lang string")
+    monkeypatch.setattr(co, "MOST_BITS", 6)
+    assert sorted(tuple(r) for r in co.collocations(df).collect()) == brute(rows)
+
+
+def test_words_are_found_as_text(monkeypatch):
+    """Words of one hash are not mistaken for each other."""
+    hashes = co._hashes
+    monkeypatch.setattr(co, "_hashes", lambda langs, words, seed: hashes(langs, words, seed) % np.uint64(2 + 997 * seed))
+    words = co.Words(pa.array(["en", "de", "en"]), pa.array(["a", "a", "b"]))
+    assert words.seed > 0 and len(words) == 3
+    langs, asked = ["en"] * 40 + ["de", "fr", "en", "de"], [f"w{i}" for i in range(40)] + ["a", "a", "b", "b"]
+    found = words.numbers(pa.array(langs), pa.array(asked)).tolist()
+    spelled = [(words.langs[i].as_py(), words.words[i].as_py()) if i >= 0 else None for i in found]
+    assert spelled == [None] * 40 + [("de", "a"), None, ("en", "b"), None]
+    assert co.Words(pa.array([], pa.string()), pa.array([], pa.string())).numbers(pa.array(["en"]), pa.array(["a"])).tolist() == [-1]
