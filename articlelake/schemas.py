@@ -51,3 +51,7 @@ BINARY_FILE = T.StructType(
      T.StructField("length", T.LongType()),
      T.StructField("content", T.BinaryType())]
 )
+# A file found below a folder; a folder still to be listed has no length.
+FOUND = T.StructType(
+    _strings("path", "file_name") + [T.StructField("modified", T.LongType()), T.StructField("length", T.LongType())]
+)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from articlelake.operators.tei import extract_articles
 from articlelake.session import settle
-from articlelake.sources.xml_files import client_for, read_files, scan_xml_files
+from articlelake.sources.xml_files import client_for, list_xml_files, read_files
 
 # Buckets of the table; a run rewrites those its changes touch.  A rebalance
 # splits a large bucket among tasks, so the number bounds files, not task size.
@@ -87,7 +87,7 @@ def ingest_changes(
     at most ``buckets`` touched bucket numbers.
     """
     version = committed_version(state)
-    listing = settle(scan_xml_files(spark, directory).select(*LISTING))  # one listing, used twice
+    listing = settle(list_xml_files(spark, directory).select(*LISTING))  # one listing, used twice
     before = (spark.read.parquet(f"{state}/manifest/v={version}") if version is not None
               else spark.createDataFrame([], listing.schema))
     changes = settle(change_set(listing, before, buckets))

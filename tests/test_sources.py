@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from articlelake import schemas
@@ -329,3 +330,45 @@ def test_stage_knows_its_input_and_parameters(spark, tmp_path):
     assert len(built) == 3  # another input
     tables.stage(spark, path, build, inputs=[given], params={"n": 2})
     assert len(built) == 3
+
+
+def odd_tree(root):
+    for n, name in enumerate(KEPT + LEFT_OUT + ODD_NAMES):
+        write(root, name, "x" * (n + 1))
+    for name in ["empty.xml", ".hidden.xml", ".git/1.xml", "_temporary/2.xml", "k=v/3.xml", "_k=v/4.xml", "_metadata/5.xml",
+                 "6.xml._COPYING_", "dir.xml/7.xml", "a b/c[1]/{d}/8.xml", "deep/er/and/deeper/9.xml", "a%20c/10.xml"]:
+        write(root, name, "" if name == "empty.xml" else name)
+    os.symlink(root / "nowhere", root / "broken.xml")
+    os.symlink(root / "deep", root / "link")
+    os.symlink(root / "Old.xml", root / "11.xml")
+    os.utime(root / "Old.xml", ns=(1, 1_234_567_890_987_654_321))
+    os.utime(root / "000664.xml", ns=(1, -1_500_000))
+    (root / "none").mkdir()
+
+
+@pytest.mark.parametrize("most", [50_000, 1])
+def test_tasks_list_what_spark_lists(spark, tmp_path, monkeypatch, most):
+    """However many rounds it takes, with overlapping folders and names of any kind."""
+    odd_tree(tmp_path / "in")
+    monkeypatch.setattr(xml_files, "LISTED", most)
+    for roots in (["in"], ["in/"], ["in", "in/deep", "in"], ["in/a%20c", "in/deep/er"], ["in/none"]):
+        places = [f"{tmp_path}/{root}" for root in roots]
+        by_spark = xml_files._scan_by_spark(spark, tuple(places))
+        assert rows(xml_files.scan_xml_files(spark, *places)) == rows(by_spark)
+        assert rows(xml_files.list_xml_files(spark, f"file:{places[0]}", *places[1:])) == rows(by_spark.drop("content"))
+
+
+def test_the_driver_lists_no_files(spark, tmp_path, monkeypatch):
+    odd_tree(tmp_path)
+    monkeypatch.setattr(xml_files, "_binary", None)  # Spark's listing, which the driver holds
+    known = xml_files.list_xml_files(spark, str(tmp_path)).where("path like '%deep%'").select(F.col("path").alias("file_name"))
+    found = xml_files.scan_xml_files(spark, str(tmp_path)).count()
+    assert found > known.count() > 0
+    assert xml_files.scan_new_xml_files(spark, str(tmp_path), known).count() == found - known.count()
+
+
+def test_patterns_and_single_files_are_scanned_as_by_spark(spark, folder):
+    assert names(xml_files.scan_xml_files(spark, f"{folder}/d*"), folder) == ["deep/er/1.xml"]
+    assert names(xml_files.list_xml_files(spark, f"{folder}/Old.xml", f"{folder}/deep"), folder) == ["Old.xml", "deep/er/1.xml"]
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        xml_files.scan_xml_files(spark, f"{folder}/missing")
