@@ -9,6 +9,7 @@ from articlelake import schemas
 from articlelake.operators.tei import extract_articles, good_articles
 from articlelake.plans import catalog, dataset, pages, report
 from articlelake.session import settle
+from articlelake.sources import xml_files
 from articlelake.sources.tables import read_csv
 from articlelake.sources.xml_files import scan_xml_files
 from tests.conftest import plan, rows
@@ -133,6 +134,21 @@ def test_append_parses_only_new_files(spark, journal, crawl, tmp_path):
         build("other")
 
 
+def test_the_driver_lists_no_files_for_a_build(spark, journal, crawl, tmp_path, monkeypatch):
+    """Neither a build nor an extension of it takes Spark's listing, of which the driver holds every file."""
+    monkeypatch.setattr(xml_files, "_binary", None)
+    corpus = tmp_path / "corpus"
+    shutil.copytree(journal, corpus)
+
+    def build(mode):
+        built = dataset.build_articles(spark, str(corpus), str(tmp_path / "work"), crawl, BASE, mode=mode)
+        return {r.article_id for r in built.collect()}
+
+    first = build("rebuild")
+    (corpus / "000012.xml").write_text(tei("000012", title="Twelve"))
+    assert len(first) == 5 and build("append") == {*first, "000012"}
+
+
 def test_csv_export(spark, table, tmp_path):
     folder, built = table
     before = built.schema
